@@ -174,3 +174,71 @@ def register(name: str, sql: str) -> None:
 
 
 register("feature_table", with_features("SELECT * FROM features"))
+
+
+# ---- views ------------------------------------------------------------------
+# Column lists are fixed values shared with the Spark views; every expression
+# below is written again in SQL.
+from ratecraft.plans import views as _v  # noqa: E402
+from ratecraft.sources.schemas import feature_schema as _feature_schema  # noqa: E402
+
+_SQL_TYPE = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+_RAW_TYPES = {f.name: f.dataType.simpleString() for f in _feature_schema().fields}
+TRAIN_FILTER = "('0x' || substr(md5(uid_uid), 1, 8))::BIGINT % 10 < 7"
+
+
+def _clamp_sql(c: str, method: str = "clamp95") -> str:
+    top = f"floor(h_{c})" if method == "clamp95" else f"floor(m_{c})"
+    return (f"CAST(CASE WHEN {c} IS NULL THEN NULL WHEN {c} > h_{c} THEN {top} "
+            f"WHEN {c} = -1 THEN m_{c} ELSE {c} END AS DOUBLE)")
+
+
+def _view_exprs(spec) -> dict[str, tuple[str, str]]:
+    """feature -> (sql expression, type)."""
+    out: dict[str, tuple[str, str]] = {}
+    for name, num, den in spec.ratios:
+        out[name] = (f"(CAST({num} AS DOUBLE) / nullif({den}, 0))", "double")
+    for name, terms in spec.sums:
+        out[name] = ("(" + " + ".join(f"CAST({t} AS DOUBLE)" for t in terms) + ")", "double")
+    if spec.age_rule:
+        out["uid_age_new"] = ("CAST(CASE WHEN uid_age IS NULL THEN NULL WHEN uid_age > 65 OR uid_age < 12 "
+                              "THEN 34 ELSE uid_age END AS DOUBLE)", "double")
+        out["is_age_fill"] = ("CASE WHEN uid_age IS NULL THEN NULL WHEN uid_age IN (0, -1) THEN 0 ELSE 1 END",
+                              "int")
+    for c in spec.clamp:
+        out[f"{c}_new"] = (_clamp_sql(c, spec.clamp_method), "double")
+    for c in spec.features:
+        if c not in out:
+            out[c] = (c, _RAW_TYPES[c])
+    return out
+
+
+def view_sql(module: str, phase: str, fill=None, use_spec_fill: bool = True) -> str:
+    spec = _v.VIEWS[module]
+    fill = spec.fill if (fill is None and use_spec_fill) else fill
+    exprs = _view_exprs(spec)
+    cols = ["uid_uid"] + (["uid_flag"] if phase == "train" else [])
+    for c in spec.features:
+        e, t = exprs[c]
+        if fill is not None:
+            e = f"coalesce({e}, CAST({fill} AS {_SQL_TYPE[t]}))"
+        cols.append(f"{e} AS {c}")
+    where = " WHERE uid_flag IS NOT NULL" if phase == "train" else ""
+    ctes = ""
+    src = "features"
+    if spec.clamp:
+        aggs = ", ".join(f"quantile_disc({c}, 0.5) AS m_{c}, quantile_disc({c}, 0.95) AS h_{c}"
+                         for c in spec.clamp)
+        ctes = f"qb AS (SELECT {aggs} FROM features WHERE {TRAIN_FILTER})"
+        src = "features, qb"
+    return with_features(f"SELECT {', '.join(cols)} FROM {src}{where}", ctes)
+
+
+register("consume_view_train", view_sql("consume", "train"))
+register("consume_view_predict", view_sql("consume", "predict", fill=0))
+register("finance_view_train", view_sql("finance", "train"))
+register("finance_view_predict", view_sql("finance", "predict"))
+register("interaction_view", view_sql("interaction", "predict"))
+register("relation_view", view_sql("relation", "predict"))
+register("people_view_train", view_sql("people", "train"))
+register("people_view_predict", view_sql("people", "predict"))

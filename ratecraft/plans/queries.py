@@ -22,3 +22,48 @@ def query(name: str):
 @query("feature_table")
 def q_feature_table(spark, sf_dir):
     return feature_table(spark, sf_dir)
+
+
+# ---- views (P1-P9, F1-F19) ----------------------------------------------------
+from ratecraft.plans.views import build_view  # noqa: E402
+
+
+@query("consume_view_train")
+def q_consume_view_train(spark, sf_dir):
+    return build_view(feature_table(spark, sf_dir), "consume", "train")
+
+
+@query("consume_view_predict")
+def q_consume_view_predict(spark, sf_dir):
+    # the prediction phase fills 0 (the training phase fills -1.0)
+    return build_view(feature_table(spark, sf_dir), "consume", "predict", fill_override=0)
+
+
+@query("finance_view_train")
+def q_finance_view_train(spark, sf_dir):
+    return build_view(feature_table(spark, sf_dir), "finance", "train")
+
+
+@query("finance_view_predict")
+def q_finance_view_predict(spark, sf_dir):
+    return build_view(feature_table(spark, sf_dir), "finance", "predict")
+
+
+@query("interaction_view")
+def q_interaction_view(spark, sf_dir):
+    return build_view(feature_table(spark, sf_dir), "interaction", "predict")
+
+
+@query("relation_view")
+def q_relation_view(spark, sf_dir):
+    return build_view(feature_table(spark, sf_dir), "relation", "predict")
+
+
+@query("people_view_train")
+def q_people_view_train(spark, sf_dir):
+    return build_view(feature_table(spark, sf_dir), "people", "train", rel_error=0.0)
+
+
+@query("people_view_predict")
+def q_people_view_predict(spark, sf_dir):
+    return build_view(feature_table(spark, sf_dir), "people", "predict", rel_error=0.0)
