@@ -242,3 +242,85 @@ register("interaction_view", view_sql("interaction", "predict"))
 register("relation_view", view_sql("relation", "predict"))
 register("people_view_train", view_sql("people", "train"))
 register("people_view_predict", view_sql("people", "predict"))
+
+
+# ---- outliers, quantiles, split, scalar rules ---------------------------------
+OUTLIER_COLUMNS = (
+    "uid_dealorders", "uid_emailvalid", "uid_mobilevalid", "uid_addressvalid", "uid_isindentify",
+    "uid_authenticated_days", "uid_signupdays", "uid_signmonths", "uid_lastlogindays",
+    "uid_samemobile", "ord_success_order_cmobile_count", "com_mobile_count",
+    "pro_generous_stingy_tag", "pro_base_active", "pro_customervalue", "pro_phone_type",
+    "pro_validpoints", "pro_htl_consuming_capacity",
+)
+_PROBS = (0.25, 0.5, 0.75, 0.95)
+
+
+def _iqr_sql(cols) -> str:
+    stats = ", ".join(
+        f"quantile_disc({c}, 0.25) AS q1_{c}, quantile_disc({c}, 0.5) AS m_{c}, "
+        f"quantile_disc({c}, 0.75) AS q3_{c}" for c in cols)
+    fences = ", ".join(
+        f"q1_{c} - 1.5 * (q3_{c} - q1_{c}) AS lo_{c}, q3_{c} + 1.5 * (q3_{c} - q1_{c}) AS hi_{c}, m_{c}"
+        for c in cols)
+    return (f"qs AS (SELECT {stats} FROM features), "
+            f"fb AS (SELECT {fences} FROM qs)")
+
+
+def _iqr_select(cols) -> str:
+    out = []
+    for c in cols:
+        out.append(f"CAST(CASE WHEN {c} > hi_{c} OR {c} < lo_{c} THEN floor(m_{c}) ELSE {c} END AS DOUBLE) "
+                   f"AS {c}_new")
+        out.append(f"CASE WHEN {c} IS NULL THEN NULL WHEN {c} = -1 THEN 0 ELSE 1 END AS {c}TF")
+    return ", ".join(out)
+
+
+register("outlier_iqr", with_features(
+    f"SELECT uid_uid, {_iqr_select(OUTLIER_COLUMNS)} FROM features, fb", _iqr_sql(OUTLIER_COLUMNS)))
+
+register("outlier_iqr_rows", with_features(
+    "SELECT uid_uid, \"column\", \"value\" FROM ("
+    + " UNION ALL ".join(
+        f"SELECT uid_uid, '{c}' AS \"column\", CAST({c} AS DOUBLE) AS \"value\" FROM features, fb "
+        f"WHERE {c} < lo_{c} OR {c} > hi_{c}" for c in OUTLIER_COLUMNS) + ")",
+    _iqr_sql(OUTLIER_COLUMNS)))
+
+_sig_stats = ", ".join(f"avg({c}) AS mu_{c}, stddev_samp({c}) AS sd_{c}" for c in OUTLIER_COLUMNS)
+_sig_sel = ", ".join(
+    f"CAST(CASE WHEN {c} > mu_{c} + 3 * sd_{c} OR {c} < mu_{c} - 3 * sd_{c} THEN floor(mu_{c}) "
+    f"ELSE {c} END AS DOUBLE) AS {c}_new" for c in OUTLIER_COLUMNS)
+register("outlier_sigma", with_features(
+    f"SELECT uid_uid, {_sig_sel} FROM features, ss", f"ss AS (SELECT {_sig_stats} FROM features)"))
+
+
+def _clamp_all_sql(method: str) -> str:
+    cols = _v.PEOPLE_CLAMP
+    stats = ", ".join(f"quantile_disc({c}, 0.5) AS m_{c}, quantile_disc({c}, 0.95) AS h_{c}"
+                      for c in cols)
+    sel = ", ".join(f"{_clamp_sql(c, method)} AS {c}_new" for c in cols)
+    return with_features(f"SELECT uid_uid, {sel} FROM features, qb",
+                         f"qb AS (SELECT {stats} FROM features)")
+
+
+register("clamp_q95", _clamp_all_sql("clamp95"))
+register("clamp_median", _clamp_all_sql("clamp5"))
+
+register("quantiles_exact", with_features(" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST({p} AS DOUBLE) AS p, CAST(quantile_disc({c}, {p}) AS DOUBLE) AS \"value\" "
+    f"FROM features" for c in OUTLIER_COLUMNS for p in _PROBS)))
+
+register("quantiles_approx", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST({p} AS DOUBLE) AS p, true AS within_error"
+    for c in OUTLIER_COLUMNS for p in _PROBS))
+
+register("hash_split_rows", with_features(
+    f"SELECT uid_uid, {TRAIN_FILTER} AS is_train FROM features"))
+register("hash_split_counts", with_features(
+    f"SELECT CASE WHEN {TRAIN_FILTER} THEN 'train' ELSE 'test' END AS split, count(*) AS n "
+    f"FROM features GROUP BY 1"))
+register("age_rule", with_features(
+    "SELECT uid_uid, uid_age, CAST(CASE WHEN uid_age IS NULL THEN NULL WHEN uid_age > 65 OR uid_age < 12 "
+    "THEN 34 ELSE uid_age END AS DOUBLE) AS uid_age_new, "
+    "CASE WHEN uid_age IS NULL THEN NULL WHEN uid_age IN (0, -1) THEN 0 ELSE 1 END AS is_age_fill "
+    "FROM features"))
+register("label_double", with_features("SELECT uid_uid, CAST(uid_flag AS DOUBLE) AS label FROM features"))

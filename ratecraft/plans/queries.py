@@ -67,3 +67,108 @@ def q_people_view_train(spark, sf_dir):
 @query("people_view_predict")
 def q_people_view_predict(spark, sf_dir):
     return build_view(feature_table(spark, sf_dir), "people", "predict", rel_error=0.0)
+
+
+# ---- outliers, quantiles, split, scalar rules ---------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from ratecraft.functions.expressions import (  # noqa: E402
+    age_fill_flag, age_rule, is_train_row, label_to_double)
+from ratecraft.operators.outliers import apply_bounds, fit_bounds, outlier_rows  # noqa: E402
+from ratecraft.operators.quantiles import approx_quantiles, exact_quantiles, long_values  # noqa: E402
+from ratecraft.plans.views import PEOPLE_CLAMP  # noqa: E402
+
+# The eighteen raw people columns the original outlier step was given.
+OUTLIER_COLUMNS = (
+    "uid_dealorders", "uid_emailvalid", "uid_mobilevalid", "uid_addressvalid", "uid_isindentify",
+    "uid_authenticated_days", "uid_signupdays", "uid_signmonths", "uid_lastlogindays",
+    "uid_samemobile", "ord_success_order_cmobile_count", "com_mobile_count",
+    "pro_generous_stingy_tag", "pro_base_active", "pro_customervalue", "pro_phone_type",
+    "pro_validpoints", "pro_htl_consuming_capacity",
+)
+QUANTILE_PROBS = (0.25, 0.5, 0.75, 0.95)
+APPROX_REL_ERROR = 0.1
+
+
+def _bounded(spark, sf_dir, method, cols=OUTLIER_COLUMNS):
+    ft = feature_table(spark, sf_dir)
+    b = fit_bounds(ft, cols, method, rel_error=0.0)
+    return apply_bounds(ft.select("uid_uid", *cols), b)
+
+
+@query("outlier_iqr")
+def q_outlier_iqr(spark, sf_dir):
+    return _bounded(spark, sf_dir, "iqr")
+
+
+@query("outlier_iqr_rows")
+def q_outlier_iqr_rows(spark, sf_dir):
+    ft = feature_table(spark, sf_dir)
+    b = fit_bounds(ft, OUTLIER_COLUMNS, "iqr", rel_error=0.0)
+    return outlier_rows(ft, b)
+
+
+@query("outlier_sigma")
+def q_outlier_sigma(spark, sf_dir):
+    return _bounded(spark, sf_dir, "sigma")
+
+
+@query("clamp_q95")
+def q_clamp_q95(spark, sf_dir):
+    return _bounded(spark, sf_dir, "clamp95", PEOPLE_CLAMP)
+
+
+@query("clamp_median")
+def q_clamp_median(spark, sf_dir):
+    return _bounded(spark, sf_dir, "clamp5", PEOPLE_CLAMP)
+
+
+@query("quantiles_exact")
+def q_quantiles_exact(spark, sf_dir):
+    return exact_quantiles(feature_table(spark, sf_dir), OUTLIER_COLUMNS, QUANTILE_PROBS)
+
+
+@query("quantiles_approx")
+def q_quantiles_approx(spark, sf_dir):
+    """Approximate quantiles at the original relative error (0.1), checked by
+    the rank-error guarantee: the returned value's rank range must overlap
+    [(p - e) n, (p + e) n].  Ranks are counted distributed, one pass."""
+    ft = feature_table(spark, sf_dir)
+    got = approx_quantiles(ft, OUTLIER_COLUMNS, QUANTILE_PROBS, APPROX_REL_ERROR)
+    targets = spark.createDataFrame(
+        [(c, float(p), float(v)) for c in OUTLIER_COLUMNS for p, v in zip(QUANTILE_PROBS, got[c])],
+        "column string, p double, q double")  # len(cols) x len(probs) rows
+    vals = long_values(ft, OUTLIER_COLUMNS)
+    ranks = (vals.join(F.broadcast(targets), "column")
+             .groupBy("column", "p")
+             .agg(F.count(F.lit(1)).alias("n"),
+                  F.count(F.when(F.col("value") < F.col("q"), 1)).alias("lt"),
+                  F.count(F.when(F.col("value") <= F.col("q"), 1)).alias("le")))
+    e, p, n = F.lit(APPROX_REL_ERROR), F.col("p"), F.col("n")
+    ok = (F.col("lt") + 1 <= (p + e) * n + 1) & (F.col("le") >= (p - e) * n - 1)
+    return ranks.select("column", "p", ok.alias("within_error"))
+
+
+@query("hash_split_rows")
+def q_hash_split_rows(spark, sf_dir):
+    return feature_table(spark, sf_dir).select("uid_uid", is_train_row("uid_uid").alias("is_train"))
+
+
+@query("hash_split_counts")
+def q_hash_split_counts(spark, sf_dir):
+    ft = feature_table(spark, sf_dir)
+    return (ft.select(F.when(is_train_row("uid_uid"), "train").otherwise("test").alias("split"))
+            .groupBy("split").agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("age_rule")
+def q_age_rule(spark, sf_dir):
+    ft = feature_table(spark, sf_dir)
+    return ft.select("uid_uid", "uid_age", age_rule("uid_age").alias("uid_age_new"),
+                     age_fill_flag("uid_age").alias("is_age_fill"))
+
+
+@query("label_double")
+def q_label_double(spark, sf_dir):
+    ft = feature_table(spark, sf_dir)
+    return ft.select("uid_uid", label_to_double("uid_flag").alias("label"))
