@@ -324,3 +324,119 @@ register("age_rule", with_features(
     "CASE WHEN uid_age IS NULL THEN NULL WHEN uid_age IN (0, -1) THEN 0 ELSE 1 END AS is_age_fill "
     "FROM features"))
 register("label_double", with_features("SELECT uid_uid, CAST(uid_flag AS DOUBLE) AS label FROM features"))
+
+
+# ---- evaluation, indexing, scaling, scores, joins -----------------------------
+EVAL_CTE = """
+ev_in AS (
+  SELECT uid_uid, CAST(uid_flag AS DOUBLE) AS label,
+         round(CAST(ord_success_order_count AS DOUBLE)
+               / nullif(ord_success_order_count + voi_complrefund_count, 0), 3) AS score
+  FROM features WHERE uid_flag IS NOT NULL),
+evf AS (SELECT *, CAST(CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS DOUBLE) AS prediction
+        FROM ev_in WHERE score IS NOT NULL),
+cnt AS (SELECT score AS threshold, count(CASE WHEN label = 1 THEN 1 END) AS tp0,
+               count(CASE WHEN label <> 1 THEN 1 END) AS fp0 FROM evf GROUP BY score),
+tot AS (SELECT CAST(sum(tp0) AS DOUBLE) AS P, CAST(sum(fp0) AS DOUBLE) AS N FROM cnt),
+cc AS (SELECT threshold, tp0, fp0,
+              CAST(sum(tp0) OVER (ORDER BY threshold DESC) AS BIGINT) AS tp,
+              CAST(sum(fp0) OVER (ORDER BY threshold DESC) AS BIGINT) AS fp FROM cnt),
+pts AS (SELECT threshold, tp / N AS dummy, fp / N AS fpr, tp / P AS tpr, tp / (tp + fp) AS prec
+        FROM cc, tot),
+lagged AS (SELECT threshold, fpr, tpr, prec,
+                  coalesce(lag(fpr) OVER (ORDER BY threshold DESC), 0) AS pfpr,
+                  coalesce(lag(tpr) OVER (ORDER BY threshold DESC), 0) AS ptpr,
+                  coalesce(lag(prec) OVER (ORDER BY threshold DESC), prec) AS pprec FROM pts)"""
+
+
+def with_eval(select_sql: str) -> str:
+    return with_features(select_sql, EVAL_CTE)
+
+
+register("rmse", with_eval("SELECT round(sqrt(avg((score - label) * (score - label))), 6) AS rmse FROM evf"))
+register("accuracy", with_eval(
+    "SELECT round(avg(CASE WHEN prediction = label THEN 1.0 ELSE 0.0 END), 6) AS accuracy, "
+    "round(1 - avg(CASE WHEN prediction = label THEN 1.0 ELSE 0.0 END), 6) AS test_error FROM evf"))
+
+
+def _fb(b2: float) -> str:
+    p, r = "(CAST(tp AS DOUBLE) / (tp + fp))", "(tp / P)"
+    return (f"round(CASE WHEN {b2!r} * {p} + {r} = 0 THEN 0.0 "
+            f"ELSE {1 + b2!r} * {p} * {r} / ({b2!r} * {p} + {r}) END, 6)")
+
+
+register("threshold_curve", with_eval(
+    "SELECT threshold, tp, fp, round(CAST(tp AS DOUBLE) / (tp + fp), 6) AS precision, "
+    f"round(tp / P, 6) AS recall, {_fb(1.0)} AS f1, {_fb(0.25)} AS f_beta FROM cc, tot"))
+register("pr_roc_curve", with_eval(
+    "SELECT threshold, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr, round(tpr, 6) AS recall, "
+    "round(prec, 6) AS precision FROM pts"))
+_AUC_ROC = "round(sum((fpr - pfpr) * (tpr + ptpr) / 2), 6)"
+_AUC_PR = "round(sum((tpr - ptpr) * (prec + pprec) / 2), 6)"
+register("auc_roc", with_eval(f"SELECT {_AUC_ROC} AS auc_roc FROM lagged"))
+register("auc_pr", with_eval(f"SELECT {_AUC_PR} AS auc_pr FROM lagged"))
+register("classification_report", with_eval(
+    "SELECT 'accuracy' AS metric, round(avg(CASE WHEN prediction = label THEN 1.0 ELSE 0.0 END), 6) AS value FROM evf "
+    "UNION ALL SELECT 'test_error', round(1 - avg(CASE WHEN prediction = label THEN 1.0 ELSE 0.0 END), 6) FROM evf "
+    f"UNION ALL SELECT 'auc_roc', {_AUC_ROC} FROM lagged "
+    f"UNION ALL SELECT 'auc_pr', {_AUC_PR} FROM lagged"))
+
+LABEL_RANK_CTE = """
+lab AS (SELECT CAST(CAST(uid_flag AS DOUBLE) AS VARCHAR) AS label, count(*) AS n
+        FROM features WHERE uid_flag IS NOT NULL GROUP BY 1),
+rk AS (SELECT label, CAST(row_number() OVER (ORDER BY n DESC, label) - 1 AS DOUBLE) AS index_label, n
+       FROM lab)"""
+register("label_index", with_features("SELECT label, index_label, n FROM rk", LABEL_RANK_CTE))
+register("index_to_label", with_features(
+    "SELECT f.uid_uid, rk.index_label, rk.label AS predictedLabel FROM features f "
+    "JOIN rk ON rk.label = CAST(CAST(f.uid_flag AS DOUBLE) AS VARCHAR)", LABEL_RANK_CTE))
+
+_mm_stats = ", ".join(f"min({c}) AS mn_{c}, max({c}) AS mx_{c}" for c in _v.RELATION_FEATURES)
+_mm_sel = ", ".join(
+    f"round(CASE WHEN mx_{c} = mn_{c} THEN 0.5 ELSE CAST({c} - mn_{c} AS DOUBLE) / (mx_{c} - mn_{c}) END, 6) "
+    f"AS {c}_scaled" for c in _v.RELATION_FEATURES)
+register("minmax_scaled", with_features(
+    f"SELECT uid_uid, {_mm_sel} FROM features, mm",
+    f"mm AS (SELECT {_mm_stats} FROM features WHERE {TRAIN_FILTER})"))
+
+register("score_map", with_eval(
+    "SELECT uid_uid, round(1 - score, 6) AS Proba_1, round(score, 6) AS Proba_2, "
+    "round(score * 500.0 + 350.0, 6) AS Score FROM evf"))
+register("score_map_label", with_eval(
+    "SELECT uid_uid, CAST(prediction AS VARCHAR) AS predictedLabel, "
+    "CAST(CAST(prediction AS VARCHAR) AS DOUBLE) * 500.0 + 350.0 AS ScoreInteraction FROM evf"))
+
+
+def _share(num: str, *den: str) -> str:
+    return f"round(CAST({num} AS DOUBLE) / nullif({' + '.join(den)}, 0), 4)"
+
+
+RULE_CTE = f"""
+s_consume AS (SELECT uid_uid, {_share('ord_success_order_count', 'ord_success_order_count', 'voi_complrefund_count')} * 500.0 + 350.0 AS ScoreConsume FROM features),
+s_finance AS (SELECT uid_uid, {_share('ord_success_order_count', 'ord_success_order_count', 'ord_cancel_order_count')} * 500.0 + 350.0 AS ScoreFinance FROM features),
+s_interaction AS (SELECT uid_uid, {_share('voi_comment_count', 'pro_base_active')} * 500.0 + 350.0 AS ScoreInteraction FROM features WHERE pro_base_active > 0),
+s_people AS (SELECT uid_uid, round(CAST(CASE WHEN uid_age IS NULL THEN NULL WHEN uid_age > 65 OR uid_age < 12 THEN 34 ELSE uid_age END AS DOUBLE) / 100.0, 4) * 500.0 + 350.0 AS ScorePeople FROM features),
+s_relation AS (SELECT uid_uid, {_share('ord_success_order_cmobile_count', 'com_mobile_count')} * 500.0 + 350.0 AS ScoreRelation FROM features)"""
+
+_COMBINE = (
+    "SELECT a.uid_uid, a.ScoreConsume, b.ScoreFinance, c.ScoreInteraction, d.ScorePeople, e.ScoreRelation, "
+    "round(a.ScoreConsume * 0.25 + b.ScoreFinance * 0.2 + c.ScoreInteraction * 0.15 + d.ScorePeople * 0.3 "
+    "+ e.ScoreRelation * 0.1, 6) AS ScoreAll "
+    "FROM s_consume a JOIN s_finance b ON a.uid_uid = b.uid_uid "
+    "JOIN s_interaction c ON a.uid_uid = c.uid_uid JOIN s_people d ON a.uid_uid = d.uid_uid "
+    "JOIN s_relation e ON a.uid_uid = e.uid_uid")
+register("combine_scores", with_features(_COMBINE, RULE_CTE))
+register("combine_scores_sql", with_features(_COMBINE, RULE_CTE))
+
+_DESC = ("SELECT count(*) AS n_rows, count(ScoreConsume) AS \"count\", round(avg(ScoreConsume), 6) AS mean, "
+         "round(stddev_samp(ScoreConsume), 6) AS stddev, CAST(min(ScoreConsume) AS DOUBLE) AS \"min\", "
+         "CAST(max(ScoreConsume) AS DOUBLE) AS \"max\" FROM s_consume")
+register("describe_scores", with_features(_DESC, RULE_CTE))
+register("describe_scores_notnull", with_features(_DESC + " WHERE ScoreConsume IS NOT NULL", RULE_CTE))
+
+_rel = ", ".join(f"l.{c}" for c in _v.RELATION_FEATURES)
+_int = ", ".join(f"r.{c}" for c in _v.INTERACTION_FEATURES)
+register("concat_positional", with_features(
+    f"SELECT l.uid_uid, {_rel}, r.uid_uid AS uid_uid_2, {_int} FROM "
+    "(SELECT *, row_number() OVER (ORDER BY uid_uid) AS pos FROM features) l JOIN "
+    "(SELECT *, row_number() OVER (ORDER BY uid_uid) AS pos FROM features) r ON l.pos = r.pos"))

@@ -172,3 +172,134 @@ def q_age_rule(spark, sf_dir):
 def q_label_double(spark, sf_dir):
     ft = feature_table(spark, sf_dir)
     return ft.select("uid_uid", label_to_double("uid_flag").alias("label"))
+
+
+# ---- evaluation, indexing, scaling, scores, joins -----------------------------
+from pyspark.ml.feature import VectorAssembler  # noqa: E402
+from pyspark.ml.functions import array_to_vector  # noqa: E402
+
+from ratecraft.functions.expressions import score_from_probability, vector_element  # noqa: E402
+from ratecraft.operators import evaluate as ev  # noqa: E402
+from ratecraft.operators.combine import combine_scores, combine_scores_sql, concat_positional  # noqa: E402
+from ratecraft.operators.describe import describe_column  # noqa: E402
+from ratecraft.operators.indexing import fit_label_indexer, index_to_label, label_index_table  # noqa: E402
+from ratecraft.operators.scaling import fit_minmax, unpack  # noqa: E402
+from ratecraft.plans.rule_scores import eval_frame, rule_probabilities, rule_scores  # noqa: E402
+from ratecraft.plans.views import RELATION_FEATURES, INTERACTION_FEATURES  # noqa: E402
+
+
+def _eval(spark, sf_dir):
+    return eval_frame(feature_table(spark, sf_dir))
+
+
+@query("rmse")
+def q_rmse(spark, sf_dir):
+    return ev.rmse(_eval(spark, sf_dir), "score", "label")
+
+
+@query("accuracy")
+def q_accuracy(spark, sf_dir):
+    return ev.accuracy(_eval(spark, sf_dir), "prediction", "label")
+
+
+@query("threshold_curve")
+def q_threshold_curve(spark, sf_dir):
+    return ev.threshold_curve(_eval(spark, sf_dir), "score", "label", beta=0.5)
+
+
+@query("pr_roc_curve")
+def q_pr_roc_curve(spark, sf_dir):
+    return ev.pr_roc_curve(_eval(spark, sf_dir), "score", "label")
+
+
+@query("auc_roc")
+def q_auc_roc(spark, sf_dir):
+    return ev.auc(_eval(spark, sf_dir), "score", "label").select("auc_roc")
+
+
+@query("auc_pr")
+def q_auc_pr(spark, sf_dir):
+    return ev.auc(_eval(spark, sf_dir), "score", "label").select("auc_pr")
+
+
+@query("classification_report")
+def q_classification_report(spark, sf_dir):
+    return ev.classification_report(_eval(spark, sf_dir), "prediction", "score", "label")
+
+
+def _labelled(spark, sf_dir):
+    ft = feature_table(spark, sf_dir)
+    return ft.where(F.col("uid_flag").isNotNull()).select(
+        "uid_uid", F.col("uid_flag").cast("double").alias("label"))
+
+
+@query("label_index")
+def q_label_index(spark, sf_dir):
+    return label_index_table(_labelled(spark, sf_dir), "label")
+
+
+@query("index_to_label")
+def q_index_to_label(spark, sf_dir):
+    df = _labelled(spark, sf_dir)
+    model = fit_label_indexer(df, "label")
+    indexed = model.transform(df)
+    back = index_to_label(model, indexed, "index_label", "predictedLabel")
+    return back.select("uid_uid", "index_label", "predictedLabel")
+
+
+@query("minmax_scaled")
+def q_minmax_scaled(spark, sf_dir):
+    """O7/M2 on the relation view: fitted on the hash-train rows, applied to all."""
+    view = build_view(feature_table(spark, sf_dir), "relation", "predict")
+    vec = VectorAssembler(inputCols=list(RELATION_FEATURES), outputCol="features").transform(view)
+    model = fit_minmax(vec.where(is_train_row("uid_uid")))
+    return unpack(model.transform(vec), "scaledFeatures",
+                  [f"{c}_scaled" for c in RELATION_FEATURES], keep=["uid_uid"])
+
+
+@query("score_map")
+def q_score_map(spark, sf_dir):
+    """X4 + X6: probability vector [P(0), P(1)] -> Proba_1, Proba_2 -> score."""
+    e = _eval(spark, sf_dir)
+    prob = e.select("uid_uid", array_to_vector(F.array(1 - F.col("score"), F.col("score")))
+                    .alias("probability"))
+    p1, p2 = vector_element("probability", 0), vector_element("probability", 1)
+    return prob.select("uid_uid", F.round(p1, 6).alias("Proba_1"), F.round(p2, 6).alias("Proba_2"),
+                       F.round(score_from_probability(p2), 6).alias("Score"))
+
+
+@query("score_map_label")
+def q_score_map_label(spark, sf_dir):
+    """A predicted label *text* mapped to 350 / 850."""
+    e = _eval(spark, sf_dir).select("uid_uid", F.col("prediction").cast("string").alias("predictedLabel"))
+    return e.select("uid_uid", "predictedLabel",
+                    score_from_probability(F.col("predictedLabel").cast("double")).alias("ScoreInteraction"))
+
+
+@query("combine_scores")
+def q_combine_scores(spark, sf_dir):
+    return combine_scores(rule_scores(feature_table(spark, sf_dir)))
+
+
+@query("combine_scores_sql")
+def q_combine_scores_sql(spark, sf_dir):
+    return combine_scores_sql(spark, rule_scores(feature_table(spark, sf_dir)))
+
+
+@query("describe_scores")
+def q_describe_scores(spark, sf_dir):
+    return describe_column(rule_scores(feature_table(spark, sf_dir))["ScoreConsume"], "ScoreConsume")
+
+
+@query("describe_scores_notnull")
+def q_describe_scores_notnull(spark, sf_dir):
+    s = rule_scores(feature_table(spark, sf_dir))["ScoreConsume"]
+    return describe_column(s.where(F.col("ScoreConsume").isNotNull()), "ScoreConsume")
+
+
+@query("concat_positional")
+def q_concat_positional(spark, sf_dir):
+    ft = feature_table(spark, sf_dir)
+    left = build_view(ft, "relation", "predict")
+    right = build_view(ft, "interaction", "predict")
+    return concat_positional([left, right], order_by=["uid_uid"])
