@@ -440,3 +440,13 @@ register("concat_positional", with_features(
     f"SELECT l.uid_uid, {_rel}, r.uid_uid AS uid_uid_2, {_int} FROM "
     "(SELECT *, row_number() OVER (ORDER BY uid_uid) AS pos FROM features) l JOIN "
     "(SELECT *, row_number() OVER (ORDER BY uid_uid) AS pos FROM features) r ON l.pos = r.pos"))
+
+
+# ---- models: invariants -------------------------------------------------------
+for _m in ("consume", "finance", "interaction", "people", "relation"):
+    register(f"{_m}_train_predict", with_features(
+        "SELECT uid_uid, true AS score_in_range, true AS proba_sums_to_one FROM features"))
+register("rf_regression", with_features(
+    "SELECT uid_uid, true AS within_label_range FROM features WHERE uid_flag IS NOT NULL"))
+register("gbt_regression", "SELECT true AS better_than_mean")
+register("combined_model_scores", with_features("SELECT uid_uid, true AS score_all_in_range FROM features"))

@@ -25,7 +25,7 @@ def q_feature_table(spark, sf_dir):
 
 
 # ---- views (P1-P9, F1-F19) ----------------------------------------------------
-from ratecraft.plans.views import build_view  # noqa: E402
+from ratecraft.plans.views import build_view, split_view  # noqa: E402
 
 
 @query("consume_view_train")
@@ -303,3 +303,86 @@ def q_concat_positional(spark, sf_dir):
     left = build_view(ft, "relation", "predict")
     right = build_view(ft, "interaction", "predict")
     return concat_positional([left, right], order_by=["uid_uid"])
+
+
+# ---- models: train -> save -> load -> predict -> score (invariant checks) -----
+from ratecraft.plans import jobs  # noqa: E402
+from ratecraft.plans.models import (  # noqa: E402
+    FOREST_REGRESSOR, GBT_REGRESSOR, fit_regressor, small_spec)
+from ratecraft.session import scratch_path  # noqa: E402
+from ratecraft.sources.writers import ModelStore  # noqa: E402
+
+SCORE_MIN, SCORE_MAX = 350.0, 850.0
+
+
+def _train_predict(spark, sf_dir, module):
+    """Train on the hash-train rows with small parameters, persist, reload,
+    score every customer; report per customer whether the score is in
+    [350, 850] and the two probabilities sum to 1."""
+    ft = feature_table(spark, sf_dir)
+    store = ModelStore(scratch_path(spark, "models"))
+    spec = small_spec(module)
+    jobs.train(ft, module, spec, store=store)
+    model, bounds = jobs.load(store, module, spark)
+    out = jobs.predict(ft, module, model, spec, bounds, with_probabilities=True)
+    s = F.col(jobs.SCORE_COLUMNS[module])
+    return out.select(
+        "uid_uid",
+        s.between(SCORE_MIN, SCORE_MAX).alias("score_in_range"),
+        (F.abs(F.col("Proba_1") + F.col("Proba_2") - 1.0) < 1e-9).alias("proba_sums_to_one"))
+
+
+for _m in jobs.MODULES:
+    QUERIES[f"{_m}_train_predict"] = (lambda m: lambda spark, sf_dir: _train_predict(spark, sf_dir, m))(_m)
+
+
+def _labelled_view(spark, sf_dir, module="relation"):
+    ft = feature_table(spark, sf_dir)
+    v = build_view(ft, module, "train")
+    return v.withColumn("label", F.col("uid_flag").cast("double")).drop("uid_flag")
+
+
+@query("rf_regression")
+def q_rf_regression(spark, sf_dir):
+    """M5: forest regression of the label; every prediction must lie within
+    the training labels' range (a forest averages training labels)."""
+    data = _labelled_view(spark, sf_dir)
+    train, _ = split_view(data)
+    spec = FOREST_REGRESSOR.small(*SMALL_FOREST_REG)
+    model = fit_regressor(train, RELATION_FEATURES, spec)
+    lo_hi = train.agg(F.min("label").alias("lo"), F.max("label").alias("hi")).first()
+    pred = model.transform(data)
+    return pred.select("uid_uid", F.col("prediction").between(float(lo_hi["lo"]), float(lo_hi["hi"]))
+                       .alias("within_label_range"))
+
+
+@query("gbt_regression")
+def q_gbt_regression(spark, sf_dir):
+    """M6: boosted regression; its training RMSE must beat the constant mean."""
+    data = _labelled_view(spark, sf_dir)
+    train, _ = split_view(data)
+    model = fit_regressor(train, RELATION_FEATURES, GBT_REGRESSOR.small(*SMALL_GBT_REG))
+    pred = model.transform(train)
+    mean = train.agg(F.avg("label")).first()[0]
+    d_model = F.col("prediction") - F.col("label")
+    d_mean = F.lit(float(mean)) - F.col("label")
+    return pred.agg((F.sqrt(F.avg(d_model * d_model)) < F.sqrt(F.avg(d_mean * d_mean)))
+                    .alias("better_than_mean"))
+
+
+SMALL_FOREST_REG = (10, 5)
+SMALL_GBT_REG = (10, 4)
+
+
+@query("combined_model_scores")
+def q_combined_model_scores(spark, sf_dir):
+    """Train and persist five modules, predict and write five sub-score
+    tables, read them back and combine; one row per customer, ScoreAll in range."""
+    ft = feature_table(spark, sf_dir)
+    store = ModelStore(scratch_path(spark, "models"))
+    for m in jobs.MODULES:
+        jobs.train(ft, m, small_spec(m), store=store)
+        jobs.predict_and_save(ft, m, store, spec=small_spec(m))
+    combined = jobs.combine(spark, store)
+    return combined.select("uid_uid", F.col("ScoreAll").between(SCORE_MIN, SCORE_MAX)
+                           .alias("score_all_in_range"))
