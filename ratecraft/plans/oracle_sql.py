@@ -450,3 +450,12 @@ register("rf_regression", with_features(
     "SELECT uid_uid, true AS within_label_range FROM features WHERE uid_flag IS NOT NULL"))
 register("gbt_regression", "SELECT true AS better_than_mean")
 register("combined_model_scores", with_features("SELECT uid_uid, true AS score_all_in_range FROM features"))
+
+
+# ---- sources and sinks --------------------------------------------------------
+register("csv_roundtrip", with_features("SELECT * FROM features"))
+register("json_roundtrip", with_features("SELECT * FROM features"))
+register("catalog_table", with_features("SELECT * FROM features"))
+register("score_parquet_roundtrip", with_features("SELECT uid_uid, ScoreConsume FROM s_consume", RULE_CTE))
+register("profile", with_features(f"SELECT count(*) AS n_rows, {len(_RAW_TYPES)} AS n_columns FROM features"))
+register("preview", with_features("SELECT * FROM features ORDER BY uid_uid LIMIT 5"))

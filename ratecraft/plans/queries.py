@@ -386,3 +386,54 @@ def q_combined_model_scores(spark, sf_dir):
     combined = jobs.combine(spark, store)
     return combined.select("uid_uid", F.col("ScoreAll").between(SCORE_MIN, SCORE_MAX)
                            .alias("score_all_in_range"))
+
+
+# ---- sources and sinks (S1-S6, S10, S4, L1) -----------------------------------
+from ratecraft.sources.readers import preview, profile, read_csv, read_json, read_table  # noqa: E402
+from ratecraft.sources.schemas import feature_schema  # noqa: E402
+from ratecraft.sources.writers import read_scores, write_scores  # noqa: E402
+
+
+@query("csv_roundtrip")
+def q_csv_roundtrip(spark, sf_dir):
+    """The feature table written as CSV with a header and read back with
+    the explicit schema (no inference pass)."""
+    path = scratch_path(spark, "csv")
+    feature_table(spark, sf_dir).write.mode("errorifexists").option("header", True).csv(path)
+    return read_csv(spark, path, feature_schema())
+
+
+@query("json_roundtrip")
+def q_json_roundtrip(spark, sf_dir):
+    """JSON lines round trip (NULL fields are omitted on write and come
+    back NULL through the schema)."""
+    path = scratch_path(spark, "json")
+    feature_table(spark, sf_dir).write.mode("errorifexists").json(path)
+    return read_json(spark, path, feature_schema())
+
+
+@query("catalog_table")
+def q_catalog_table(spark, sf_dir):
+    """Register under a name, read back by that name."""
+    feature_table(spark, sf_dir).createOrReplaceTempView("ratecraft_features")
+    return read_table(spark, "ratecraft_features")
+
+
+@query("score_parquet_roundtrip")
+def q_score_parquet_roundtrip(spark, sf_dir):
+    """A sub-score table written (refusing an existing path) and read
+    back with the fixed two-column schema."""
+    path = scratch_path(spark, "scores")
+    write_scores(rule_scores(feature_table(spark, sf_dir))["ScoreConsume"], path)
+    return read_scores(spark, path, "ScoreConsume")
+
+
+@query("profile")
+def q_profile(spark, sf_dir):
+    return profile(feature_table(spark, sf_dir))
+
+
+@query("preview")
+def q_preview(spark, sf_dir):
+    """L1: the first five customers by key (the limit is the feature)."""
+    return preview(feature_table(spark, sf_dir), 5, order_by="uid_uid")
