@@ -12,12 +12,13 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratecraft.functions.expressions import label_to_double
+from ratecraft.functions.expressions import label_to_double, vector_element
 from ratecraft.operators import evaluate as ev
 from ratecraft.operators.combine import combine_scores
 from ratecraft.operators.outliers import Bounds
 from ratecraft.plans.models import (
-    KEY, MODULE_MODELS, ModelSpec, proba_columns, fit_classifier, good_probability, score_column)
+    KEY, MODULE_MODELS, ModelSpec, all_present, fit_classifier, good_probability, score_column,
+    scoring_model)
 from ratecraft.plans.views import LABEL, VIEWS, build_view, fit_view_bounds, split_view
 from ratecraft.sources.writers import ModelStore, read_scores, write_scores
 
@@ -66,23 +67,32 @@ def train(features: DataFrame, module: str, spec: ModelSpec | None = None,
 
 
 def predict(features: DataFrame, module: str, model: PipelineModel, spec: ModelSpec | None = None,
-            bounds: Bounds | None = None, fill_override=None, with_probabilities: bool = False
-            ) -> DataFrame:
+            bounds: Bounds | None = None, fill_override=None, with_probabilities: bool = False,
+            with_status: bool = False) -> DataFrame:
     """View (prediction phase, training bounds) -> transform -> score.
 
     Returns (uid_uid, Score<Module>) or, with ``with_probabilities``,
-    (uid_uid, Proba_1, Proba_2, Score<Module>)."""
+    (uid_uid, Proba_1, Proba_2, Score<Module>); ``with_status`` adds
+    ``scored`` (all features present).  Every input row is kept: a customer
+    with a NULL feature (unfilled views) gets NULL probabilities and score
+    instead of a score computed from a missing value."""
     _check_module(module)
     spec = spec or MODULE_MODELS[module]
     vs = VIEWS[module]
     if vs.clamp and bounds is None:
         raise ValueError(f"{module}: pass the bounds fitted at training time")
     view = build_view(features, vs, "predict", bounds=bounds, fill_override=fill_override)
-    pred = model.transform(view)
-    score = score_column(model, spec).alias(SCORE_COLUMNS[module])
+    pred = scoring_model(model).transform(view)
+    ok = all_present(vs.features)
+    guard = lambda c, name: F.when(ok, c).alias(name)
+    out = [KEY]
     if with_probabilities:
-        return pred.select(KEY, *proba_columns(), score)
-    return pred.select(KEY, score)
+        out += [guard(vector_element("probability", 0), "Proba_1"),
+                guard(vector_element("probability", 1), "Proba_2")]
+    out.append(guard(score_column(model, spec), SCORE_COLUMNS[module]))
+    if with_status:
+        out.append(ok.alias("scored"))
+    return pred.select(*out)
 
 
 def load(store: ModelStore, module: str, spark) -> tuple[PipelineModel, Bounds | None]:

@@ -131,6 +131,25 @@ def fit_regressor(train: DataFrame, features: Sequence[str], spec: ModelSpec,
         data.unpersist()
 
 
+def scoring_model(model: PipelineModel) -> PipelineModel:
+    """A copy of ``model`` whose VectorAssembler keeps rows with NULL inputs
+    (as NaN) instead of failing; callers null out those rows' scores."""
+    stages = list(model.stages)
+    first = stages[0]
+    if isinstance(first, VectorAssembler):
+        stages[0] = first.copy({first.handleInvalid: "keep"})
+    return PipelineModel(stages)
+
+
+def all_present(features: Sequence[str]):
+    """Column: every feature of the row is non-NULL (and not NaN)."""
+    cond = None
+    for c in features:
+        ok = F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+        cond = ok if cond is None else cond & ok
+    return cond
+
+
 def label_indexer_of(model: PipelineModel):
     for st in model.stages:
         if hasattr(st, "labels") and st.__class__.__name__ == "StringIndexerModel":

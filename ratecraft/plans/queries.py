@@ -324,12 +324,14 @@ def _train_predict(spark, sf_dir, module):
     spec = small_spec(module)
     jobs.train(ft, module, spec, store=store)
     model, bounds = jobs.load(store, module, spark)
-    out = jobs.predict(ft, module, model, spec, bounds, with_probabilities=True)
-    s = F.col(jobs.SCORE_COLUMNS[module])
+    out = jobs.predict(ft, module, model, spec, bounds, with_probabilities=True, with_status=True)
+    s, scored = F.col(jobs.SCORE_COLUMNS[module]), F.col("scored")
+    # a customer with missing inputs must come back unscored (NULL), all others in range
     return out.select(
         "uid_uid",
-        s.between(SCORE_MIN, SCORE_MAX).alias("score_in_range"),
-        (F.abs(F.col("Proba_1") + F.col("Proba_2") - 1.0) < 1e-9).alias("proba_sums_to_one"))
+        F.when(scored, s.between(SCORE_MIN, SCORE_MAX)).otherwise(s.isNull()).alias("score_in_range"),
+        F.when(scored, F.abs(F.col("Proba_1") + F.col("Proba_2") - 1.0) < 1e-9)
+         .otherwise(F.col("Proba_1").isNull() & F.col("Proba_2").isNull()).alias("proba_sums_to_one"))
 
 
 for _m in jobs.MODULES:
@@ -384,8 +386,12 @@ def q_combined_model_scores(spark, sf_dir):
         jobs.train(ft, m, small_spec(m), store=store)
         jobs.predict_and_save(ft, m, store, spec=small_spec(m))
     combined = jobs.combine(spark, store)
-    return combined.select("uid_uid", F.col("ScoreAll").between(SCORE_MIN, SCORE_MAX)
-                           .alias("score_all_in_range"))
+    any_null = None
+    for c in jobs.SCORE_COLUMNS.values():
+        any_null = F.col(c).isNull() if any_null is None else any_null | F.col(c).isNull()
+    total = F.col("ScoreAll")
+    return combined.select("uid_uid", F.when(total.isNull(), any_null)
+                           .otherwise(total.between(SCORE_MIN, SCORE_MAX)).alias("score_all_in_range"))
 
 
 # ---- sources and sinks (S1-S6, S10, S4, L1) -----------------------------------
