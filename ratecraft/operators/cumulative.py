@@ -22,12 +22,13 @@ from ratecraft.operators.broadcast import bounded_broadcast
 def cumulative_sums(df: DataFrame, group_cols: Sequence[str], order_col: str,
                     sum_cols: Sequence[str], descending: bool = False,
                     num_buckets: int = 64, accuracy: int = 10_000,
-                    prefix: str = "cum_") -> DataFrame:
+                    prefix: str = "cum_", known_small: bool = False) -> DataFrame:
     """Add ``<prefix><c>`` = sum of ``c`` over rows of the same group whose
     key is <= (or >= when ``descending``) this row's key.
 
     Input should hold one row per (group, key) -- e.g. value counts -- so a
-    hot key is one row, not a hot slice.
+    hot key is one row, not a hot slice.  ``known_small`` (the caller checked
+    the row count, e.g. <= 10,000) takes a single plain window instead.
 
     ``group_cols`` must have few distinct values (e.g. one per feature column):
     the slice boundaries, one small array per group, are broadcast.
@@ -36,6 +37,11 @@ def cumulative_sums(df: DataFrame, group_cols: Sequence[str], order_col: str,
     key = F.col(order_col).cast("double")
     key = -key if descending else key
     keyed = df.withColumn("_key", key)
+    if known_small:
+        # the caller has checked the row count: one plain window is cheaper
+        w = ((Window.partitionBy(*group_cols) if group_cols else Window).orderBy("_key")
+             .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+        return keyed.select(*df.columns, *[F.sum(c).over(w).alias(f"{prefix}{c}") for c in sum_cols])
     probs = [i / num_buckets for i in range(1, num_buckets)]
     bounds_agg = F.percentile_approx("_key", probs, accuracy).alias("_bounds")
     if group_cols:

@@ -37,22 +37,34 @@ def _positive(label: str) -> Column:
     return F.col(label).cast("double") == 1.0
 
 
-def score_counts(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    """(threshold, tp, fp) per distinct score: positives / negatives at that score."""
+def score_counts(df: DataFrame, score: str = "score", label: str = "label",
+                 prediction: str | None = None) -> DataFrame:
+    """(threshold, tp, fp[, hits]) per distinct score: positives / negatives at
+    that score (and rows whose ``prediction`` equals the label)."""
     pos = _positive(label)
+    aggs = [F.count(F.when(pos, 1)).alias("tp"), F.count(F.when(~pos, 1)).alias("fp")]
+    if prediction is not None:
+        aggs.append(F.count(F.when(F.col(prediction).cast("double") == F.col(label).cast("double"), 1))
+                    .alias("hits"))
     return (df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-            .groupBy(F.col(score).cast("double").alias("threshold"))
-            .agg(F.count(F.when(pos, 1)).alias("tp"), F.count(F.when(~pos, 1)).alias("fp")))
+            .groupBy(F.col(score).cast("double").alias("threshold")).agg(*aggs))
 
 
-def _cumulative(df: DataFrame, score: str, label: str) -> tuple[DataFrame, int, int]:
-    counts = score_counts(df, score, label)
+SMALL_CURVE = 10_000   # thresholds; at most this many may use one plain window
+
+
+def _cumulative_counts(counts: DataFrame, known_small: bool = False) -> tuple[DataFrame, int, int]:
     tot = counts.agg(F.sum("tp").alias("p"), F.sum("fp").alias("n")).first()
     P, N = int(tot["p"] or 0), int(tot["n"] or 0)
-    cum = cumulative_sums(counts, [], "threshold", ["tp", "fp"], descending=True)
+    cum = cumulative_sums(counts, [], "threshold", ["tp", "fp"], descending=True,
+                          known_small=known_small)
     return cum, P, N
 
 
+def _cumulative(df: DataFrame, score: str, label: str) -> tuple[DataFrame, int, int]:
+    return _cumulative_counts(score_counts(df, score, label))
+
+
 def _f_beta(prec: Column, rec: Column, beta: float) -> Column:
     b2 = beta * beta
     den = F.lit(b2) * prec + rec
@@ -73,10 +85,12 @@ def threshold_curve(df: DataFrame, score: str = "score", label: str = "label",
         _r(_f_beta(prec, rec, beta)).alias("f_beta"))
 
 
-def curve_points(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
+def curve_points(df: DataFrame, score: str = "score", label: str = "label",
+                 counts: DataFrame | None = None, known_small: bool = False) -> DataFrame:
     """ROC (fpr, tpr) and PR (recall, precision) point per threshold,
     plus each point's trapezoid under both curves."""
-    cum, P, N = _cumulative(df, score, label)
+    cum, P, N = _cumulative_counts(counts if counts is not None else score_counts(df, score, label),
+                                   known_small)
     tp, fp, ctp, cfp = F.col("tp"), F.col("fp"), F.col("cum_tp"), F.col("cum_fp")
     Pl, Nl = F.lit(float(max(P, 1))), F.lit(float(max(N, 1)))
     prec = ctp / (ctp + cfp)
@@ -113,3 +127,25 @@ def classification_report(df: DataFrame, prediction: str = "prediction",
         *[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value"))
           for m in ("accuracy", "test_error", "auc_roc", "auc_pr")]))).where(
         F.col("value").isNotNull())
+
+
+def report_metrics(df: DataFrame, prediction: str = "prediction", score: str = "score",
+                   label: str = "label") -> dict[str, float]:
+    """E11, eager: one pass over the rows (per-threshold tp / fp / hits); the
+    per-threshold table -- bounded by the number of distinct scores -- is
+    persisted while accuracy and both areas are derived from it, then released."""
+    from pyspark import StorageLevel
+    counts = score_counts(df, score, label, prediction).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        tot = counts.agg(F.sum("hits").alias("h"), (F.sum("tp") + F.sum("fp")).alias("n"),
+                         F.count(F.lit(1)).alias("k")).first()
+        n = int(tot["n"] or 0)
+        acc = (tot["h"] or 0) / n if n else None
+        small = int(tot["k"]) <= SMALL_CURVE
+        areas = curve_points(None, counts=counts.select("threshold", "tp", "fp"), known_small=small).agg(
+            F.sum("roc_area").alias("auc_roc"), F.sum("pr_area").alias("auc_pr")).first()
+        out = {"accuracy": acc, "test_error": None if acc is None else 1 - acc,
+               "auc_roc": areas["auc_roc"], "auc_pr": areas["auc_pr"], "n": float(n)}
+        return {k: (None if v is None else round(float(v), ROUND)) for k, v in out.items()}
+    finally:
+        counts.unpersist()

@@ -35,7 +35,7 @@ class Trained:
     spec: ModelSpec
     model: PipelineModel
     bounds: Bounds | None
-    report: DataFrame          # long-format metrics on the evaluation rows
+    report: dict               # accuracy, test_error, auc_roc, auc_pr, n on the evaluation rows
 
 
 def _check_module(module: str) -> None:
@@ -58,7 +58,7 @@ def train(features: DataFrame, module: str, spec: ModelSpec | None = None,
     scored = model.transform(te if eval_on == "test" else labelled)
     report_in = scored.select(F.col("predictedLabel").cast("double").alias("prediction"),
                               good_probability(model).alias("score"), "label")
-    report = ev.classification_report(report_in, "prediction", "score", "label")
+    report = ev.report_metrics(report_in, "prediction", "score", "label")
     if store is not None:
         store.save_model(module, model)
         if bounds is not None:

@@ -40,7 +40,9 @@ class ModelSpec:
     scaled: bool = True
     score_mode: str = "probability"   # probability | label
     seed: int = 42
-    layout_partitions: int | None = None   # None: the session's shuffle partitions
+    layout_partitions: int | None = None   # None: from the row count (see fixed_layout)
+    rows_per_partition: int = 200_000
+    min_partitions: int = 8
     max_memory_mb: int = 256
     checkpoint_interval: int = 10
 
@@ -93,8 +95,18 @@ def _estimator(spec: ModelSpec, label_col: str, features_col: str):
 
 
 def fixed_layout(df: DataFrame, spec: ModelSpec, key: str = KEY) -> DataFrame:
-    """A layout that depends only on the keys, not on how the input arrived."""
-    n = spec.layout_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """A layout that depends only on the rows, not on how they arrived:
+    hash-partitioned by key into n partitions, sorted by key inside each.
+
+    n is ``layout_partitions`` or, when unset, ceil(rows / rows_per_partition)
+    capped by the session's shuffle partitions -- a function of the data (one
+    count), so the same rows always give the same layout and the same trees.
+    At least ``min_partitions`` so small sets still train in parallel."""
+    n = spec.layout_partitions
+    if not n:
+        cap = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rows = df.count()
+        n = max(1, min(cap, max(spec.min_partitions, -(-rows // spec.rows_per_partition))))
     return df.repartition(n, key).sortWithinPartitions(key)
 
 

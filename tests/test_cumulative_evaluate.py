@@ -72,3 +72,21 @@ def test_recall_is_monotone_on_real_data(spark, features_small):
     from ratecraft.plans.rule_scores import eval_frame
     cur = ev.threshold_curve(eval_frame(features_small)).orderBy(F.desc("threshold")).toPandas()
     assert (np.diff(cur.recall.values) >= -1e-12).all()
+
+
+def test_known_small_path_equals_bucketed(spark):
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame({"k": rng.integers(0, 300, 2000).astype(float), "v": rng.integers(0, 5, 2000)})
+    df = spark.createDataFrame(pdf)
+    a = {r.k: r.cum_v for r in cumulative_sums(df, [], "k", ["v"], descending=True).collect()}
+    b = {r.k: r.cum_v for r in cumulative_sums(df, [], "k", ["v"], descending=True, known_small=True).collect()}
+    assert a == b
+
+
+def test_report_metrics_matches_lazy_report(spark, features_small):
+    from ratecraft.plans.rule_scores import eval_frame
+    e = eval_frame(features_small)
+    eager = ev.report_metrics(e, "prediction", "score", "label")
+    lazy = {r.metric: r.value for r in ev.classification_report(e, "prediction", "score", "label").collect()}
+    for k in ("accuracy", "test_error", "auc_roc", "auc_pr"):
+        assert abs(eager[k] - lazy[k]) < 1e-6
