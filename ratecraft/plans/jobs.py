@@ -118,3 +118,40 @@ def combine(spark, store: ModelStore) -> DataFrame:
     tables = {SCORE_COLUMNS[m]: read_scores(spark, store.predict_path(m), SCORE_COLUMNS[m])
               for m in MODULES}
     return combine_scores(tables)
+
+
+# ---- entry points (C3, C4, C5) ------------------------------------------------
+def read_features(spark, path: str, fmt: str = "csv") -> DataFrame:
+    """The per-customer input table: CSV with header (S1), JSON lines (S2),
+    Parquet, or a catalog table name (S3) -- always with the declared schema."""
+    from ratecraft.sources.readers import read_csv, read_json, read_parquet, read_table
+    from ratecraft.sources.schemas import feature_schema
+    schema = feature_schema()
+    if fmt == "csv":
+        return read_csv(spark, path, schema)
+    if fmt == "json":
+        return read_json(spark, path, schema)
+    if fmt == "parquet":
+        return read_parquet(spark, path, schema)
+    if fmt == "table":
+        return read_table(spark, path)
+    raise ValueError(f"unknown format {fmt!r}")
+
+
+def train_module(spark, module: str, data_path: str, store: ModelStore, fmt: str = "csv",
+                 spec: ModelSpec | None = None) -> dict:
+    """``train <module> <path>``; returns the evaluation metrics."""
+    _check_module(module)
+    return train(read_features(spark, data_path, fmt), module, spec, store=store).report
+
+
+def predict_module(spark, module: str, data_path: str, store: ModelStore, fmt: str = "csv",
+                   spec: ModelSpec | None = None, mode: str = "errorifexists") -> DataFrame:
+    """C4: ``predict <module> <path>``; writes and returns the sub-score table."""
+    _check_module(module)
+    return predict_and_save(read_features(spark, data_path, fmt), module, store, mode=mode, spec=spec)
+
+
+def combine_result(spark, store: ModelStore) -> DataFrame:
+    """``combine``."""
+    return combine(spark, store)

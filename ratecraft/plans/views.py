@@ -165,8 +165,19 @@ def build_view(features: DataFrame, spec: ViewSpec | str, phase: str = "train",
     return out
 
 
-def split_view(view: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(train, test) by the hash of the key -- stable across layouts."""
+def split_view(view: DataFrame, method: str = "hash", seed: int = 42,
+               weights: tuple[float, float] = (0.7, 0.3)) -> tuple[DataFrame, DataFrame]:
+    """M1: (train, test).
+
+    ``hash`` (default, D7): 70/30 by the md5 of the key -- the same customer
+    always lands on the same side, whatever the partitioning.  ``random``:
+    Spark's seeded ``randomSplit`` (the original behaviour, reproducible only
+    for an unchanged input layout)."""
+    if method == "random":
+        tr, te = view.randomSplit(list(weights), seed)
+        return tr, te
+    if method != "hash":
+        raise ValueError("method must be 'hash' or 'random'")
     t = is_train_row(KEY)
     return view.where(t), view.where(~t)
 

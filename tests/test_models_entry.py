@@ -64,3 +64,26 @@ def test_every_query_has_oracle_or_is_listed(spark):
     q, o = e.queries(), e.oracle_sql()
     assert set(o) <= set(q)
     assert len(q) >= 50
+
+
+def test_path_entry_points_and_unknown_module(spark, features_small):
+    import pytest
+    from ratecraft.plans import jobs
+    from ratecraft.plans.models import small_spec
+    from ratecraft.sources.writers import ModelStore
+    path = scratch_path(spark, "csvin")
+    features_small.write.option("header", True).csv(path)
+    store = ModelStore(scratch_path(spark, "store"))
+    rep = jobs.train_module(spark, "relation", path, store, spec=small_spec("relation"))
+    assert set(rep) >= {"accuracy", "auc_roc", "auc_pr"}
+    scores = jobs.predict_module(spark, "relation", path, store, spec=small_spec("relation"))
+    assert scores.count() == features_small.count()
+    with pytest.raises(ValueError):
+        jobs.train_module(spark, "nosuch", path, store)
+
+
+def test_random_split_option(spark, features_small):
+    from ratecraft.plans.views import build_view, split_view
+    v = build_view(features_small, "relation", "train")
+    tr, te = split_view(v, "random", seed=3)
+    assert tr.count() + te.count() == v.count()
