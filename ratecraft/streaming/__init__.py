@@ -1,0 +1,7 @@
+"""Streaming.
+
+The scoring application being reproduced is batch only: it has no stream
+source, watermark, windowed or stateful operator.  Nothing is built here on
+purpose.  (The prediction job is a projection plus a model transform, so it
+can be applied to a streaming DataFrame unchanged if that is ever needed.)
+"""
