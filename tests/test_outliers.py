@@ -101,3 +101,13 @@ def test_bounds_roundtrip_table(spark):
     from ratecraft.operators.outliers import Bounds
     b2 = Bounds.from_df(b.to_df(spark))
     assert b2 == b
+
+
+def test_exact_quantiles_with_a_hot_value(spark):
+    # one value holds a third of the rows: it is one count row, not a hot task
+    vals = [7] * 3000 + list(range(6000))
+    df = spark.createDataFrame([(v,) for v in vals], "a int").repartition(8)
+    probs = [0.1, 0.34, 0.5, 0.9]
+    got = {r.p: r.value for r in exact_quantiles(df, ["a"], probs).collect()}
+    for p in probs:
+        assert got[p] == _disc(vals, p)
