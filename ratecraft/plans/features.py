@@ -41,6 +41,9 @@ LOB_HOTEL_TYPES = ("ECONOMY", "STANDARD")
 FIRST_CLASS_MIN_SIZE = 40
 RETURN_SHARE_GOOD = 0.35
 NATION_MAX_ROWS = 10_000
+# Above this many orders the order join cannot be a broadcast, so the line
+# relation is shuffled for its joins and staging it once pays off.
+STAGE_LINES_MIN_ORDERS = 1_000_000
 # ----------------------------------------------------------------------------
 
 FEATURE_COLUMNS = (
@@ -245,8 +248,10 @@ def customer_columns(customer: DataFrame) -> DataFrame:
     )
 
 
-def build_feature_table(tables: dict[str, DataFrame]) -> DataFrame:
-    ln = line_relation(tables)
+def build_feature_table(tables: dict[str, DataFrame], lines: DataFrame | None = None) -> DataFrame:
+    """``lines``: an already materialized line relation (see
+    ``materialize_feature_table``); computed from ``tables`` when omitted."""
+    ln = lines if lines is not None else line_relation(tables)
     la = line_aggregates(ln).join(line_distinct_counts(ln), "k")
     ev = event_aggregates(tables["events"])
     k = F.col("k")
@@ -272,11 +277,28 @@ def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def materialize_feature_table(spark: SparkSession, sf_dir: str, path: str,
-                              mode: str = "errorifexists") -> DataFrame:
+                              mode: str = "errorifexists", stage_lines: bool | None = None) -> DataFrame:
     """Write the feature table once (Parquet, in a shared folder) and return a
     scan of it: downstream views, fits and predictions then read pruned
     columns instead of re-running the star-schema joins, and the lineage is
-    cut (a lost executor costs a re-read, not a re-join)."""
+    cut (a lost executor costs a re-read, not a re-join).
+
+    ``stage_lines``: the line relation is written first (``<path>_lines``), so
+    its three join shuffles run once and the plain and distinct aggregations
+    each read only their columns from it -- instead of each branch re-running
+    the joins.  The price is one write of the line relation.  ``None`` decides
+    by size: stage when ``orders`` has more than STAGE_LINES_MIN_ORDERS rows
+    (checked with a bounded ``limit().count()``); below that the joins are
+    broadcasts and recomputing them is cheaper than a write."""
     from ratecraft.sources.schemas import feature_schema
-    feature_table(spark, sf_dir).write.mode(mode).parquet(path)
+    tables = load_tables(spark, sf_dir)
+    if stage_lines is None:
+        n = tables["orders"].limit(STAGE_LINES_MIN_ORDERS + 1).count()
+        stage_lines = n > STAGE_LINES_MIN_ORDERS
+    lines = None
+    if stage_lines:
+        lines_path = f"{path.rstrip('/')}_lines"
+        line_relation(tables).write.mode(mode).parquet(lines_path)
+        lines = spark.read.parquet(lines_path)
+    build_feature_table(tables, lines).write.mode(mode).parquet(path)
     return spark.read.schema(feature_schema()).parquet(path)
