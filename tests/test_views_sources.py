@@ -63,3 +63,11 @@ def test_score_sink_refuses_existing_path(spark):
         write_scores(df, path)
     write_scores(df, path, mode="overwrite")
     assert read_scores(spark, path, "ScoreX").collect()[0].ScoreX == 400.0
+
+
+def test_staged_and_direct_feature_tables_are_identical(spark, features_small):
+    from ratecraft.plans.features import materialize_feature_table
+    staged = materialize_feature_table(spark, "/root/testdata/sf0.001", scratch_path(spark, "ft"),
+                                       stage_lines=True)
+    direct = features_small
+    assert staged.exceptAll(direct).count() == 0 and direct.exceptAll(staged).count() == 0
