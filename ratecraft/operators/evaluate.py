@@ -53,9 +53,12 @@ def score_counts(df: DataFrame, score: str = "score", label: str = "label",
 SMALL_CURVE = 10_000   # thresholds; at most this many may use one plain window
 
 
-def _cumulative_counts(counts: DataFrame, known_small: bool = False) -> tuple[DataFrame, int, int]:
-    tot = counts.agg(F.sum("tp").alias("p"), F.sum("fp").alias("n")).first()
-    P, N = int(tot["p"] or 0), int(tot["n"] or 0)
+def _cumulative_counts(counts: DataFrame, known_small: bool = False,
+                       totals: tuple[int, int] | None = None) -> tuple[DataFrame, int, int]:
+    if totals is None:
+        tot = counts.agg(F.sum("tp").alias("p"), F.sum("fp").alias("n")).first()
+        totals = (int(tot["p"] or 0), int(tot["n"] or 0))
+    P, N = totals
     cum = cumulative_sums(counts, [], "threshold", ["tp", "fp"], descending=True,
                           known_small=known_small)
     return cum, P, N
@@ -86,11 +89,12 @@ def threshold_curve(df: DataFrame, score: str = "score", label: str = "label",
 
 
 def curve_points(df: DataFrame, score: str = "score", label: str = "label",
-                 counts: DataFrame | None = None, known_small: bool = False) -> DataFrame:
+                 counts: DataFrame | None = None, known_small: bool = False,
+                 totals: tuple[int, int] | None = None) -> DataFrame:
     """ROC (fpr, tpr) and PR (recall, precision) point per threshold,
     plus each point's trapezoid under both curves."""
     cum, P, N = _cumulative_counts(counts if counts is not None else score_counts(df, score, label),
-                                   known_small)
+                                   known_small, totals)
     tp, fp, ctp, cfp = F.col("tp"), F.col("fp"), F.col("cum_tp"), F.col("cum_fp")
     Pl, Nl = F.lit(float(max(P, 1))), F.lit(float(max(N, 1)))
     prec = ctp / (ctp + cfp)
@@ -137,12 +141,14 @@ def report_metrics(df: DataFrame, prediction: str = "prediction", score: str = "
     from pyspark import StorageLevel
     counts = score_counts(df, score, label, prediction).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        tot = counts.agg(F.sum("hits").alias("h"), (F.sum("tp") + F.sum("fp")).alias("n"),
+        tot = counts.agg(F.sum("hits").alias("h"), F.sum("tp").alias("p"), F.sum("fp").alias("f"),
                          F.count(F.lit(1)).alias("k")).first()
-        n = int(tot["n"] or 0)
+        P, N = int(tot["p"] or 0), int(tot["f"] or 0)
+        n = P + N
         acc = (tot["h"] or 0) / n if n else None
         small = int(tot["k"]) <= SMALL_CURVE
-        areas = curve_points(None, counts=counts.select("threshold", "tp", "fp"), known_small=small).agg(
+        areas = curve_points(None, counts=counts.select("threshold", "tp", "fp"), known_small=small,
+                             totals=(P, N)).agg(
             F.sum("roc_area").alias("auc_roc"), F.sum("pr_area").alias("auc_pr")).first()
         out = {"accuracy": acc, "test_error": None if acc is None else 1 - acc,
                "auc_roc": areas["auc_roc"], "auc_pr": areas["auc_pr"], "n": float(n)}
