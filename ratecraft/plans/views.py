@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ratecraft.functions.expressions import age_fill_flag, age_rule, is_train_row, safe_ratio
 from ratecraft.operators.outliers import Bounds, apply_bounds, bounded_column, fit_bounds
@@ -139,6 +140,39 @@ def fit_view_bounds(features: DataFrame, spec: ViewSpec, rel_error: float = 0.0,
     return fit_bounds(rows, spec.clamp, spec.clamp_method, rel_error)
 
 
+_FRACTIONAL = (T.FloatType, T.DoubleType)
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _fill(expr: Column, dtype: T.DataType, value) -> Column:
+    """``na.fill`` for one numeric column: NULL (and NaN for floating types)
+    -> ``value`` cast to the column's type; other types untouched."""
+    if isinstance(dtype, _FRACTIONAL):
+        return F.when(expr.isNull() | F.isnan(expr), F.lit(float(value)).cast(dtype)).otherwise(expr)
+    if isinstance(dtype, _INTEGRAL) or isinstance(dtype, T.DecimalType):
+        return F.coalesce(expr, F.lit(value).cast(dtype))
+    return expr
+
+
+def view_columns(features: DataFrame, spec: ViewSpec, bounds: Bounds | None = None,
+                 fill_override: float | int | None = None) -> list[Column]:
+    """The feature expressions of one view (derived -> clamped -> filled), in order."""
+    exprs = dict(spec.derived())
+    for c in spec.clamp:
+        exprs[f"{c}_new"] = bounded_column(c, bounds)
+    types = {f.name: f.dataType for f in features.schema.fields}
+    fill = spec.fill if fill_override is None else fill_override
+    cols = []
+    for c in spec.features:
+        if c in exprs:
+            e = exprs[c]
+            dtype = T.IntegerType() if c == "is_age_fill" else T.DoubleType()
+        else:
+            e, dtype = F.col(c), types[c]
+        cols.append((_fill(e, dtype, fill) if fill is not None else e).alias(c))
+    return cols
+
+
 def build_view(features: DataFrame, spec: ViewSpec | str, phase: str = "train",
                bounds: Bounds | None = None, fill_override: float | int | None = None,
                rel_error: float = 0.0) -> DataFrame:
@@ -152,17 +186,24 @@ def build_view(features: DataFrame, spec: ViewSpec | str, phase: str = "train",
     df = features
     if phase == "train":
         df = df.where(F.col(LABEL).isNotNull())
-    exprs = dict(spec.derived())
-    for c in spec.clamp:
-        exprs[f"{c}_new"] = bounded_column(c, bounds)
     head = [KEY, LABEL] if phase == "train" else [KEY]
-    cols = [F.col(c) for c in head]
-    cols += [exprs[c].alias(c) if c in exprs else F.col(c) for c in spec.features]
-    out = df.select(*cols)
-    fill = spec.fill if fill_override is None else fill_override
-    if fill is not None:
-        out = out.na.fill(fill, subset=list(spec.features))
-    return out
+    return df.select(*[F.col(c) for c in head], *view_columns(features, spec, bounds, fill_override))
+
+
+def build_all_views(features: DataFrame, phase: str = "predict", bounds: Bounds | None = None,
+                    fill_overrides: dict | None = None, rel_error: float = 0.0) -> DataFrame:
+    """All five views from ONE scan and ONE projection: ``uid_uid`` (+ label
+    in the train phase) and one struct column per module holding that view's
+    features -- ``df.select(KEY, "consume.*")`` is the consume view."""
+    fill_overrides = fill_overrides or {}
+    if bounds is None:
+        bounds = fit_view_bounds(features, VIEWS["people"], rel_error)
+    df = features.where(F.col(LABEL).isNotNull()) if phase == "train" else features
+    head = [KEY, LABEL] if phase == "train" else [KEY]
+    structs = [F.struct(*view_columns(features, spec, bounds if spec.clamp else None,
+                                      fill_overrides.get(m))).alias(m)
+               for m, spec in VIEWS.items()]
+    return df.select(*[F.col(c) for c in head], *structs)
 
 
 def split_view(view: DataFrame, method: str = "hash", seed: int = 42,
@@ -182,5 +223,5 @@ def split_view(view: DataFrame, method: str = "hash", seed: int = 42,
     return view.where(t), view.where(~t)
 
 
-__all__ = ["ViewSpec", "VIEWS", "build_view", "fit_view_bounds", "split_view", "apply_bounds",
-           "KEY", "LABEL"]
+__all__ = ["ViewSpec", "VIEWS", "build_view", "build_all_views", "view_columns", "fit_view_bounds",
+           "split_view", "apply_bounds", "KEY", "LABEL"]

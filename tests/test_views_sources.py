@@ -71,3 +71,15 @@ def test_staged_and_direct_feature_tables_are_identical(spark, features_small):
                                        stage_lines=True)
     direct = features_small
     assert staged.exceptAll(direct).count() == 0 and direct.exceptAll(staged).count() == 0
+
+
+def test_all_views_in_one_projection_equal_separate_views(features_small):
+    from ratecraft.plans.views import build_all_views, fit_view_bounds
+    b = fit_view_bounds(features_small, VIEWS["people"], rel_error=0.0)
+    allv = build_all_views(features_small, "predict", bounds=b, fill_overrides={"consume": 0})
+    for m in VIEWS:
+        one = build_view(features_small, m, "predict", bounds=b if m == "people" else None,
+                         fill_override=0 if m == "consume" else None)
+        sub = allv.select("uid_uid", f"{m}.*")
+        assert sub.columns == one.columns
+        assert sub.exceptAll(one).count() == 0 and one.exceptAll(sub).count() == 0
