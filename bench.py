@@ -16,7 +16,6 @@ import os
 import re
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -54,10 +53,9 @@ def timed(fn, reps=REPS, warmup=True):
 
 
 def main():
-    spark = local_session(CPUS, "ratecraft-bench", extra={
-        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="ratecraft-bench-"),
-        "spark.sql.shuffle.partitions": str(int(CPUS) * 2)})
-    shared_dir(spark)
+    spark = local_session(CPUS, "ratecraft-bench",
+                          extra={"spark.sql.shuffle.partitions": str(int(CPUS) * 2)})
+    shared_dir(spark)   # the session's spark.checkpoint.dir; a private folder only if unset
     q = {}
     cmp = {}   # alternative forms, reported but not part of the total
 

@@ -155,3 +155,22 @@ def predict_module(spark, module: str, data_path: str, store: ModelStore, fmt: s
 def combine_result(spark, store: ModelStore) -> DataFrame:
     """``combine``."""
     return combine(spark, store)
+
+
+def train_regressor(features: DataFrame, module: str, spec: ModelSpec,
+                    store: ModelStore | None = None) -> tuple[PipelineModel, float | None]:
+    """M5/M6: forest or boosted regression of the label on one view's
+    features, fitted on the hash-train rows; returns (model, RMSE on the
+    held-out rows)."""
+    from ratecraft.plans.models import fit_regressor
+    _check_module(module)
+    vs = VIEWS[module]
+    bounds = fit_view_bounds(features, vs) if vs.clamp else None
+    view = build_view(features, vs, "train", bounds=bounds)
+    labelled = view.withColumn("label", label_to_double(LABEL)).drop(LABEL)
+    tr, te = split_view(labelled)
+    model = fit_regressor(tr, vs.features, spec)
+    rmse = ev.rmse(model.transform(te), "prediction", "label").first()["rmse"]
+    if store is not None:
+        store.save_model(f"{module}_{spec.kind}", model)
+    return model, rmse

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -15,8 +14,8 @@ SF_CHECK = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from ratecraft.session import local_session, shared_dir
-    s = local_session(extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="ratecraft-test-")})
-    shared_dir(s)
+    s = local_session()
+    shared_dir(s)   # spark.checkpoint.dir from the session; a private folder only if unset
     yield s
     s.stop()
 

@@ -87,3 +87,11 @@ def test_random_split_option(spark, features_small):
     v = build_view(features_small, "relation", "train")
     tr, te = split_view(v, "random", seed=3)
     assert tr.count() + te.count() == v.count()
+
+
+def test_regression_jobs_report_rmse(spark, features_small):
+    from ratecraft.plans import jobs
+    from ratecraft.plans.models import FOREST_REGRESSOR, GBT_REGRESSOR
+    for spec in (FOREST_REGRESSOR.small(5, 3), GBT_REGRESSOR.small(5, 3)):
+        _, rmse = jobs.train_regressor(features_small, "relation", spec)
+        assert rmse is not None and 0 <= rmse <= 1
