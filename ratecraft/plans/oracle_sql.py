@@ -391,13 +391,15 @@ register("index_to_label", with_features(
     "SELECT f.uid_uid, rk.index_label, rk.label AS predictedLabel FROM features f "
     "JOIN rk ON rk.label = CAST(CAST(f.uid_flag AS DOUBLE) AS VARCHAR)", LABEL_RANK_CTE))
 
+_mm_ok = " AND ".join(f"{c} IS NOT NULL" for c in _v.RELATION_FEATURES)
 _mm_stats = ", ".join(f"min({c}) AS mn_{c}, max({c}) AS mx_{c}" for c in _v.RELATION_FEATURES)
 _mm_sel = ", ".join(
-    f"round(CASE WHEN mx_{c} = mn_{c} THEN 0.5 ELSE CAST({c} - mn_{c} AS DOUBLE) / (mx_{c} - mn_{c}) END, 6) "
-    f"AS {c}_scaled" for c in _v.RELATION_FEATURES)
+    f"CASE WHEN {_mm_ok} THEN round(CASE WHEN mx_{c} = mn_{c} THEN 0.5 "
+    f"ELSE CAST({c} - mn_{c} AS DOUBLE) / (mx_{c} - mn_{c}) END, 6) END AS {c}_scaled"
+    for c in _v.RELATION_FEATURES)
 register("minmax_scaled", with_features(
     f"SELECT uid_uid, {_mm_sel} FROM features, mm",
-    f"mm AS (SELECT {_mm_stats} FROM features WHERE {TRAIN_FILTER})"))
+    f"mm AS (SELECT {_mm_stats} FROM features WHERE {TRAIN_FILTER} AND {_mm_ok})"))
 
 register("score_map", with_eval(
     "SELECT uid_uid, round(1 - score, 6) AS Proba_1, round(score, 6) AS Proba_2, "

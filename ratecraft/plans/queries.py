@@ -249,12 +249,19 @@ def q_index_to_label(spark, sf_dir):
 
 @query("minmax_scaled")
 def q_minmax_scaled(spark, sf_dir):
-    """O7/M2 on the relation view: fitted on the hash-train rows, applied to all."""
+    """O7/M2 on the relation view: fitted on the hash-train rows, applied to
+    all.  A row with a NULL feature is left out of the fit and comes back with
+    NULL scaled values (kept, not dropped)."""
+    from ratecraft.plans.models import all_present
     view = build_view(feature_table(spark, sf_dir), "relation", "predict")
-    vec = VectorAssembler(inputCols=list(RELATION_FEATURES), outputCol="features").transform(view)
-    model = fit_minmax(vec.where(is_train_row("uid_uid")))
-    return unpack(model.transform(vec), "scaledFeatures",
-                  [f"{c}_scaled" for c in RELATION_FEATURES], keep=["uid_uid"])
+    ok = all_present(RELATION_FEATURES)
+    vec = (VectorAssembler(inputCols=list(RELATION_FEATURES), outputCol="features", handleInvalid="keep")
+           .transform(view).withColumn("_ok", ok))
+    model = fit_minmax(vec.where(is_train_row("uid_uid") & F.col("_ok")))
+    scaled = unpack(model.transform(vec), "scaledFeatures",
+                    [f"{c}_scaled" for c in RELATION_FEATURES], keep=["uid_uid", "_ok"])
+    return scaled.select("uid_uid", *[F.when(F.col("_ok"), F.col(f"{c}_scaled")).alias(f"{c}_scaled")
+                                      for c in RELATION_FEATURES])
 
 
 @query("score_map")
