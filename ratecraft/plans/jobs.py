@@ -45,8 +45,10 @@ def _check_module(module: str) -> None:
 
 def train(features: DataFrame, module: str, spec: ModelSpec | None = None,
           store: ModelStore | None = None, rel_error: float = 0.0,
-          eval_on: str = "test") -> Trained:
-    """View -> hash split -> fit -> evaluate -> (save model + bounds)."""
+          eval_on: str = "test", evaluate: bool = True) -> Trained:
+    """View -> hash split -> fit -> evaluate -> (save model + bounds).
+
+    ``evaluate=False`` skips the report (``Trained.report`` is empty)."""
     _check_module(module)
     spec = spec or MODULE_MODELS[module]
     vs = VIEWS[module]
@@ -55,10 +57,12 @@ def train(features: DataFrame, module: str, spec: ModelSpec | None = None,
     labelled = view.withColumn("label", label_to_double(LABEL)).drop(LABEL)
     tr, te = split_view(labelled)
     model = fit_classifier(tr, vs.features, spec)
-    scored = model.transform(te if eval_on == "test" else labelled)
-    report_in = scored.select(F.col("predictedLabel").cast("double").alias("prediction"),
-                              good_probability(model).alias("score"), "label")
-    report = ev.report_metrics(report_in, "prediction", "score", "label")
+    report = {}
+    if evaluate:
+        scored = model.transform(te if eval_on == "test" else labelled)
+        report_in = scored.select(F.col("predictedLabel").cast("double").alias("prediction"),
+                                  good_probability(model).alias("score"), "label")
+        report = ev.report_metrics(report_in, "prediction", "score", "label")
     if store is not None:
         store.save_model(module, model)
         if bounds is not None:

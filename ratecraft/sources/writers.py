@@ -10,12 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from ratecraft.sources.schemas import score_schema
 
 
-def write_scores(df: DataFrame, path: str, mode: str = "errorifexists",
-                 bucket_by: str | None = None, num_buckets: int | None = None) -> str:
+def write_scores(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
     """Parquet score sink.  Default refuses an existing path (raises),
     ``mode="overwrite"`` replaces it."""
-    w = df.write.mode(mode)
-    w.parquet(path)
+    df.write.mode(mode).parquet(path)
     return path
 
 
