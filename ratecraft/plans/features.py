@@ -12,7 +12,10 @@ Plan shape (what survives at scale):
   partially-aggregated row per map task, not a third of the data in one task.
 * nation (25 rows) is broadcast behind a size check; part / supplier / orders
   join as the planner decides (AQE broadcasts them when small at run time,
-  shuffle joins otherwise).
+  shuffle joins otherwise).  Lines meet the small dimensions (part, supplier)
+  first, so without statistics the planner never picks the line side to
+  broadcast; at scale the three line shuffles (pk, sk, ok) are the same in
+  any order.
 * plain aggregates and distinct counts are two separate aggregations joined
   on the customer key.  In one aggregation Spark's distinct rewrite makes the
   first level group by (customer, distinct value, group id) and gives every
@@ -107,7 +110,7 @@ def line_relation(t: dict[str, DataFrame]) -> DataFrame:
         F.col("l_suppkey").alias("sk"), F.col("l_extendedprice").alias("price"),
         F.col("l_discount").alias("disc"), F.col("l_returnflag").alias("rf"),
         F.col("l_shipdate").alias("shipdate"))
-    ln = lines.join(orders, "ok").join(part, "pk").join(supp, "sk")
+    ln = lines.join(part, "pk").join(supp, "sk").join(orders, "ok")
     return ln.select(
         "k", "ok", "st", "sk", "pk", "city", "price", "disc", "rf", "psize", "lob", "fc",
         (F.col("price") * (1 - F.col("disc"))).alias("amt"),
