@@ -320,6 +320,8 @@ from ratecraft.session import scratch_path  # noqa: E402
 from ratecraft.sources.writers import ModelStore  # noqa: E402
 
 SCORE_MIN, SCORE_MAX = 350.0, 850.0
+SMALL_FOREST_REG = (10, 5)   # (trees, depth) for the regression queries
+SMALL_GBT_REG = (10, 4)
 
 
 def _train_predict(spark, sf_dir, module):
@@ -379,10 +381,6 @@ def q_gbt_regression(spark, sf_dir):
                     .alias("better_than_mean"))
 
 
-SMALL_FOREST_REG = (10, 5)
-SMALL_GBT_REG = (10, 4)
-
-
 @query("combined_model_scores")
 def q_combined_model_scores(spark, sf_dir):
     """Train and persist five modules, predict and write five sub-score

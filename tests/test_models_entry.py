@@ -95,3 +95,14 @@ def test_regression_jobs_report_rmse(spark, features_small):
     for spec in (FOREST_REGRESSOR.small(5, 3), GBT_REGRESSOR.small(5, 3)):
         _, rmse = jobs.train_regressor(features_small, "relation", spec)
         assert rmse is not None and 0 <= rmse <= 1
+
+
+def test_eval_on_all_rows_vs_held_out(spark, features_small):
+    from ratecraft.plans import jobs
+    from ratecraft.plans.models import small_spec
+    from ratecraft.plans.views import build_view, split_view
+    view = build_view(features_small, "relation", "train")
+    _, te = split_view(view)
+    held = jobs.train(features_small, "relation", small_spec("relation")).report
+    every = jobs.train(features_small, "relation", small_spec("relation"), eval_on="all").report
+    assert held["n"] == te.count() and every["n"] == view.count()
