@@ -26,9 +26,18 @@ def long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(F.inline(cells)).where(F.col("value").isNotNull())
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """(column, p, value) with PERCENTILE_DISC semantics."""
-    counts = long_values(df, cols).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column, value, n): one row per distinct non-null value of each column
+    (map-side combined, so a value held by a third of the rows is one row)."""
+    return long_values(df, cols).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                    counts: DataFrame | None = None) -> DataFrame:
+    """(column, p, value) with PERCENTILE_DISC semantics.  ``counts``: the
+    already computed :func:`value_counts` of ``df`` (e.g. persisted)."""
+    if counts is None:
+        counts = value_counts(df, cols)
     cum = cumulative_sums(counts, ["column"], "value", ["n"])
     totals = counts.groupBy("column").agg(F.sum("n").alias("total"))
     targets = totals.select(
@@ -55,6 +64,14 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     The result is ``len(cols) * len(probs)`` numbers, collected to the driver."""
     if rel_error > 0:
         return approx_quantiles(df, cols, probs, rel_error)
-    rows = exact_quantiles(df, cols, probs).collect()
+    # the value counts feed several branches (slice bounds, slice totals,
+    # running counts, column totals): computed once, held while the result
+    # is collected, then released -- the input is read once
+    from pyspark import StorageLevel
+    counts = value_counts(df, cols).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rows = exact_quantiles(df, cols, probs, counts=counts).collect()
+    finally:
+        counts.unpersist()
     got = {(r["column"], r["p"]): r["value"] for r in rows}
     return {c: [got.get((c, float(p))) for p in probs] for c in cols}
