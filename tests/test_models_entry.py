@@ -106,3 +106,16 @@ def test_eval_on_all_rows_vs_held_out(spark, features_small):
     held = jobs.train(features_small, "relation", small_spec("relation")).report
     every = jobs.train(features_small, "relation", small_spec("relation"), eval_on="all").report
     assert held["n"] == te.count() and every["n"] == view.count()
+
+
+def test_interaction_probability_score_mode(spark, features_small):
+    from dataclasses import replace
+    from ratecraft.plans import jobs
+    from ratecraft.plans.models import small_spec
+    label_spec = small_spec("interaction")
+    prob_spec = replace(label_spec, score_mode="probability")
+    t = jobs.train(features_small, "interaction", label_spec, evaluate=False)
+    hard = {r.ScoreInteraction for r in jobs.predict(features_small, "interaction", t.model, label_spec).collect()}
+    soft = [r.ScoreInteraction for r in jobs.predict(features_small, "interaction", t.model, prob_spec).collect()]
+    assert hard <= {350.0, 850.0}
+    assert all(350 <= s <= 850 for s in soft) and len(set(soft)) > 2
