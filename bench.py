@@ -28,7 +28,7 @@ from ratecraft.plans import jobs  # noqa: E402
 from ratecraft.plans.features import feature_table, materialize_feature_table  # noqa: E402
 from ratecraft.plans.models import MODULE_MODELS, small_spec  # noqa: E402
 from ratecraft.plans.rule_scores import eval_frame  # noqa: E402
-from ratecraft.plans.views import VIEWS, build_all_views, fit_view_bounds  # noqa: E402
+from ratecraft.plans.views import OUTLIER_COLUMNS, VIEWS, build_all_views, fit_view_bounds  # noqa: E402
 from ratecraft.session import local_session, scratch_path, shared_dir  # noqa: E402
 from ratecraft.sources.writers import ModelStore  # noqa: E402
 
@@ -71,11 +71,7 @@ def main():
     q["five_views_one_pass"] = timed(lambda: run(build_all_views(ft, "predict", bounds=pb)))
 
     # 3. bounds fitting: exact distributed quantiles vs GK sketch, 18 columns
-    cols = ["uid_dealorders", "uid_emailvalid", "uid_mobilevalid", "uid_addressvalid",
-            "uid_isindentify", "uid_authenticated_days", "uid_signupdays", "uid_signmonths",
-            "uid_lastlogindays", "uid_samemobile", "ord_success_order_cmobile_count",
-            "com_mobile_count", "pro_generous_stingy_tag", "pro_base_active", "pro_customervalue",
-            "pro_phone_type", "pro_validpoints", "pro_htl_consuming_capacity"]
+    cols = list(OUTLIER_COLUMNS)
     q["fit_bounds_exact"] = timed(lambda: fit_bounds(ft, cols, "iqr", rel_error=0.0))
     q["fit_bounds_approx"] = timed(lambda: fit_bounds(ft, cols, "iqr", rel_error=0.1))
     # the original pattern for comparison: one quantile job per column

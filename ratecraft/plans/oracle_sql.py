@@ -245,13 +245,7 @@ register("people_view_predict", view_sql("people", "predict"))
 
 
 # ---- outliers, quantiles, split, scalar rules ---------------------------------
-OUTLIER_COLUMNS = (
-    "uid_dealorders", "uid_emailvalid", "uid_mobilevalid", "uid_addressvalid", "uid_isindentify",
-    "uid_authenticated_days", "uid_signupdays", "uid_signmonths", "uid_lastlogindays",
-    "uid_samemobile", "ord_success_order_cmobile_count", "com_mobile_count",
-    "pro_generous_stingy_tag", "pro_base_active", "pro_customervalue", "pro_phone_type",
-    "pro_validpoints", "pro_htl_consuming_capacity",
-)
+OUTLIER_COLUMNS = _v.OUTLIER_COLUMNS
 _PROBS = (0.25, 0.5, 0.75, 0.95)
 
 

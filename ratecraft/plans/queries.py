@@ -76,16 +76,8 @@ from ratecraft.functions.expressions import (  # noqa: E402
     age_fill_flag, age_rule, is_train_row, label_to_double)
 from ratecraft.operators.outliers import apply_bounds, fit_bounds, outlier_rows  # noqa: E402
 from ratecraft.operators.quantiles import approx_quantiles, exact_quantiles, long_values  # noqa: E402
-from ratecraft.plans.views import PEOPLE_CLAMP  # noqa: E402
-
-# The eighteen raw people columns the original outlier step was given.
-OUTLIER_COLUMNS = (
-    "uid_dealorders", "uid_emailvalid", "uid_mobilevalid", "uid_addressvalid", "uid_isindentify",
-    "uid_authenticated_days", "uid_signupdays", "uid_signmonths", "uid_lastlogindays",
-    "uid_samemobile", "ord_success_order_cmobile_count", "com_mobile_count",
-    "pro_generous_stingy_tag", "pro_base_active", "pro_customervalue", "pro_phone_type",
-    "pro_validpoints", "pro_htl_consuming_capacity",
-)
+from ratecraft.plans.views import OUTLIER_COLUMNS, PEOPLE_CLAMP  # noqa: E402
+
 QUANTILE_PROBS = (0.25, 0.5, 0.75, 0.95)
 APPROX_REL_ERROR = 0.1
 
