@@ -99,8 +99,9 @@ def fixed_layout(df: DataFrame, spec: ModelSpec, key: str = KEY) -> DataFrame:
     hash-partitioned by key into n partitions, sorted by key inside each.
 
     n is ``layout_partitions`` or, when unset, ceil(rows / rows_per_partition)
-    capped by the session's shuffle partitions -- a function of the data (one
-    count), so the same rows always give the same layout and the same trees.
+    capped by the session's shuffle partitions -- a function of the row count
+    (one count) and that setting only, so the same rows under the same
+    configuration always give the same layout and the same trees.
     At least ``min_partitions`` so small sets still train in parallel."""
     n = spec.layout_partitions
     if not n:
