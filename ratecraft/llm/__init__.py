@@ -1 +1,11 @@
-"""Operations of a training-data pipeline; nothing else in the library imports this subpackage."""
+"""Operations of a training-data pipeline; nothing else in the library imports this subpackage.
+
+Functions that run inside tasks travel with the task, so executors need numpy,
+pyarrow and the tokenizer libraries but not this package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ratecraft.llm import line_dedup, mixing
+from ratecraft.llm import line_dedup, mixing, packing, warc
 from ratecraft.llm.common import table
 
 
@@ -10,10 +10,19 @@ def op3_mix_sources(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op4_warc(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op5_pack(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op6_line_dedup(spark, sf_dir):
     return line_dedup.line_dedup_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_mix_sources, op6_line_dedup)}
+QUERIES = {f.__name__: f for f in (op3_mix_sources, op4_warc, op5_pack, op6_line_dedup)}
 
-ORACLE = {"op3_mix_sources": mixing.ORACLE, "op6_line_dedup": line_dedup.ORACLE}
+ORACLE = {"op3_mix_sources": mixing.ORACLE, "op4_warc": warc.ORACLE,
+          "op6_line_dedup": line_dedup.ORACLE}
