@@ -25,11 +25,31 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _tables():
+_known_tables: list[tuple[np.ndarray, np.ndarray]] = []
+
+
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """(is white space, code) of every byte."""
+    if _known_tables:
+        return _known_tables[0]
     byte = np.arange(256)
     space = (byte == 32) | ((byte >= 9) & (byte <= 13))
     lower = np.where((byte >= 65) & (byte <= 90), byte + 32, byte)
-    return space, mixed((lower.astype(np.uint64) + np.uint64(1)) * _ODD)
+    _known_tables.append((space, mixed((lower.astype(np.uint64) + np.uint64(1)) * _ODD)))
+    return _known_tables[0]
+
+
+_known_powers: dict[int, np.ndarray] = {}
+
+
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    """base^0 .. base^(n-1) modulo 2^64."""
+    known = _known_powers.get(int(base))
+    if known is None or len(known) < n:
+        known = np.full(max(n, 1 << 20), base)
+        known[0] = 1
+        _known_powers[int(base)] = known = np.cumprod(known)
+    return known[:n]
 
 
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -47,14 +67,9 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     last = inside.copy()
     last[:-1] &= ~inside[1:] | edge[1:n]
     starts, stops = np.flatnonzero(first), np.flatnonzero(last) + 1
-    power = np.full(n, _ODD)
-    power[0] = 1
-    power = np.cumprod(power)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(code[data] * power)])
-    inverse = np.full(n, _ODD_INVERSE)
-    inverse[0] = 1
-    inverse = np.cumprod(inverse)
-    hashes = mixed((sums[stops] - sums[starts]) * inverse[starts] + (stops - starts).astype(np.uint64))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(code[data] * _powers(_ODD, n))])
+    own = (sums[stops] - sums[starts]) * _powers(_ODD_INVERSE, n)[starts]
+    hashes = mixed(own + (stops - starts).astype(np.uint64))
     return hashes, np.diff(np.searchsorted(starts, ends))
 
 
@@ -64,23 +79,19 @@ def shingle_sets(texts: pa.Array, size: int = 3) -> list[np.ndarray]:
     firsts = np.cumsum(counts) - counts
     full = np.maximum(counts - size + 1, 0)
     at = ragged(firsts, full)
-    seed = np.uint64(size)
-    total = np.zeros(len(at), np.uint64)
-    odd = _ODD
+    factors = np.cumprod(np.full(size, _ODD))
+    total = np.full(len(at), np.uint64(size))
     for k in range(size):
-        total += words[at + k] * odd
-        odd = odd * _ODD
-    hashes = mixed(total + seed)
+        total += words[at + k] * factors[k]
+    hashes = mixed(total)
     stops = np.cumsum(full)
     sets = []
     for i, (count, stop, n) in enumerate(zip(counts.tolist(), stops.tolist(), full.tolist(), strict=True)):
         if n:
             sets.append(np.unique(hashes[stop - n:stop]))
         elif count:
-            value, odd = np.uint64(0), _ODD
-            for w in words[firsts[i]:firsts[i] + count]:
-                value, odd = value + w * odd, odd * _ODD
-            sets.append(mixed(np.array([value + np.uint64(count) * np.uint64(0xD1B54A32D192ED03)])))
+            own = (words[firsts[i]:firsts[i] + count] * factors[:count]).sum(keepdims=True)
+            sets.append(mixed(own + np.full(1, count, np.uint64)))
         else:
             sets.append(np.zeros(0, np.uint64))
     return sets
