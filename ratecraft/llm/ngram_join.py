@@ -317,12 +317,12 @@ sets AS (
            THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
            WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle FROM words),
 sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
-overlaps AS (
-  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both FROM sets x JOIN sets y ON x.shingle = y.shingle AND x.doc_id < y.doc_id
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM sets x JOIN sets y ON x.shingle = y.shingle AND x.doc_id < y.doc_id
   GROUP BY ALL),
 links AS (
-  SELECT a, b FROM overlaps JOIN sizes s ON a = s.doc_id JOIN sizes t ON b = t.doc_id
-  WHERE 100 * both >= 90 * (s.n + t.n - both)),
+  SELECT a, b FROM shared JOIN sizes s ON a = s.doc_id JOIN sizes t ON b = t.doc_id
+  WHERE 100 * common >= 90 * (s.n + t.n - common)),
 edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
 reach AS (
   SELECT doc_id AS node, doc_id AS seen FROM documents

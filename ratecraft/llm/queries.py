@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from ratecraft.llm import line_dedup, mixing, packing, warc
+import corpus_pipeline
+from ratecraft.llm import language_id, line_dedup, mixing, ngram_join, packing, warc
 from ratecraft.llm.common import table
 
 
+def op2_ngram_jaccard(spark, sf_dir):
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op3_mix_sources(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -22,7 +27,12 @@ def op6_line_dedup(spark, sf_dir):
     return line_dedup.line_dedup_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_mix_sources, op4_warc, op5_pack, op6_line_dedup)}
+def op8_language_id(spark, sf_dir):
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_ngram_jaccard, op3_mix_sources, op4_warc, op5_pack, op6_line_dedup, op8_language_id)}
+QUERIES["pipeline"] = corpus_pipeline.run
 
-ORACLE = {"op3_mix_sources": mixing.ORACLE, "op4_warc": warc.ORACLE,
+ORACLE = {"op2_ngram_jaccard": ngram_join.ORACLE, "op3_mix_sources": mixing.ORACLE, "op4_warc": warc.ORACLE,
           "op6_line_dedup": line_dedup.ORACLE}
