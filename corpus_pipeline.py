@@ -5,7 +5,7 @@ the shared folder and read again as the next one's docs.  All but the last
 return the columns of ``documents``, with ``n_chars`` following the text.
 
 1. language: documents without a language go (no letter, or no language with a
-   probability of one half).
+   probability of 0.35, the score of a guess among a few).
 2. lines: repeated lines go, except in the largest doc_id that holds them.
 3. copies: one document of each group of near copies stays, the smallest doc_id.
 4. mix: documents are taken as often as the sources' target weights say.
@@ -27,7 +27,7 @@ ORACLE_SQL = None
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return language_id.keep_identified(docs, language_id.fit(docs))
+    return language_id.keep_identified(docs, language_id.fit(docs), min_score=0.35)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
