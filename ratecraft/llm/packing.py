@@ -38,6 +38,8 @@ END = 1
 VOCABULARY = "word_bpe_49k.json"
 CACHED_WORDS = 400_000     # per Python worker
 
+_RUN = 16 << 20            # bytes of text tokenised at a time
+
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part int, nth long"
 _PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -45,37 +47,60 @@ _PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 class WordTokenizer:
     """Token ids of texts, by way of their words.
 
-    The vocabulary's pieces never span white space, so a text's ids are those of
-    its words in turn and each distinct word is encoded once.
+    The tokenizer lower-cases and its pieces never span white space nor the
+    border between a letter and punctuation, so a text's ids are those of its
+    words in turn and each distinct word is encoded once.
     """
 
+    BORDER = (r"(\pL)([.,;:!?#$%&*]+)(\s|$)", r"\1 \2\3")
+    MARK = "|"       # between words that are encoded together; a token of its own
+    TOGETHER = 1000
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+        (self.mark,) = self.tokenizer.encode(self.MARK, add_special_tokens=False).ids
+        self._forget()
+
+    def _forget(self):
+        self.words, self.ids, self.ends = pa.array([], pa.string()), np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def _learn(self, words: pa.Array) -> None:
+        marked = np.asarray(pc.match_substring(words, self.MARK)).astype(bool)
+        alone, rest = words.filter(pa.array(marked)).to_pylist(), words.filter(pa.array(~marked))
+        texts = rest.to_pylist()
+        joined = [f" {self.MARK} ".join([*texts[i:i + self.TOGETHER], ""]) for i in range(0, len(texts), self.TOGETHER)]
+        codes = [np.array(c.ids, np.uint32) for c in self.tokenizer.encode_batch(joined + alone, add_special_tokens=False)]
+        together = np.concatenate([np.zeros(0, np.uint32), *codes[:len(joined)]])
+        marks = together == self.mark
+        ends = np.cumsum(~marks)[marks]
+        own = [len(c) for c in codes[len(joined):]]
+        last = int(ends[-1]) if len(ends) else 0
+        self.words = pa.concat_arrays([self.words, rest, pa.array(alone, pa.string())])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + ends, self.ends[-1] + last + np.cumsum(own, dtype=np.int64)])
+        self.ids = np.concatenate([self.ids, together[~marks], *codes[len(joined):]])
 
     def __call__(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each closed by ``end``; their offsets)."""
-        words = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        plain = pc.replace_substring_regex(pc.ascii_lower(pc.fill_null(texts, "")), *self.BORDER)
+        words = pc.ascii_split_whitespace(plain)
         coded = words.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        new = [w for w in distinct if w not in self.known]
-        for word, code in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            self.known[word] = np.array(code.ids, "<u4").tobytes()
-        coded_words = [self.known[w] for w in distinct] + [np.array([end], "<u4").tobytes()]
-        sizes = np.fromiter(map(len, coded_words), np.int64, len(coded_words)) // 4
-        flat = np.frombuffer(b"".join(coded_words), "<u4")
+        if len(self.words) > CACHED_WORDS:
+            self._forget()
+        new = coded.dictionary.filter(pc.is_null(pc.index_in(coded.dictionary, value_set=self.words)))
+        if len(new):
+            self._learn(new)
+        known = np.asarray(pc.index_in(coded.dictionary, value_set=self.words)).astype(np.int64)
+        # the end token is a word after the last
+        starts, sizes = np.append(self.ends[:-1], len(self.ids)), np.append(np.diff(self.ends), 1)
         counts = np.asarray(pc.list_value_length(words)).astype(np.int64)
-        which = np.insert(np.asarray(coded.indices).astype(np.int64), np.cumsum(counts), len(distinct))
+        which = np.insert(known[np.asarray(coded.indices)], np.cumsum(counts), len(self.words))
         lengths = sizes[which]
-        ids = flat[ragged((np.cumsum(sizes) - sizes)[which], lengths)]
-        closes = np.cumsum(counts + 1) - 1
-        return ids, np.concatenate([[0], np.cumsum(lengths)[closes]]) if len(texts) else np.zeros(1, np.int64)
+        ids = np.append(self.ids, np.uint32(end))[ragged(starts[which], lengths)]
+        return ids, np.concatenate([[0], np.cumsum(lengths)[np.cumsum(counts + 1) - 1]])
 
 
 def pieces(docs: DataFrame, path: str | None = None, max_tokens: int = MAX_TOKENS, end: int = END) -> DataFrame:
@@ -86,12 +111,12 @@ def pieces(docs: DataFrame, path: str | None = None, max_tokens: int = MAX_TOKEN
         encode, seen, part = WordTokenizer(path), defaultdict(int), TaskContext.get().partitionId()
         for batch in batches:
             rows = []
-            for run in slices(batch, "text"):
+            for run in slices(batch, "text", _RUN):
                 ids, ends = encode(run.column("text"), end)
                 for doc_id, a, b in zip(run.column("doc_id").to_pylist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
                     for first in range(a, b, max_tokens):
                         size = min(max_tokens, b - first)
-                        rows.append((doc_id, first - a, size, zlib.crc32(ids[first:first + size]), b - a, part, seen[size]))
+                        rows.append((doc_id, first - a, size, zlib.crc32(ids[first:first + size].tobytes()), b - a, part, seen[size]))
                         seen[size] += 1
             kinds = [pa.int64()] * 5 + [pa.int32(), pa.int64()]
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "nth"]
