@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from ratecraft.llm import language_id, line_dedup, mixing, ngram_join, packing, warc
+from ratecraft.llm import html_extract, language_id, line_dedup, mixing, ngram_join, packing, vector_dedup, warc
 from ratecraft.llm.common import table
 
 
+def op1_html_extract(spark, sf_dir):
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_ngram_jaccard(spark, sf_dir):
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -31,8 +35,13 @@ def op8_language_id(spark, sf_dir):
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_ngram_jaccard, op3_mix_sources, op4_warc, op5_pack, op6_line_dedup, op8_language_id)}
+def op10_vector_dedup(spark, sf_dir):
+    return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_html_extract, op2_ngram_jaccard, op3_mix_sources, op4_warc, op5_pack, op6_line_dedup, op8_language_id, op10_vector_dedup)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLE = {"op2_ngram_jaccard": ngram_join.ORACLE, "op3_mix_sources": mixing.ORACLE, "op4_warc": warc.ORACLE,
-          "op6_line_dedup": line_dedup.ORACLE}
+          "op6_line_dedup": line_dedup.ORACLE, "op10_vector_dedup": vector_dedup.ORACLE}
