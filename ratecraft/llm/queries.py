@@ -3,7 +3,18 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from ratecraft.llm import html_extract, language_id, line_dedup, mixing, ngram_join, packing, vector_dedup, warc
+from ratecraft.llm import (
+    html_extract,
+    language_id,
+    line_dedup,
+    mixing,
+    ngram_join,
+    packing,
+    repeats,
+    topk_search,
+    vector_dedup,
+    warc,
+)
 from ratecraft.llm.common import table
 
 
@@ -35,13 +46,22 @@ def op8_language_id(spark, sf_dir):
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op7_repeats(spark, sf_dir):
+    return repeats.repeats_digest(table(spark, sf_dir, "documents"))
+
+
+def op9_topk_search(spark, sf_dir):
+    return topk_search.search_report(table(spark, sf_dir, "documents"))
+
+
 def op10_vector_dedup(spark, sf_dir):
     return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_html_extract, op2_ngram_jaccard, op3_mix_sources, op4_warc, op5_pack, op6_line_dedup, op8_language_id, op10_vector_dedup)}
+    op1_html_extract, op2_ngram_jaccard, op3_mix_sources, op4_warc, op5_pack, op6_line_dedup, op7_repeats,
+    op8_language_id, op9_topk_search, op10_vector_dedup)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLE = {"op2_ngram_jaccard": ngram_join.ORACLE, "op3_mix_sources": mixing.ORACLE, "op4_warc": warc.ORACLE,
-          "op6_line_dedup": line_dedup.ORACLE, "op10_vector_dedup": vector_dedup.ORACLE}
+          "op6_line_dedup": line_dedup.ORACLE, "op9_topk_search": topk_search.ORACLE, "op10_vector_dedup": vector_dedup.ORACLE}
