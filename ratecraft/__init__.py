@@ -8,7 +8,6 @@ operators/  DataFrame-in / DataFrame-out operators (bounds, quantiles,
             cumulative sums, evaluation curves, joins, scaling, indexing)
 plans/      the application: feature table, five views, models, jobs,
             and the query registry used by ``__spark_entry__``
-streaming/  (empty by design: the scoring application is batch only)
 """
 
 __version__ = "0.1.0"

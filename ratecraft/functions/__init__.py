@@ -2,12 +2,12 @@
 ``pyspark.sql.functions``; nothing runs Python per row."""
 
 from ratecraft.functions.expressions import (
-    safe_ratio, age_rule, age_fill_flag, fill_flag, floor_double, score_from_probability,
+    safe_ratio, age_rule, age_fill_flag, fill_flag, score_from_probability,
     vector_element, label_to_double, hash_split_bucket, is_train_row, null_guard,
 )
 
 __all__ = [
-    "safe_ratio", "age_rule", "age_fill_flag", "fill_flag", "floor_double",
+    "safe_ratio", "age_rule", "age_fill_flag", "fill_flag",
     "score_from_probability", "vector_element", "label_to_double", "hash_split_bucket",
     "is_train_row", "null_guard",
 ]

@@ -44,11 +44,6 @@ def safe_ratio(num, den) -> Column:
     return F.try_divide(_c(num).cast("double"), _c(den).cast("double"))
 
 
-def floor_double(x) -> Column:
-    """floor() as double (Spark's floor returns bigint)."""
-    return F.floor(_c(x)).cast("double")
-
-
 def age_rule(age="uid_age") -> Column:
     """outside [AGE_MIN, AGE_MAX] (strict) -> AGE_REPLACEMENT, else age; double."""
     a = _c(age)

@@ -7,17 +7,14 @@ from pyspark.sql import functions as F
 
 
 def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint ``broadcast`` when ``df`` has at most ``max_rows`` rows.
+    """Hint ``broadcast`` when ``df``, a table of a few narrow columns, has at
+    most ``max_rows`` rows.
 
-    The check is one cheap job (``limit(max_rows + 1).count()``).  Above the
-    bound the frame is returned unchanged and the planner (AQE included) keeps
-    a shuffle join.
+    The check collects at most ``max_rows + 1`` rows; up to the bound these very
+    rows are broadcast, so ``df`` is not computed again.  Above it the frame is
+    returned unchanged and the planner (AQE included) joins as it sees fit.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def bounded_broadcast(df: DataFrame) -> DataFrame:
-    """Hint ``broadcast`` for a frame whose size is bounded by construction
-    (e.g. one row per feature column); the caller states the bound."""
-    return F.broadcast(df)
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

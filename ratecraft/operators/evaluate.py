@@ -1,71 +1,68 @@
 """Evaluation operators (E1-E11) over a (score, label) frame.
 
 Curves are built from one row per distinct score (a map-side combined
-group-by), running counts come from :func:`cumulative_sums` (no single-task
-window), and the areas are sums of per-threshold trapezoids whose left edge is
-recovered from the row's own counts -- so no ``lag`` over a global order.
+group-by), written once: totals, slice bounds and running counts are all read
+from that table, so the input is evaluated a single time.  Running counts come
+from :func:`cumulative_sums` (no single-task window), and the areas are sums of
+per-threshold trapezoids whose left edge is recovered from the row's own
+counts -- so no ``lag`` over a global order.
+
+One rule for missing values: a row counts where both of what is compared are
+there (prediction and label, or score and label); others are left out and
+reported as ``n_excluded``.  Nothing is rounded.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratecraft.operators.cumulative import cumulative_sums
-
-ROUND = 6
-
-
-def _r(c: Column) -> Column:
-    return F.round(c, ROUND)
+from ratecraft.sources.writers import stage
 
 
 def rmse(df: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
     """sqrt(mean((prediction - label)^2)), one row."""
     d = F.col(prediction).cast("double") - F.col(label).cast("double")
-    return df.agg(_r(F.sqrt(F.avg(d * d))).alias("rmse"))
+    return df.agg(F.sqrt(F.avg(d * d)).alias("rmse"))
 
 
 def accuracy(df: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
-    """Accuracy and test error (1 - accuracy), one row."""
-    hit = F.avg(F.when(F.col(prediction).cast("double") == F.col(label).cast("double"), 1.0)
-                .otherwise(0.0))
-    return df.agg(_r(hit).alias("accuracy"), _r(1 - hit).alias("test_error"))
+    """Accuracy and test error (1 - accuracy) over the rows that have both, one row."""
+    hit = F.avg((F.col(prediction).cast("double") == F.col(label).cast("double")).cast("double"))
+    return df.agg(hit.alias("accuracy"), (1 - hit).alias("test_error"))
 
 
 def _positive(label: str) -> Column:
     return F.col(label).cast("double") == 1.0
 
 
-def score_counts(df: DataFrame, score: str = "score", label: str = "label",
-                 prediction: str | None = None) -> DataFrame:
-    """(threshold, tp, fp[, hits]) per distinct score: positives / negatives at
-    that score (and rows whose ``prediction`` equals the label)."""
+def score_counts(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
+    """(threshold, tp, fp) per distinct score: positives / negatives at that score."""
     pos = _positive(label)
-    aggs = [F.count(F.when(pos, 1)).alias("tp"), F.count(F.when(~pos, 1)).alias("fp")]
-    if prediction is not None:
-        aggs.append(F.count(F.when(F.col(prediction).cast("double") == F.col(label).cast("double"), 1))
-                    .alias("hits"))
     return (df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-            .groupBy(F.col(score).cast("double").alias("threshold")).agg(*aggs))
+            .groupBy(F.col(score).cast("double").alias("threshold"))
+            .agg(F.count(F.when(pos, 1)).alias("tp"), F.count(F.when(~pos, 1)).alias("fp")))
+
 
+class Counts(NamedTuple):
+    """The written per-score counts and their totals."""
 
-SMALL_CURVE = 10_000   # thresholds; at most this many may use one plain window
+    table: DataFrame
+    positives: int
+    negatives: int
 
 
-def _cumulative_counts(counts: DataFrame, known_small: bool = False,
-                       totals: tuple[int, int] | None = None) -> tuple[DataFrame, int, int]:
-    if totals is None:
-        tot = counts.agg(F.sum("tp").alias("p"), F.sum("fp").alias("n")).first()
-        totals = (int(tot["p"] or 0), int(tot["n"] or 0))
-    P, N = totals
-    cum = cumulative_sums(counts, [], "threshold", ["tp", "fp"], descending=True,
-                          known_small=known_small)
-    return cum, P, N
+def written_counts(df: DataFrame, score: str = "score", label: str = "label") -> Counts:
+    table = stage(score_counts(df, score, label), "score-counts")
+    tot = table.agg(F.sum("tp").alias("p"), F.sum("fp").alias("n")).first()
+    return Counts(table, int(tot["p"] or 0), int(tot["n"] or 0))
 
 
-def _cumulative(df: DataFrame, score: str, label: str) -> tuple[DataFrame, int, int]:
-    return _cumulative_counts(score_counts(df, score, label))
+def _cumulative(counts: Counts) -> DataFrame:
+    return cumulative_sums(counts.table, [], "threshold", ["tp", "fp"], descending=True)
 
 
 def _f_beta(prec: Column, rec: Column, beta: float) -> Column:
@@ -75,32 +72,29 @@ def _f_beta(prec: Column, rec: Column, beta: float) -> Column:
 
 
 def threshold_curve(df: DataFrame, score: str = "score", label: str = "label",
-                    beta: float = 0.5) -> DataFrame:
+                    beta: float = 0.5, counts: Counts | None = None) -> DataFrame:
     """Per distinct threshold t (predict positive when score >= t):
     cumulative tp/fp, precision, recall, F1 and F-beta."""
-    cum, P, _ = _cumulative(df, score, label)
+    counts = counts or written_counts(df, score, label)
     tp, fp = F.col("cum_tp"), F.col("cum_fp")
     prec = tp / (tp + fp)
-    rec = tp / F.lit(P) if P else F.lit(0.0)
-    return cum.select(
-        "threshold", tp.alias("tp"), fp.alias("fp"), _r(prec).alias("precision"),
-        _r(rec).alias("recall"), _r(_f_beta(prec, rec, 1.0)).alias("f1"),
-        _r(_f_beta(prec, rec, beta)).alias("f_beta"))
+    rec = tp / F.lit(counts.positives) if counts.positives else F.lit(0.0)
+    return _cumulative(counts).select(
+        "threshold", tp.alias("tp"), fp.alias("fp"), prec.alias("precision"), rec.alias("recall"),
+        _f_beta(prec, rec, 1.0).alias("f1"), _f_beta(prec, rec, beta).alias("f_beta"))
 
 
 def curve_points(df: DataFrame, score: str = "score", label: str = "label",
-                 counts: DataFrame | None = None, known_small: bool = False,
-                 totals: tuple[int, int] | None = None) -> DataFrame:
+                 counts: Counts | None = None) -> DataFrame:
     """ROC (fpr, tpr) and PR (recall, precision) point per threshold,
     plus each point's trapezoid under both curves."""
-    cum, P, N = _cumulative_counts(counts if counts is not None else score_counts(df, score, label),
-                                   known_small, totals)
+    counts = counts or written_counts(df, score, label)
     tp, fp, ctp, cfp = F.col("tp"), F.col("fp"), F.col("cum_tp"), F.col("cum_fp")
-    Pl, Nl = F.lit(float(max(P, 1))), F.lit(float(max(N, 1)))
+    Pl, Nl = F.lit(float(max(counts.positives, 1))), F.lit(float(max(counts.negatives, 1)))
     prec = ctp / (ctp + cfp)
     prev_tp, prev_all = ctp - tp, ctp + cfp - tp - fp
     prev_prec = F.when(prev_all == 0, prec).otherwise(prev_tp / prev_all)
-    return cum.select(
+    return _cumulative(counts).select(
         "threshold",
         (cfp / Nl).alias("fpr"), (ctp / Pl).alias("tpr"),
         (ctp / Pl).alias("recall"), prec.alias("precision"),
@@ -109,49 +103,35 @@ def curve_points(df: DataFrame, score: str = "score", label: str = "label",
 
 
 def pr_roc_curve(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    pts = curve_points(df, score, label)
-    return pts.select("threshold", *[_r(F.col(c)).alias(c)
-                                     for c in ("fpr", "tpr", "recall", "precision")])
+    return curve_points(df, score, label).select("threshold", "fpr", "tpr", "recall", "precision")
 
 
-def auc(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
+def auc(df: DataFrame, score: str = "score", label: str = "label", counts: Counts | None = None) -> DataFrame:
     """One row (auc_roc, auc_pr); trapezoids from (0,0) for ROC and
     from (0, precision at the top threshold) for PR."""
-    pts = curve_points(df, score, label)
-    return pts.agg(_r(F.sum("roc_area")).alias("auc_roc"), _r(F.sum("pr_area")).alias("auc_pr"))
-
-
-def classification_report(df: DataFrame, prediction: str = "prediction",
-                          score: str = "score", label: str = "label") -> DataFrame:
-    """Long-format metrics (metric, value): accuracy, test_error, auc_roc, auc_pr."""
-    acc = accuracy(df, prediction, label)
-    areas = auc(df, score, label)
-    both = acc.unionByName(areas, allowMissingColumns=True)
-    return both.select(F.inline(F.array(
-        *[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value"))
-          for m in ("accuracy", "test_error", "auc_roc", "auc_pr")]))).where(
-        F.col("value").isNotNull())
-
-
-def report_metrics(df: DataFrame, prediction: str = "prediction", score: str = "score",
-                   label: str = "label") -> dict[str, float]:
-    """E11, eager: one pass over the rows (per-threshold tp / fp / hits); the
-    per-threshold table -- bounded by the number of distinct scores -- is
-    persisted while accuracy and both areas are derived from it, then released."""
-    from pyspark import StorageLevel
-    counts = score_counts(df, score, label, prediction).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        tot = counts.agg(F.sum("hits").alias("h"), F.sum("tp").alias("p"), F.sum("fp").alias("f"),
-                         F.count(F.lit(1)).alias("k")).first()
-        P, N = int(tot["p"] or 0), int(tot["f"] or 0)
-        n = P + N
-        acc = (tot["h"] or 0) / n if n else None
-        small = int(tot["k"]) <= SMALL_CURVE
-        areas = curve_points(None, counts=counts.select("threshold", "tp", "fp"), known_small=small,
-                             totals=(P, N)).agg(
-            F.sum("roc_area").alias("auc_roc"), F.sum("pr_area").alias("auc_pr")).first()
-        out = {"accuracy": acc, "test_error": None if acc is None else 1 - acc,
-               "auc_roc": areas["auc_roc"], "auc_pr": areas["auc_pr"], "n": float(n)}
-        return {k: (None if v is None else round(float(v), ROUND)) for k, v in out.items()}
-    finally:
-        counts.unpersist()
+    return curve_points(df, score, label, counts).agg(F.sum("roc_area").alias("auc_roc"), F.sum("pr_area").alias("auc_pr"))
+
+
+METRICS = ("accuracy", "test_error", "auc_roc", "auc_pr", "n", "n_excluded")
+
+
+def classification_report(df: DataFrame, prediction: str = "prediction", score: str = "score",
+                          label: str = "label", beta: float = 0.5) -> tuple[DataFrame, DataFrame]:
+    """(metrics in long format (metric, value); the threshold curve).
+
+    ``n`` counts the rows that have prediction and label, ``n_excluded`` the
+    others.  The areas and the curve share one table of counts per score."""
+    counts = written_counts(df, score, label)
+    both = F.col(prediction).isNotNull() & F.col(label).isNotNull()
+    sizes = df.agg(F.count(F.when(both, 1)).cast("double").alias("n"), F.count(F.when(~both, 1)).cast("double").alias("n_excluded"))
+    # three one-row frames, stacked
+    rows = accuracy(df, prediction, label).unionByName(auc(df, score, label, counts), True).unionByName(sizes, True)
+    metrics = rows.select(F.inline(F.array(
+        *[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in METRICS]))).where(F.col("value").isNotNull())
+    return metrics, threshold_curve(df, score, label, beta, counts)
+
+
+def report_metrics(metrics: DataFrame) -> dict[str, float | None]:
+    """The metrics of a report as a dict (a handful of rows)."""
+    found = {r["metric"]: r["value"] for r in metrics.collect()}
+    return {m: found.get(m) for m in METRICS}

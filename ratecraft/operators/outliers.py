@@ -78,8 +78,9 @@ def fit_bounds(df: DataFrame, cols: Sequence[str], method: str = "iqr",
     if method not in METHODS:
         raise ValueError(f"unknown method {method!r}; expected one of {METHODS}")
     if method == "sigma":
-        row = df.agg(*[F.avg(c).alias(f"m_{c}") for c in cols],
-                     *[F.stddev_samp(c).alias(f"s_{c}") for c in cols]).first()
+        value = {c: F.nanvl(F.col(c).cast("double"), F.lit(None)) for c in cols}     # NaN does not count
+        row = df.agg(*[F.avg(value[c]).alias(f"m_{c}") for c in cols],
+                     *[F.stddev_samp(value[c]).alias(f"s_{c}") for c in cols]).first()
         center, lower, upper = {}, {}, {}
         for c in cols:
             m, s = row[f"m_{c}"], row[f"s_{c}"]

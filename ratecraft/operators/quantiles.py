@@ -15,15 +15,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratecraft.operators.broadcast import bounded_broadcast
-from ratecraft.operators.cumulative import cumulative_sums
+from ratecraft.operators.broadcast import checked_broadcast
+from ratecraft.operators.cumulative import SMALL_TABLE, cumulative_sums
+from ratecraft.sources.writers import stage
 
 
 def long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(column, value double) for every non-null cell of ``cols``."""
+    """(column, value double) for every cell of ``cols`` that is neither NULL nor NaN."""
     cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
                       for c in cols])
-    return df.select(F.inline(cells)).where(F.col("value").isNotNull())
+    return df.select(F.inline(cells)).where(
+        F.col("value").isNotNull() & ~F.isnan("value"))
 
 
 def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -35,26 +37,26 @@ def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     counts: DataFrame | None = None) -> DataFrame:
     """(column, p, value) with PERCENTILE_DISC semantics.  ``counts``: the
-    already computed :func:`value_counts` of ``df`` (e.g. persisted)."""
+    already computed :func:`value_counts` of ``df``, written or persisted."""
     if counts is None:
-        counts = value_counts(df, cols)
+        counts = stage(value_counts(df, cols), "value-counts")
     cum = cumulative_sums(counts, ["column"], "value", ["n"])
     totals = counts.groupBy("column").agg(F.sum("n").alias("total"))
     targets = totals.select(
         "column", F.inline(F.array(*[F.struct(F.lit(float(p)).alias("p")) for p in probs])), "total")
     targets = targets.select("column", "p", F.greatest(F.ceil(F.col("p") * F.col("total")),
                                                        F.lit(1)).alias("rank"))
-    # targets: one row per (column, p) -- bounded by the caller's lists
-    hit = cum.join(bounded_broadcast(targets), "column").where(F.col("cum_n") >= F.col("rank"))
+    hit = cum.join(checked_broadcast(targets, SMALL_TABLE), "column").where(F.col("cum_n") >= F.col("rank"))
     return hit.groupBy("column", "p").agg(F.min("value").alias("value"))
 
 
 def approx_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                      rel_error: float) -> dict[str, list[float]]:
-    """Column -> quantile values, one GK-sketch job for all columns."""
-    casted = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    """Column -> quantile values, one GK-sketch job for all columns; NULL and
+    NaN are left out, a column without other values has None for every p."""
+    casted = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in cols])
     res = casted.approxQuantile(list(cols), list(probs), rel_error)
-    return dict(zip(cols, res))
+    return {c: list(r) or [None] * len(probs) for c, r in zip(cols, res)}
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
@@ -64,14 +66,6 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     The result is ``len(cols) * len(probs)`` numbers, collected to the driver."""
     if rel_error > 0:
         return approx_quantiles(df, cols, probs, rel_error)
-    # the value counts feed several branches (slice bounds, slice totals,
-    # running counts, column totals): computed once, held while the result
-    # is collected, then released -- the input is read once
-    from pyspark import StorageLevel
-    counts = value_counts(df, cols).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        rows = exact_quantiles(df, cols, probs, counts=counts).collect()
-    finally:
-        counts.unpersist()
+    rows = exact_quantiles(df, cols, probs).collect()
     got = {(r["column"], r["p"]): r["value"] for r in rows}
     return {c: [got.get((c, float(p))) for p in probs] for c in cols}

@@ -1,21 +1,15 @@
-"""Vector assembly and min-max scaling (M2, O7) with Spark ML stages."""
+"""Min-max scaling (O7) with Spark ML stages."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import MinMaxScaler, MinMaxScalerModel, VectorAssembler
+from pyspark.ml.feature import MinMaxScaler, MinMaxScalerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def assemble(df: DataFrame, features: Sequence[str], output: str = "features",
-             handle_invalid: str = "error") -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol=output,
-                           handleInvalid=handle_invalid).transform(df)
-
-
 def fit_minmax(df: DataFrame, input_col: str = "features",
                output: str = "scaledFeatures") -> MinMaxScalerModel:
     """Per-feature min/max in one distributed pass; a constant feature maps to 0.5."""
@@ -23,7 +17,7 @@ def fit_minmax(df: DataFrame, input_col: str = "features",
 
 
 def unpack(df: DataFrame, vector_col: str, names: Sequence[str], keep: Sequence[str] = (),
-           digits: int | None = 6) -> DataFrame:
+           digits: int | None = None) -> DataFrame:
     """Vector column -> one double column per element."""
     arr = vector_to_array(F.col(vector_col))
     cols = [arr[i] if digits is None else F.round(arr[i], digits) for i in range(len(names))]

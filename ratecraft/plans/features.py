@@ -10,8 +10,7 @@ Plan shape (what survives at scale):
   for a join -- only once, by the final aggregation, after map-side partial
   aggregation.  A customer holding a third of all lines therefore costs one
   partially-aggregated row per map task, not a third of the data in one task.
-* nation (25 rows) is broadcast behind a size check; part / supplier / orders
-  join as the planner decides (AQE broadcasts them when small at run time,
+* nation, part, supplier and orders join as the planner decides (AQE broadcasts them when small at run time,
   shuffle joins otherwise).  Lines meet the small dimensions (part, supplier)
   first, so without statistics the planner never picks the line side to
   broadcast; at scale the three line shuffles (pk, sk, ok) are the same in
@@ -34,7 +33,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratecraft.operators.broadcast import checked_broadcast
 from ratecraft.sources.tables import load_tables
 
 # ---- fixed values of the fixture derivation (FIXTURES.md) ------------------
@@ -43,11 +41,6 @@ LOB_FLIGHT_TYPES = ("PROMO", "LARGE")
 LOB_HOTEL_TYPES = ("ECONOMY", "STANDARD")
 FIRST_CLASS_MIN_SIZE = 40
 RETURN_SHARE_GOOD = 0.35
-NATION_MAX_ROWS = 10_000
-# Above this many orders the order join cannot be a broadcast, so the line
-# relation is shuffled for its joins and staging it once pays off.
-STAGE_LINES_MIN_ORDERS = 1_000_000
-# ----------------------------------------------------------------------------
 
 FEATURE_COLUMNS = (
     "uid_uid", "uid_flag", "uid_grade", "uid_dealorders", "uid_emailvalid", "uid_age",
@@ -81,12 +74,12 @@ FEATURE_COLUMNS = (
     "bil_payord_debit_count", "bil_paysord_debit_count", "cap_tmoney_balance",
     "cap_wallet_balance",
 )
+# ----------------------------------------------------------------------------
 
 
 def line_relation(t: dict[str, DataFrame]) -> DataFrame:
     """One row per order line with the customer key and the line attributes."""
-    nation = checked_broadcast(
-        t["nation"].select(F.col("n_nationkey"), F.col("n_regionkey")), NATION_MAX_ROWS)
+    nation = t["nation"].select(F.col("n_nationkey"), F.col("n_regionkey"))
     cust = (t["customer"].select("c_custkey", "c_nationkey")
             .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
             .select(F.col("c_custkey").alias("k"), F.col("n_regionkey").alias("c_region")))
@@ -228,7 +221,7 @@ def event_aggregates(events: DataFrame) -> DataFrame:
     ).join(ev.groupBy("k").agg(
         F.expr("count(DISTINCT cast(ts AS date))").alias("acc_loginday_count"),
         F.expr("count(DISTINCT event_type)").alias("bil_ordertype_count"),
-    ), "k")
+    ), "k", "left")   # both have the same keys; a left join goes where its columns are not read
 
 
 def customer_columns(customer: DataFrame) -> DataFrame:
@@ -255,7 +248,8 @@ def build_feature_table(tables: dict[str, DataFrame], lines: DataFrame | None =
     """``lines``: an already materialized line relation (see
     ``materialize_feature_table``); computed from ``tables`` when omitted."""
     ln = lines if lines is not None else line_relation(tables)
-    la = line_aggregates(ln).join(line_distinct_counts(ln), "k")
+    # both branches have the same keys; a left join goes where no distinct count is read
+    la = line_aggregates(ln).join(line_distinct_counts(ln), "k", "left")
     ev = event_aggregates(tables["events"])
     k = F.col("k")
     lines = la.select(
@@ -280,7 +274,7 @@ def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def materialize_feature_table(spark: SparkSession, sf_dir: str, path: str,
-                              mode: str = "errorifexists", stage_lines: bool | None = None) -> DataFrame:
+                              mode: str = "errorifexists", stage_lines: bool = True) -> DataFrame:
     """Write the feature table once (Parquet, in a shared folder) and return a
     scan of it: downstream views, fits and predictions then read pruned
     columns instead of re-running the star-schema joins, and the lineage is
@@ -289,15 +283,10 @@ def materialize_feature_table(spark: SparkSession, sf_dir: str, path: str,
     ``stage_lines``: the line relation is written first (``<path>_lines``), so
     its three join shuffles run once and the plain and distinct aggregations
     each read only their columns from it -- instead of each branch re-running
-    the joins.  The price is one write of the line relation.  ``None`` decides
-    by size: stage when ``orders`` has more than STAGE_LINES_MIN_ORDERS rows
-    (checked with a bounded ``limit().count()``); below that the joins are
-    broadcasts and recomputing them is cheaper than a write."""
+    the joins.  The price is one write of the line relation; without it
+    (``stage_lines=False``) the joins run twice."""
     from ratecraft.sources.schemas import feature_schema
     tables = load_tables(spark, sf_dir)
-    if stage_lines is None:
-        n = tables["orders"].limit(STAGE_LINES_MIN_ORDERS + 1).count()
-        stage_lines = n > STAGE_LINES_MIN_ORDERS
     lines = None
     if stage_lines:
         lines_path = f"{path.rstrip('/')}_lines"

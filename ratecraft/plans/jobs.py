@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 from ratecraft.functions.expressions import label_to_double, vector_element
 from ratecraft.operators import evaluate as ev
 from ratecraft.operators.combine import combine_scores
+from ratecraft.operators.describe import describe_column
 from ratecraft.operators.outliers import Bounds
 from ratecraft.plans.models import (
     KEY, MODULE_MODELS, ModelSpec, all_present, fit_classifier, good_probability, score_column,
     scoring_model)
 from ratecraft.plans.views import LABEL, VIEWS, build_view, fit_view_bounds, split_view
-from ratecraft.sources.writers import ModelStore, read_scores, write_scores
+from ratecraft.sources.writers import ModelStore, read_scores, stage, write_scores
 
 MODULES = ("consume", "finance", "interaction", "people", "relation")
 SCORE_COLUMNS = {
@@ -35,7 +36,8 @@ class Trained:
     spec: ModelSpec
     model: PipelineModel
     bounds: Bounds | None
-    report: dict               # accuracy, test_error, auc_roc, auc_pr, n on the evaluation rows
+    report: dict               # accuracy, test_error, auc_roc, auc_pr, n, n_excluded on the evaluation rows
+    curve: DataFrame | None = None   # precision, recall, F1 and F-beta per threshold on them
 
 
 def _check_module(module: str) -> None:
@@ -57,17 +59,18 @@ def train(features: DataFrame, module: str, spec: ModelSpec | None = None,
     labelled = view.withColumn("label", label_to_double(LABEL)).drop(LABEL)
     tr, te = split_view(labelled)
     model = fit_classifier(tr, vs.features, spec)
-    report = {}
+    report, curve = {}, None
     if evaluate:
         scored = model.transform(te if eval_on == "test" else labelled)
         report_in = scored.select(F.col("predictedLabel").cast("double").alias("prediction"),
                                   good_probability(model).alias("score"), "label")
-        report = ev.report_metrics(report_in, "prediction", "score", "label")
+        metrics, curve = ev.classification_report(stage(report_in, "evaluation"))
+        report = ev.report_metrics(metrics)
     if store is not None:
         store.save_model(module, model)
         if bounds is not None:
             bounds.to_df(features.sparkSession).write.mode("overwrite").parquet(store.bounds_path(module))
-    return Trained(module, spec, model, bounds, report)
+    return Trained(module, spec, model, bounds, report, curve)
 
 
 def predict(features: DataFrame, module: str, model: PipelineModel, spec: ModelSpec | None = None,
@@ -125,14 +128,16 @@ def combine(spark, store: ModelStore) -> DataFrame:
 
 
 # ---- entry points (C3, C4, C5) ------------------------------------------------
-def read_features(spark, path: str, fmt: str = "csv") -> DataFrame:
+def read_features(spark, path: str, fmt: str = "csv", rename: dict[str, str] | None = None) -> DataFrame:
     """The per-customer input table: CSV with header (S1), JSON lines (S2),
-    Parquet, or a catalog table name (S3) -- always with the declared schema."""
+    Parquet, or a catalog table name (S3) -- always with the declared schema.
+    A CSV is read by column name and needs no label (prediction does without);
+    ``rename`` maps its names to the declared ones."""
     from ratecraft.sources.readers import read_csv, read_json, read_parquet, read_table
     from ratecraft.sources.schemas import feature_schema
     schema = feature_schema()
     if fmt == "csv":
-        return read_csv(spark, path, schema)
+        return read_csv(spark, path, schema, rename=rename, optional=(LABEL,))
     if fmt == "json":
         return read_json(spark, path, schema)
     if fmt == "parquet":
@@ -143,22 +148,24 @@ def read_features(spark, path: str, fmt: str = "csv") -> DataFrame:
 
 
 def train_module(spark, module: str, data_path: str, store: ModelStore, fmt: str = "csv",
-                 spec: ModelSpec | None = None) -> dict:
-    """``train <module> <path>``; returns the evaluation metrics."""
+                 spec: ModelSpec | None = None, rename: dict[str, str] | None = None) -> Trained:
+    """``train <module> <path>``; saves the model, returns it with its report."""
     _check_module(module)
-    return train(read_features(spark, data_path, fmt), module, spec, store=store).report
+    return train(read_features(spark, data_path, fmt, rename), module, spec, store=store)
 
 
 def predict_module(spark, module: str, data_path: str, store: ModelStore, fmt: str = "csv",
-                   spec: ModelSpec | None = None, mode: str = "errorifexists") -> DataFrame:
+                   spec: ModelSpec | None = None, mode: str = "errorifexists",
+                   rename: dict[str, str] | None = None) -> DataFrame:
     """C4: ``predict <module> <path>``; writes and returns the sub-score table."""
     _check_module(module)
-    return predict_and_save(read_features(spark, data_path, fmt), module, store, mode=mode, spec=spec)
+    return predict_and_save(read_features(spark, data_path, fmt, rename), module, store, mode=mode, spec=spec)
 
 
-def combine_result(spark, store: ModelStore) -> DataFrame:
-    """``combine``."""
-    return combine(spark, store)
+def combine_result(spark, store: ModelStore) -> tuple[DataFrame, DataFrame]:
+    """``combine``; the combined scores and the description (A2) of ScoreAll."""
+    combined = combine(spark, store)
+    return combined, describe_column(combined, "ScoreAll")
 
 
 def train_regressor(features: DataFrame, module: str, spec: ModelSpec,
@@ -174,7 +181,7 @@ def train_regressor(features: DataFrame, module: str, spec: ModelSpec,
     labelled = view.withColumn("label", label_to_double(LABEL)).drop(LABEL)
     tr, te = split_view(labelled)
     model = fit_regressor(tr, vs.features, spec)
-    rmse = ev.rmse(model.transform(te), "prediction", "label").first()["rmse"]
+    rmse = ev.rmse(model.transform(te), "prediction", "label").first()["rmse"]   # on the held-out rows
     if store is not None:
         store.save_model(f"{module}_{spec.kind}", model)
     return model, rmse

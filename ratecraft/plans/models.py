@@ -40,9 +40,7 @@ class ModelSpec:
     scaled: bool = True
     score_mode: str = "probability"   # probability | label
     seed: int = 42
-    layout_partitions: int | None = None   # None: from the row count (see fixed_layout)
-    rows_per_partition: int = 200_000
-    min_partitions: int = 8
+    layout_partitions: int = 8        # partitions of the training rows (see fixed_layout)
     max_memory_mb: int = 256
     checkpoint_interval: int = 10
 
@@ -62,7 +60,7 @@ MODULE_MODELS = {
     "relation": FOREST_CLASSIFIER,
     "interaction": GBT_CLASSIFIER,
 }
-# Small parameters for tests, the smoke entry and the registered queries.
+# Small parameters for tests and the smoke entry.
 SMALL_FOREST = (10, 5)
 SMALL_GBT = (5, 4)
 # ------------------------------------------------------------------------------
@@ -98,17 +96,9 @@ def fixed_layout(df: DataFrame, spec: ModelSpec, key: str = KEY) -> DataFrame:
     """A layout that depends only on the rows, not on how they arrived:
     hash-partitioned by key into n partitions, sorted by key inside each.
 
-    n is ``layout_partitions`` or, when unset, ceil(rows / rows_per_partition)
-    capped by the session's shuffle partitions -- a function of the row count
-    (one count) and that setting only, so the same rows under the same
-    configuration always give the same layout and the same trees.
-    At least ``min_partitions`` so small sets still train in parallel."""
-    n = spec.layout_partitions
-    if not n:
-        cap = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        rows = df.count()
-        n = max(1, min(cap, max(spec.min_partitions, -(-rows // spec.rows_per_partition))))
-    return df.repartition(n, key).sortWithinPartitions(key)
+    n is ``layout_partitions`` of the spec alone: the same rows and spec give
+    the same trees under any session settings.  Raise it with the data."""
+    return df.repartition(spec.layout_partitions, key).sortWithinPartitions(key)
 
 
 def fit_classifier(train: DataFrame, features: Sequence[str], spec: ModelSpec,

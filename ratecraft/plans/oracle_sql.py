@@ -193,42 +193,58 @@ def _clamp_sql(c: str, method: str = "clamp95") -> str:
             f"WHEN {c} = -1 THEN m_{c} ELSE {c} END AS DOUBLE)")
 
 
-def _view_exprs(spec) -> dict[str, tuple[str, str]]:
-    """feature -> (sql expression, type)."""
-    out: dict[str, tuple[str, str]] = {}
-    for name, num, den in spec.ratios:
-        out[name] = (f"(CAST({num} AS DOUBLE) / nullif({den}, 0))", "double")
-    for name, terms in spec.sums:
-        out[name] = ("(" + " + ".join(f"CAST({t} AS DOUBLE)" for t in terms) + ")", "double")
-    if spec.age_rule:
-        out["uid_age_new"] = ("CAST(CASE WHEN uid_age IS NULL THEN NULL WHEN uid_age > 65 OR uid_age < 12 "
-                              "THEN 34 ELSE uid_age END AS DOUBLE)", "double")
-        out["is_age_fill"] = ("CASE WHEN uid_age IS NULL THEN NULL WHEN uid_age IN (0, -1) THEN 0 ELSE 1 END",
-                              "int")
-    for c in spec.clamp:
-        out[f"{c}_new"] = (_clamp_sql(c, spec.clamp_method), "double")
-    for c in spec.features:
-        if c not in out:
-            out[c] = (c, _RAW_TYPES[c])
-    return out
-
-
-def view_sql(module: str, phase: str, fill=None, use_spec_fill: bool = True) -> str:
-    spec = _v.VIEWS[module]
-    fill = spec.fill if (fill is None and use_spec_fill) else fill
-    exprs = _view_exprs(spec)
-    cols = ["uid_uid"] + (["uid_flag"] if phase == "train" else [])
-    for c in spec.features:
-        e, t = exprs[c]
+def _ratio(num: str, den: str) -> str:
+    return f"(CAST({num} AS DOUBLE) / nullif({den}, 0))"
+
+
+# Derived columns of the views, from SURVEY F1-F16, not from the Spark specs.
+_PRICES = {
+    "ord_success_order_price": ("ord_success_order_amount", "ord_success_order_count"),
+    "ord_success_first_class_order_price": ("ord_success_first_class_order_amount", "ord_success_first_class_order_count"),
+    "ord_success_aboard_order_price": ("ord_success_aboard_order_amount", "ord_success_aboard_order_count"),
+    "ord_success_flt_first_class_order_price": ("ord_success_flt_first_class_order_amount", "ord_success_flt_first_class_order_count"),
+    "ord_success_flt_aboard_order_price": ("ord_success_flt_aboard_order_amount", "ord_success_flt_aboard_order_count"),
+    "ord_success_flt_order_price": ("ord_success_flt_order_amount", "ord_success_flt_order_count"),
+    "ord_success_htl_first_class_order_price": ("ord_success_htl_first_class_order_amount", "ord_success_htl_first_class_order_count"),
+    "ord_success_htl_aboard_order_price": ("ord_success_htl_aboard_order_amount", "ord_success_htl_aboard_order_count"),
+    "ord_success_htl_order_price": ("ord_success_htl_order_amount", "ord_success_htl_order_count"),
+    "ord_success_trn_order_price": ("ord_success_trn_order_amount", "ord_success_trn_order_count"),
+}
+_PAYS = {
+    "bil_pays_ratio": ("bil_paysord_count", "bil_payord_count"),
+    "bil_pays_credit_ratio": ("bil_paysord_credit_count", "bil_payord_credit_count"),
+    "bil_pays_debit_ratio": ("bil_paysord_debit_count", "bil_payord_debit_count"),
+}
+_AGE_NEW = ("CAST(CASE WHEN uid_age IS NULL THEN NULL WHEN uid_age > 65 OR uid_age < 12 "
+            "THEN 34 ELSE uid_age END AS DOUBLE)")
+_AGE_FILL = "CASE WHEN uid_age IS NULL THEN NULL WHEN uid_age IN (0, -1) THEN 0 ELSE 1 END"
+_CLAMPED = ("uid_dealorders", "uid_authenticated_days", "uid_signupdays", "uid_signmonths",
+            "uid_lastlogindays", "ord_success_order_cmobile_count", "com_mobile_count")
+DERIVED_SQL: dict[str, tuple[str, str]] = {
+    **{c: (_ratio(*pair), "double") for c, pair in {**_PRICES, **_PAYS}.items()},
+    "cap_balance": ("(CAST(cap_tmoney_balance AS DOUBLE) + CAST(cap_wallet_balance AS DOUBLE) "
+                    "+ CAST(cap_wallet_balance AS DOUBLE))", "double"),
+    "uid_age_new": (_AGE_NEW, "double"),
+    "is_age_fill": (_AGE_FILL, "int"),
+    **{f"{c}_new": (_clamp_sql(c), "double") for c in _CLAMPED},
+}
+FILLS = {"consume": "-1.0", "finance": "0", "interaction": None, "people": None, "relation": None}
+
+
+def view_sql(module: str, phase: str, fill=None) -> str:
+    fill = FILLS[module] if fill is None else fill
+    cols = ["uid_uid"] + (["uid_flag"] if phase == "train" or module == "people" else [])
+    for c in _v.VIEWS[module].features:
+        e, t = DERIVED_SQL.get(c) or (c, _RAW_TYPES[c])
         if fill is not None:
             e = f"coalesce({e}, CAST({fill} AS {_SQL_TYPE[t]}))"
         cols.append(f"{e} AS {c}")
     where = " WHERE uid_flag IS NOT NULL" if phase == "train" else ""
     ctes = ""
     src = "features"
-    if spec.clamp:
+    if module == "people":
         aggs = ", ".join(f"quantile_disc({c}, 0.5) AS m_{c}, quantile_disc({c}, 0.95) AS h_{c}"
-                         for c in spec.clamp)
+                         for c in _CLAMPED)
         ctes = f"qb AS (SELECT {aggs} FROM features WHERE {TRAIN_FILTER})"
         src = "features, qb"
     return with_features(f"SELECT {', '.join(cols)} FROM {src}{where}", ctes)
@@ -303,9 +319,9 @@ register("quantiles_exact", with_features(" UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", CAST({p} AS DOUBLE) AS p, CAST(quantile_disc({c}, {p}) AS DOUBLE) AS \"value\" "
     f"FROM features" for c in OUTLIER_COLUMNS for p in _PROBS)))
 
-register("quantiles_approx", " UNION ALL ".join(
-    f"SELECT '{c}' AS \"column\", CAST({p} AS DOUBLE) AS p, true AS within_error"
-    for c in OUTLIER_COLUMNS for p in _PROBS))
+register("quantiles_approx", with_features(" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST({p} AS DOUBLE) AS p, count({c}) AS n, true AS within_error FROM features"
+    for c in OUTLIER_COLUMNS for p in _PROBS)))
 
 register("hash_split_rows", with_features(
     f"SELECT uid_uid, {TRAIN_FILTER} AS is_train FROM features"))
@@ -326,9 +342,9 @@ ev_in AS (
   SELECT uid_uid, CAST(uid_flag AS DOUBLE) AS label,
          round(CAST(ord_success_order_count AS DOUBLE)
                / nullif(ord_success_order_count + voi_complrefund_count, 0), 3) AS score
-  FROM features WHERE uid_flag IS NOT NULL),
+  FROM features),
 evf AS (SELECT *, CAST(CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS DOUBLE) AS prediction
-        FROM ev_in WHERE score IS NOT NULL),
+        FROM ev_in WHERE score IS NOT NULL AND label IS NOT NULL),
 cnt AS (SELECT score AS threshold, count(CASE WHEN label = 1 THEN 1 END) AS tp0,
                count(CASE WHEN label <> 1 THEN 1 END) AS fp0 FROM evf GROUP BY score),
 tot AS (SELECT CAST(sum(tp0) AS DOUBLE) AS P, CAST(sum(fp0) AS DOUBLE) AS N FROM cnt),
@@ -359,9 +375,11 @@ def _fb(b2: float) -> str:
             f"ELSE {1 + b2!r} * {p} * {r} / ({b2!r} * {p} + {r}) END, 6)")
 
 
-register("threshold_curve", with_eval(
+_CURVE = (
     "SELECT threshold, tp, fp, round(CAST(tp AS DOUBLE) / (tp + fp), 6) AS precision, "
-    f"round(tp / P, 6) AS recall, {_fb(1.0)} AS f1, {_fb(0.25)} AS f_beta FROM cc, tot"))
+    f"round(tp / P, 6) AS recall, {_fb(1.0)} AS f1, {_fb(0.25)} AS f_beta FROM cc, tot")
+register("threshold_curve", with_eval(_CURVE))
+register("classification_report_curve", with_eval(_CURVE))
 register("pr_roc_curve", with_eval(
     "SELECT threshold, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr, round(tpr, 6) AS recall, "
     "round(prec, 6) AS precision FROM pts"))
@@ -373,7 +391,9 @@ register("classification_report", with_eval(
     "SELECT 'accuracy' AS metric, round(avg(CASE WHEN prediction = label THEN 1.0 ELSE 0.0 END), 6) AS value FROM evf "
     "UNION ALL SELECT 'test_error', round(1 - avg(CASE WHEN prediction = label THEN 1.0 ELSE 0.0 END), 6) FROM evf "
     f"UNION ALL SELECT 'auc_roc', {_AUC_ROC} FROM lagged "
-    f"UNION ALL SELECT 'auc_pr', {_AUC_PR} FROM lagged"))
+    f"UNION ALL SELECT 'auc_pr', {_AUC_PR} FROM lagged "
+    "UNION ALL SELECT 'n', CAST(count(*) AS DOUBLE) FROM evf "
+    "UNION ALL SELECT 'n_excluded', CAST(count(*) AS DOUBLE) FROM ev_in WHERE score IS NULL OR label IS NULL"))
 
 LABEL_RANK_CTE = """
 lab AS (SELECT CAST(CAST(uid_flag AS DOUBLE) AS VARCHAR) AS label, count(*) AS n
@@ -397,10 +417,10 @@ register("minmax_scaled", with_features(
 
 register("score_map", with_eval(
     "SELECT uid_uid, round(1 - score, 6) AS Proba_1, round(score, 6) AS Proba_2, "
-    "round(score * 500.0 + 350.0, 6) AS Score FROM evf"))
+    "round(score * 500.0 + 350.0, 6) AS Score FROM ev_in"))
 register("score_map_label", with_eval(
-    "SELECT uid_uid, CAST(prediction AS VARCHAR) AS predictedLabel, "
-    "CAST(CAST(prediction AS VARCHAR) AS DOUBLE) * 500.0 + 350.0 AS ScoreInteraction FROM evf"))
+    "SELECT uid_uid, CASE WHEN score >= 0.5 THEN '1.0' WHEN score < 0.5 THEN '0.0' END AS predictedLabel, "
+    "CASE WHEN score >= 0.5 THEN 850.0::DOUBLE WHEN score < 0.5 THEN 350.0::DOUBLE END AS ScoreInteraction FROM ev_in"))
 
 
 def _share(num: str, *den: str) -> str:
@@ -438,14 +458,48 @@ register("concat_positional", with_features(
     "(SELECT *, row_number() OVER (ORDER BY uid_uid) AS pos FROM features) r ON l.pos = r.pos"))
 
 
-# ---- models: invariants -------------------------------------------------------
+# ---- models ---------------------------------------------------------------------
+# What SQL can compute is compared by value: split side, label, the label's index
+# by its count among the training rows, who is scored.  The other columns are
+# checks that the Spark query makes on the model's numbers.
+TRAIN_RANK_CTE = f"""
+lab AS (SELECT CAST(uid_flag AS DOUBLE) AS label, count(*) AS n FROM features
+        WHERE uid_flag IS NOT NULL AND {TRAIN_FILTER} GROUP BY 1),
+rk AS (SELECT label, CAST(row_number() OVER (ORDER BY n DESC, CAST(label AS VARCHAR)) - 1 AS DOUBLE) AS label_index FROM lab)"""
+
+
+def scored_sql(module: str) -> str:
+    """Every feature of the prediction view is there."""
+    if FILLS[module] is not None:
+        return "true"
+    # a clamped column is missing where its source is
+    return " AND ".join(f"({c.removesuffix('_new') if c.removesuffix('_new') in _CLAMPED else DERIVED_SQL.get(c, (c,))[0]}) IS NOT NULL"
+                        for c in _v.VIEWS[module].features)
+
+
 for _m in ("consume", "finance", "interaction", "people", "relation"):
     register(f"{_m}_train_predict", with_features(
-        "SELECT uid_uid, true AS score_in_range, true AS proba_sums_to_one FROM features"))
+        f"SELECT uid_uid, {TRAIN_FILTER} AS is_train, CAST(uid_flag AS DOUBLE) AS label, rk.label_index, "
+        f"{scored_sql(_m)} AS scored, true AS score_follows_label_index, true AS reload_equal, "
+        "true AS train_area_above_half FROM features LEFT JOIN rk ON rk.label = CAST(uid_flag AS DOUBLE)", TRAIN_RANK_CTE))
 register("rf_regression", with_features(
-    "SELECT uid_uid, true AS within_label_range FROM features WHERE uid_flag IS NOT NULL"))
-register("gbt_regression", "SELECT true AS better_than_mean")
-register("combined_model_scores", with_features("SELECT uid_uid, true AS score_all_in_range FROM features"))
+    f"SELECT uid_uid, {TRAIN_FILTER} AS is_train, CAST(uid_flag AS DOUBLE) AS label, true AS within_label_range "
+    "FROM features WHERE uid_flag IS NOT NULL"))
+_SIDES = with_features(
+    f"SELECT {TRAIN_FILTER} AS is_train, count(*) AS n, round(avg(CAST(uid_flag AS DOUBLE)), 6) AS mean_label, "
+    "count(*) AS n_predicted, true AS train_beats_mean FROM features WHERE uid_flag IS NOT NULL GROUP BY 1")
+register("rf_regression_sides", _SIDES)
+register("gbt_regression", _SIDES)
+register("combined_model_scores", with_features(
+    "SELECT uid_uid, " + " AND ".join(f"({scored_sql(m)})" for m in FILLS) + " AS scored, true AS is_weighted_sum FROM features"))
+register("combine_job", with_features(_COMBINE, RULE_CTE))
+register("combine_job_description", with_features(
+    "SELECT count(*) AS n_rows, count(ScoreAll) AS \"count\", round(avg(ScoreAll), 6) AS mean, "
+    "round(stddev_samp(ScoreAll), 6) AS stddev, round(min(ScoreAll), 6) AS \"min\", round(max(ScoreAll), 6) AS \"max\" "
+    "FROM combined", RULE_CTE + ",\ncombined AS (" + _COMBINE.replace("round(a.", "(a.").replace(", 6) AS ScoreAll", ") AS ScoreAll") + ")"))
+register("train_predict_paths", with_features(
+    f"SELECT uid_uid, {scored_sql('relation')} AS scored, "
+    f"(SELECT count(*) FROM features WHERE uid_flag IS NOT NULL AND NOT ({TRAIN_FILTER})) AS n_evaluated FROM features"))
 
 
 # ---- sources and sinks --------------------------------------------------------

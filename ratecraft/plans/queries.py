@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratecraft.plans.features import feature_table
+from ratecraft.plans.features import feature_table, materialize_feature_table
+from ratecraft.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -19,13 +21,26 @@ def query(name: str):
     return deco
 
 
+def staged_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table, written once: for queries that read it several times."""
+    return materialize_feature_table(spark, sf_dir, scratch_path(spark, "features"))
+
+
+def rounded(df: DataFrame, *cols: str, digits: int = 6) -> DataFrame:
+    """Doubles to a fixed number of places, so that engines can be compared."""
+    return df.withColumns({c: F.round(c, digits) for c in cols})
+
+
 @query("feature_table")
 def q_feature_table(spark, sf_dir):
     return feature_table(spark, sf_dir)
 
 
 # ---- views (P1-P9, F1-F19) ----------------------------------------------------
-from ratecraft.plans.views import build_view, split_view  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from ratecraft.operators.outliers import Bounds  # noqa: E402
+from ratecraft.plans.views import VIEWS, build_view, fit_view_bounds, split_view  # noqa: E402
 
 
 @query("consume_view_train")
@@ -66,16 +81,18 @@ def q_people_view_train(spark, sf_dir):
 
 @query("people_view_predict")
 def q_people_view_predict(spark, sf_dir):
-    return build_view(feature_table(spark, sf_dir), "people", "predict", rel_error=0.0)
+    """Bounds fitted on the training rows, saved, read back and applied."""
+    ft = staged_features(spark, sf_dir)
+    path = scratch_path(spark, "bounds")
+    fit_view_bounds(ft, VIEWS["people"], rel_error=0.0).to_df(spark).write.parquet(path)
+    return build_view(ft, "people", "predict", bounds=Bounds.from_df(spark.read.parquet(path)))
 
 
 # ---- outliers, quantiles, split, scalar rules ---------------------------------
-from pyspark.sql import functions as F  # noqa: E402
-
 from ratecraft.functions.expressions import (  # noqa: E402
     age_fill_flag, age_rule, is_train_row, label_to_double)
 from ratecraft.operators.outliers import apply_bounds, fit_bounds, outlier_rows  # noqa: E402
-from ratecraft.operators.quantiles import approx_quantiles, exact_quantiles, long_values  # noqa: E402
+from ratecraft.operators.quantiles import approx_quantiles, exact_quantiles  # noqa: E402
 from ratecraft.plans.views import OUTLIER_COLUMNS, PEOPLE_CLAMP  # noqa: E402
 
 QUANTILE_PROBS = (0.25, 0.5, 0.75, 0.95)
@@ -124,21 +141,17 @@ def q_quantiles_exact(spark, sf_dir):
 def q_quantiles_approx(spark, sf_dir):
     """Approximate quantiles at the original relative error (0.1), checked by
     the rank-error guarantee: the returned value's rank range must overlap
-    [(p - e) n, (p + e) n].  Ranks are counted distributed, one pass."""
-    ft = feature_table(spark, sf_dir)
+    [(p - e) n, (p + e) n].  Ranks are conditional counts, all in one pass."""
+    ft = staged_features(spark, sf_dir)
     got = approx_quantiles(ft, OUTLIER_COLUMNS, QUANTILE_PROBS, APPROX_REL_ERROR)
-    targets = spark.createDataFrame(
-        [(c, float(p), float(v)) for c in OUTLIER_COLUMNS for p, v in zip(QUANTILE_PROBS, got[c])],
-        "column string, p double, q double")  # len(cols) x len(probs) rows
-    vals = long_values(ft, OUTLIER_COLUMNS)
-    ranks = (vals.join(F.broadcast(targets), "column")
-             .groupBy("column", "p")
-             .agg(F.count(F.lit(1)).alias("n"),
-                  F.count(F.when(F.col("value") < F.col("q"), 1)).alias("lt"),
-                  F.count(F.when(F.col("value") <= F.col("q"), 1)).alias("le")))
-    e, p, n = F.lit(APPROX_REL_ERROR), F.col("p"), F.col("n")
-    ok = (F.col("lt") + 1 <= (p + e) * n + 1) & (F.col("le") >= (p - e) * n - 1)
-    return ranks.select("column", "p", ok.alias("within_error"))
+    e, cells = APPROX_REL_ERROR, []
+    for c in OUTLIER_COLUMNS:
+        for p, q in zip(QUANTILE_PROBS, got[c], strict=True):
+            n = F.count(F.col(c))
+            less, upto = F.count(F.when(F.col(c) < q, 1)), F.count(F.when(F.col(c) <= q, 1))
+            ok = (less <= (p + e) * n) & (upto >= (p - e) * n - 1)
+            cells.append(F.struct(F.lit(c).alias("column"), F.lit(float(p)).alias("p"), n.alias("n"), ok.alias("within_error")))
+    return ft.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
 
 
 @query("hash_split_rows")
@@ -186,37 +199,48 @@ def _eval(spark, sf_dir):
 
 @query("rmse")
 def q_rmse(spark, sf_dir):
-    return ev.rmse(_eval(spark, sf_dir), "score", "label")
+    return rounded(ev.rmse(_eval(spark, sf_dir), "score", "label"), "rmse")
 
 
 @query("accuracy")
 def q_accuracy(spark, sf_dir):
-    return ev.accuracy(_eval(spark, sf_dir), "prediction", "label")
+    return rounded(ev.accuracy(_eval(spark, sf_dir), "prediction", "label"), "accuracy", "test_error")
 
 
 @query("threshold_curve")
 def q_threshold_curve(spark, sf_dir):
-    return ev.threshold_curve(_eval(spark, sf_dir), "score", "label", beta=0.5)
+    return rounded(ev.threshold_curve(_eval(spark, sf_dir), "score", "label", beta=0.5), "precision", "recall", "f1", "f_beta")
 
 
 @query("pr_roc_curve")
 def q_pr_roc_curve(spark, sf_dir):
-    return ev.pr_roc_curve(_eval(spark, sf_dir), "score", "label")
+    return rounded(ev.pr_roc_curve(_eval(spark, sf_dir), "score", "label"), "fpr", "tpr", "recall", "precision")
 
 
 @query("auc_roc")
 def q_auc_roc(spark, sf_dir):
-    return ev.auc(_eval(spark, sf_dir), "score", "label").select("auc_roc")
+    return rounded(ev.auc(_eval(spark, sf_dir), "score", "label").select("auc_roc"), "auc_roc")
 
 
 @query("auc_pr")
 def q_auc_pr(spark, sf_dir):
-    return ev.auc(_eval(spark, sf_dir), "score", "label").select("auc_pr")
+    return rounded(ev.auc(_eval(spark, sf_dir), "score", "label").select("auc_pr"), "auc_pr")
+
+
+def _report(spark, sf_dir):
+    # written: the report reads it for the counts, the accuracy and the sizes
+    return ev.classification_report(stage(_eval(spark, sf_dir), "evaluation"), "prediction", "score", "label")
 
 
 @query("classification_report")
 def q_classification_report(spark, sf_dir):
-    return ev.classification_report(_eval(spark, sf_dir), "prediction", "score", "label")
+    return rounded(_report(spark, sf_dir)[0], "value")
+
+
+@query("classification_report_curve")
+def q_classification_report_curve(spark, sf_dir):
+    """The curve of the same report."""
+    return rounded(_report(spark, sf_dir)[1], "precision", "recall", "f1", "f_beta")
 
 
 def _labelled(spark, sf_dir):
@@ -251,7 +275,7 @@ def q_minmax_scaled(spark, sf_dir):
            .transform(view).withColumn("_ok", ok))
     model = fit_minmax(vec.where(is_train_row("uid_uid") & F.col("_ok")))
     scaled = unpack(model.transform(vec), "scaledFeatures",
-                    [f"{c}_scaled" for c in RELATION_FEATURES], keep=["uid_uid", "_ok"])
+                    [f"{c}_scaled" for c in RELATION_FEATURES], keep=["uid_uid", "_ok"], digits=6)
     return scaled.select("uid_uid", *[F.when(F.col("_ok"), F.col(f"{c}_scaled")).alias(f"{c}_scaled")
                                       for c in RELATION_FEATURES])
 
@@ -260,11 +284,12 @@ def q_minmax_scaled(spark, sf_dir):
 def q_score_map(spark, sf_dir):
     """X4 + X6: probability vector [P(0), P(1)] -> Proba_1, Proba_2 -> score."""
     e = _eval(spark, sf_dir)
-    prob = e.select("uid_uid", array_to_vector(F.array(1 - F.col("score"), F.col("score")))
-                    .alias("probability"))
+    # a customer without a score stays, with NULLs
+    known, p = F.col("score").isNotNull(), F.coalesce("score", F.lit(0.0))
+    prob = e.select("uid_uid", known.alias("known"), array_to_vector(F.array(1 - p, p)).alias("probability"))
     p1, p2 = vector_element("probability", 0), vector_element("probability", 1)
-    return prob.select("uid_uid", F.round(p1, 6).alias("Proba_1"), F.round(p2, 6).alias("Proba_2"),
-                       F.round(score_from_probability(p2), 6).alias("Score"))
+    return prob.select("uid_uid", *[F.when(F.col("known"), F.round(c, 6)).alias(name) for name, c in (
+        ("Proba_1", p1), ("Proba_2", p2), ("Score", score_from_probability(p2)))])
 
 
 @query("score_map_label")
@@ -277,118 +302,187 @@ def q_score_map_label(spark, sf_dir):
 
 @query("combine_scores")
 def q_combine_scores(spark, sf_dir):
-    return combine_scores(rule_scores(feature_table(spark, sf_dir)))
+    return rounded(combine_scores(rule_scores(staged_features(spark, sf_dir))), "ScoreAll")
 
 
 @query("combine_scores_sql")
 def q_combine_scores_sql(spark, sf_dir):
-    return combine_scores_sql(spark, rule_scores(feature_table(spark, sf_dir)))
+    return rounded(combine_scores_sql(spark, rule_scores(staged_features(spark, sf_dir))), "ScoreAll")
 
 
 @query("describe_scores")
 def q_describe_scores(spark, sf_dir):
-    return describe_column(rule_scores(feature_table(spark, sf_dir))["ScoreConsume"], "ScoreConsume")
+    return rounded(describe_column(rule_scores(feature_table(spark, sf_dir))["ScoreConsume"], "ScoreConsume"), "mean", "stddev")
 
 
 @query("describe_scores_notnull")
 def q_describe_scores_notnull(spark, sf_dir):
     s = rule_scores(feature_table(spark, sf_dir))["ScoreConsume"]
-    return describe_column(s.where(F.col("ScoreConsume").isNotNull()), "ScoreConsume")
+    return rounded(describe_column(s.where(F.col("ScoreConsume").isNotNull()), "ScoreConsume"), "mean", "stddev")
 
 
 @query("concat_positional")
 def q_concat_positional(spark, sf_dir):
-    ft = feature_table(spark, sf_dir)
+    ft = staged_features(spark, sf_dir)
     left = build_view(ft, "relation", "predict")
     right = build_view(ft, "interaction", "predict")
     return concat_positional([left, right], order_by=["uid_uid"])
 
 
-# ---- models: train -> save -> load -> predict -> score (invariant checks) -----
+# ---- models: train -> save -> load -> predict -> score -------------------------
 from ratecraft.plans import jobs  # noqa: E402
 from ratecraft.plans.models import (  # noqa: E402
-    FOREST_REGRESSOR, GBT_REGRESSOR, fit_regressor, small_spec)
-from ratecraft.session import scratch_path  # noqa: E402
-from ratecraft.sources.writers import ModelStore  # noqa: E402
+    FOREST_REGRESSOR, GBT_REGRESSOR, MODULE_MODELS, fit_regressor)
+from ratecraft.sources.writers import ModelStore, stage  # noqa: E402
 
-SCORE_MIN, SCORE_MAX = 350.0, 850.0
-SMALL_FOREST_REG = (10, 5)   # (trees, depth) for the regression queries
-SMALL_GBT_REG = (10, 4)
+SCORE_SPAN, SCORE_BASE = 500.0, 350.0
 
 
 def _train_predict(spark, sf_dir, module):
-    """Train on the hash-train rows with small parameters, persist, reload,
-    score every customer; report per customer whether the score is in
-    [350, 850] and the two probabilities sum to 1."""
-    ft = feature_table(spark, sf_dir)
+    """Train on the hash-train rows with the
+    original parameters, save, reload, score every customer.
+
+    Values next to checks, per customer: the split side, the label and its index
+    in the fitted order (recomputed by the oracle from label counts), whether the
+    customer is scored; whether the score is P(label 1.0) at that index * 500 +
+    350 (or 850 / 350 by that index, for the label mode); whether the reloaded
+    model gives the probabilities of the fitted one; whether the training rows'
+    area under the ROC curve is clearly above one half."""
+    ft = staged_features(spark, sf_dir)
     store = ModelStore(scratch_path(spark, "models"))
-    spec = small_spec(module)
-    jobs.train(ft, module, spec, store=store)
+    spec = MODULE_MODELS[module]
+    fitted = jobs.train(ft, module, spec, store=store, evaluate=False)
     model, bounds = jobs.load(store, module, spark)
     out = jobs.predict(ft, module, model, spec, bounds, with_probabilities=True, with_status=True)
+    before = jobs.predict(ft, module, fitted.model, spec, fitted.bounds, with_probabilities=True)
+    before = before.select("uid_uid", F.col("Proba_1").alias("before_1"), F.col("Proba_2").alias("before_2"))
+
+    # the order of labels, from their counts among the training rows
+    view = build_view(ft, module, "train", bounds=bounds)
+    train_rows = split_view(view)[0]
+    order = [r["label"] for r in train_rows.groupBy(F.col("uid_flag").cast("double").alias("label")).count()
+             .orderBy(F.desc("count"), F.col("label").cast("string")).collect()]
+    p_good = F.col("Proba_1") if order.index(1.0) == 0 else F.col("Proba_2")
+    p_other = F.col("Proba_2") if order.index(1.0) == 0 else F.col("Proba_1")
     s, scored = F.col(jobs.SCORE_COLUMNS[module]), F.col("scored")
-    # a customer with missing inputs must come back unscored (NULL), all others in range
-    return out.select(
-        "uid_uid",
-        F.when(scored, s.between(SCORE_MIN, SCORE_MAX)).otherwise(s.isNull()).alias("score_in_range"),
-        F.when(scored, F.abs(F.col("Proba_1") + F.col("Proba_2") - 1.0) < 1e-9)
-         .otherwise(F.col("Proba_1").isNull() & F.col("Proba_2").isNull()).alias("proba_sums_to_one"))
+    if spec.score_mode == "label":
+        # at a tie the class of index 0 is predicted
+        hit = (p_good > p_other) | ((p_good == p_other) & F.lit(order.index(1.0) == 0))
+        expected = F.when(hit, SCORE_SPAN).otherwise(0.0) + SCORE_BASE
+    else:
+        expected = p_good * SCORE_SPAN + SCORE_BASE
+    index = F.lit(None).cast("double")
+    for i, label in enumerate(order):
+        index = F.when(F.col("label") == label, float(i)).otherwise(index)
+    labels = ft.select("uid_uid", F.col("uid_flag").cast("double").alias("label"), is_train_row("uid_uid").alias("is_train"))
+    joined = stage(out.join(before, "uid_uid").join(labels, "uid_uid"), "checked-scores")
+    on_train = joined.where("is_train and scored").select((s if spec.score_mode != "label" else p_good).alias("score"), "label")
+    area = ev.auc(on_train).first()["auc_roc"]
+    same = (F.abs(F.col("Proba_1") - F.col("before_1")) < 1e-12) & (F.abs(F.col("Proba_2") - F.col("before_2")) < 1e-12)
+    return joined.select(
+        "uid_uid", "is_train", "label", index.alias("label_index"), "scored",
+        F.when(scored, F.abs(s - expected) < 1e-9).otherwise(s.isNull()).alias("score_follows_label_index"),
+        F.when(scored, same).otherwise(F.col("before_1").isNull()).alias("reload_equal"),
+        F.lit(bool(area > 0.6)).alias("train_area_above_half"))
 
 
 for _m in jobs.MODULES:
     QUERIES[f"{_m}_train_predict"] = (lambda m: lambda spark, sf_dir: _train_predict(spark, sf_dir, m))(_m)
 
 
-def _labelled_view(spark, sf_dir, module="relation"):
-    ft = feature_table(spark, sf_dir)
-    v = build_view(ft, module, "train")
-    return v.withColumn("label", F.col("uid_flag").cast("double")).drop("uid_flag")
+def _regression(spark, sf_dir, spec):
+    """Fit on the training rows of the relation view, predict all of them."""
+    v = build_view(staged_features(spark, sf_dir), "relation", "train")
+    data = stage(v.withColumn("label", F.col("uid_flag").cast("double")).drop("uid_flag"), "labelled")
+    model = fit_regressor(split_view(data)[0], RELATION_FEATURES, spec)
+    return model.transform(data).select("uid_uid", is_train_row("uid_uid").alias("is_train"), "label", "prediction")
+
+
+def _regression_sides(pred):
+    """Per split side: rows, mean label, and whether the predictions beat the
+    training rows' mean label on the training rows."""
+    pred = stage(pred, "regression")
+    mean = pred.where("is_train").agg(F.avg("label")).first()[0]
+    d_model, d_mean = F.col("prediction") - F.col("label"), F.lit(float(mean)) - F.col("label")
+    better = F.avg(d_model * d_model) < F.avg(d_mean * d_mean)
+    return pred.groupBy("is_train").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("label"), 6).alias("mean_label"),
+        F.count("prediction").alias("n_predicted"), F.when(F.col("is_train"), better).otherwise(F.lit(True)).alias("train_beats_mean"))
 
 
 @query("rf_regression")
 def q_rf_regression(spark, sf_dir):
-    """M5: forest regression of the label; every prediction must lie within
-    the training labels' range (a forest averages training labels)."""
-    data = _labelled_view(spark, sf_dir)
-    train, _ = split_view(data)
-    spec = FOREST_REGRESSOR.small(*SMALL_FOREST_REG)
-    model = fit_regressor(train, RELATION_FEATURES, spec)
-    lo_hi = train.agg(F.min("label").alias("lo"), F.max("label").alias("hi")).first()
-    pred = model.transform(data)
-    return pred.select("uid_uid", F.col("prediction").between(float(lo_hi["lo"]), float(lo_hi["hi"]))
-                       .alias("within_label_range"))
+    """M5 with the original parameters.  A forest averages training labels, so
+    every prediction lies within their range, on held-out rows too."""
+    pred = _regression(spark, sf_dir, FOREST_REGRESSOR)
+    return pred.select("uid_uid", "is_train", "label", F.col("prediction").between(0.0, 1.0).alias("within_label_range"))
+
+
+@query("rf_regression_sides")
+def q_rf_regression_sides(spark, sf_dir):
+    """M5, E1's input: training and held-out rows by side."""
+    return _regression_sides(_regression(spark, sf_dir, FOREST_REGRESSOR))
 
 
 @query("gbt_regression")
 def q_gbt_regression(spark, sf_dir):
-    """M6: boosted regression; its training RMSE must beat the constant mean."""
-    data = _labelled_view(spark, sf_dir)
-    train, _ = split_view(data)
-    model = fit_regressor(train, RELATION_FEATURES, GBT_REGRESSOR.small(*SMALL_GBT_REG))
-    pred = model.transform(train)
-    mean = train.agg(F.avg("label")).first()[0]
-    d_model = F.col("prediction") - F.col("label")
-    d_mean = F.lit(float(mean)) - F.col("label")
-    return pred.agg((F.sqrt(F.avg(d_model * d_model)) < F.sqrt(F.avg(d_mean * d_mean)))
-                    .alias("better_than_mean"))
+    """M6 with the original parameters: training and held-out rows by side."""
+    return _regression_sides(_regression(spark, sf_dir, GBT_REGRESSOR))
 
 
 @query("combined_model_scores")
 def q_combined_model_scores(spark, sf_dir):
-    """Train and persist five modules, predict and write five sub-score
-    tables, read them back and combine; one row per customer, ScoreAll in range."""
-    ft = feature_table(spark, sf_dir)
+    """The feature table once, five modules trained with the original
+    parameters and saved, five sub-score tables written, read back, combined.
+    ScoreAll is there where all five sub-scores are, and is their weighted sum."""
+    ft = staged_features(spark, sf_dir)
+    store = ModelStore(scratch_path(spark, "models"))
+    for m in jobs.MODULES:
+        jobs.train(ft, m, store=store, evaluate=False)   # evaluated elsewhere
+        jobs.predict_and_save(ft, m, store)
+    combined, _ = jobs.combine_result(spark, store)
+    total = (F.col("ScoreConsume") * 0.25 + F.col("ScoreFinance") * 0.20 + F.col("ScoreInteraction") * 0.15
+             + F.col("ScorePeople") * 0.30 + F.col("ScoreRelation") * 0.10)
+    return combined.select(
+        "uid_uid", F.col("ScoreAll").isNotNull().alias("scored"),
+        F.coalesce(F.abs(F.col("ScoreAll") - total) < 1e-9, total.isNull()).alias("is_weighted_sum"))
+
+
+def _saved_rule_scores(spark, sf_dir) -> ModelStore:
+    """The five rule score tables, where the prediction jobs would have written theirs."""
     store = ModelStore(scratch_path(spark, "models"))
+    scores = rule_scores(staged_features(spark, sf_dir))
     for m in jobs.MODULES:
-        jobs.train(ft, m, small_spec(m), store=store, evaluate=False)  # evaluated per module elsewhere
-        jobs.predict_and_save(ft, m, store, spec=small_spec(m))
-    combined = jobs.combine(spark, store)
-    any_null = None
-    for c in jobs.SCORE_COLUMNS.values():
-        any_null = F.col(c).isNull() if any_null is None else any_null | F.col(c).isNull()
-    total = F.col("ScoreAll")
-    return combined.select("uid_uid", F.when(total.isNull(), any_null)
-                           .otherwise(total.between(SCORE_MIN, SCORE_MAX)).alias("score_all_in_range"))
+        c = jobs.SCORE_COLUMNS[m]
+        write_scores(scores[c], store.predict_path(m))
+    return store
+
+
+@query("combine_job")
+def q_combine_job(spark, sf_dir):
+    """C5 on saved sub-score tables: the combined scores."""
+    return rounded(jobs.combine_result(spark, _saved_rule_scores(spark, sf_dir))[0], "ScoreAll")
+
+
+@query("combine_job_description")
+def q_combine_job_description(spark, sf_dir):
+    """C5 on saved sub-score tables: the description of ScoreAll."""
+    return rounded(jobs.combine_result(spark, _saved_rule_scores(spark, sf_dir))[1], "mean", "stddev", "min", "max")
+
+
+@query("train_predict_paths")
+def q_train_predict_paths(spark, sf_dir):
+    """Train and predict one module from CSV paths; the file to predict
+    has no label.  Every customer comes back, scored where all features are there."""
+    ft = staged_features(spark, sf_dir)
+    train_path, predict_path = scratch_path(spark, "csv"), scratch_path(spark, "csv")
+    ft.write.option("header", True).csv(train_path)
+    ft.drop("uid_flag").write.option("header", True).csv(predict_path)
+    store = ModelStore(scratch_path(spark, "models"))
+    report = jobs.train_module(spark, "relation", train_path, store).report
+    scores = jobs.predict_module(spark, "relation", predict_path, store)
+    return scores.select("uid_uid", F.col("ScoreRelation").isNotNull().alias("scored"),
+                         F.lit(int(report["n"])).cast("bigint").alias("n_evaluated"))
 
 
 # ---- sources and sinks (S1-S6, S10, S4, L1) -----------------------------------
@@ -399,11 +493,14 @@ from ratecraft.sources.writers import read_scores, write_scores  # noqa: E402
 
 @query("csv_roundtrip")
 def q_csv_roundtrip(spark, sf_dir):
-    """The feature table written as CSV with a header and read back with
-    the explicit schema (no inference pass)."""
+    """The feature table written as CSV with its columns in another order, one
+    of them under another name and one too many, read back by name."""
     path = scratch_path(spark, "csv")
-    feature_table(spark, sf_dir).write.mode("errorifexists").option("header", True).csv(path)
-    return read_csv(spark, path, feature_schema())
+    ft = feature_table(spark, sf_dir)
+    shuffled = sorted(ft.columns, key=lambda c: c[::-1])
+    (ft.select(F.lit("x").alias("extra"), *[F.col(c).alias("user") if c == "uid_uid" else F.col(c) for c in shuffled])
+     .write.mode("errorifexists").option("header", True).csv(path))
+    return read_csv(spark, path, feature_schema(), rename={"user": "uid_uid"})
 
 
 @query("json_roundtrip")
@@ -417,9 +514,14 @@ def q_json_roundtrip(spark, sf_dir):
 
 @query("catalog_table")
 def q_catalog_table(spark, sf_dir):
-    """Register under a name, read back by that name."""
-    feature_table(spark, sf_dir).createOrReplaceTempView("ratecraft_features")
-    return read_table(spark, "ratecraft_features")
+    """S3: a table of the catalog, read back by its name.  (The catalog's entry
+    goes again; the files below the shared folder stay.)"""
+    name = f"ratecraft_features_{uuid.uuid4().hex[:12]}"
+    feature_table(spark, sf_dir).write.option("path", scratch_path(spark, "table")).saveAsTable(name)
+    try:
+        return read_table(spark, name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
 
 
 @query("score_parquet_roundtrip")

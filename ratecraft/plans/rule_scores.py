@@ -24,14 +24,13 @@ def share(num: str, *den_terms: str) -> Column:
 
 
 def eval_frame(features: DataFrame) -> DataFrame:
-    """(uid_uid, label, score, prediction): label = uid_flag as double, score =
-    success share among successful and returned lines, prediction = score >= 0.5."""
+    """(uid_uid, label, score, prediction) of every customer: label = uid_flag as
+    double, score = success share among successful and returned lines, prediction
+    = score >= 0.5; NULL where they are not defined."""
     s = F.round(safe_ratio("ord_success_order_count",
                            F.col("ord_success_order_count") + F.col("voi_complrefund_count")), 3)
-    return (features.where(F.col("uid_flag").isNotNull())
-            .select("uid_uid", F.col("uid_flag").cast("double").alias("label"), s.alias("score"))
-            .where(F.col("score").isNotNull())
-            .select("*", F.when(F.col("score") >= 0.5, 1.0).otherwise(0.0).alias("prediction")))
+    return (features.select("uid_uid", F.col("uid_flag").cast("double").alias("label"), s.alias("score"))
+            .select("*", (F.col("score") >= 0.5).cast("double").alias("prediction")))
 
 
 def rule_probabilities(features: DataFrame) -> dict[str, DataFrame]:

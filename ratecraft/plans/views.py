@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratecraft.functions.expressions import age_fill_flag, age_rule, is_train_row, safe_ratio
-from ratecraft.operators.outliers import Bounds, apply_bounds, bounded_column, fit_bounds
+from ratecraft.operators.outliers import Bounds, bounded_column, fit_bounds
 
 KEY = "uid_uid"
 LABEL = "uid_flag"
@@ -108,6 +108,7 @@ class ViewSpec:
     sums: tuple[tuple[str, tuple[str, ...]], ...] = ()
     fill: float | int | None = None
     age_rule: bool = False
+    predict_label: bool = False    # the prediction view keeps the label, where the input has one
     clamp: tuple[str, ...] = ()
     clamp_method: str = "clamp95"
 
@@ -135,7 +136,7 @@ VIEWS: dict[str, ViewSpec] = {
                         fill=FINANCE_FILL),
     "interaction": ViewSpec("interaction", INTERACTION_FEATURES),
     "relation": ViewSpec("relation", RELATION_FEATURES),
-    "people": ViewSpec("people", PEOPLE_FEATURES, age_rule=True, clamp=PEOPLE_CLAMP),
+    "people": ViewSpec("people", PEOPLE_FEATURES, age_rule=True, clamp=PEOPLE_CLAMP, predict_label=True),
 }
 
 
@@ -184,17 +185,24 @@ def view_columns(features: DataFrame, spec: ViewSpec, bounds: Bounds | None = No
 def build_view(features: DataFrame, spec: ViewSpec | str, phase: str = "train",
                bounds: Bounds | None = None, fill_override: float | int | None = None,
                rel_error: float = 0.0) -> DataFrame:
-    """One projection: derived columns -> clamps -> fill -> column list."""
+    """One projection: derived columns -> clamps -> fill -> column list.
+
+    A view with clamped columns needs the bounds fitted at training time when it
+    predicts; fitting them on the batch would make a customer's features depend
+    on who else is scored."""
     if isinstance(spec, str):
         spec = VIEWS[spec]
     if phase not in ("train", "predict"):
         raise ValueError("phase must be 'train' or 'predict'")
     if spec.clamp and bounds is None:
+        if phase == "predict":
+            raise ValueError(f"{spec.module}: pass the bounds fitted at training time")
         bounds = fit_view_bounds(features, spec, rel_error)
     df = features
     if phase == "train":
         df = df.where(F.col(LABEL).isNotNull())
-    head = [KEY, LABEL] if phase == "train" else [KEY]
+    labelled = phase == "train" or (spec.predict_label and LABEL in features.columns)
+    head = [KEY, LABEL] if labelled else [KEY]
     return df.select(*[F.col(c) for c in head], *view_columns(features, spec, bounds, fill_override))
 
 
@@ -205,6 +213,8 @@ def build_all_views(features: DataFrame, phase: str = "predict", bounds: Bounds
     features -- ``df.select(KEY, "consume.*")`` is the consume view."""
     fill_overrides = fill_overrides or {}
     if bounds is None:
+        if phase == "predict":
+            raise ValueError("people: pass the bounds fitted at training time")
         bounds = fit_view_bounds(features, VIEWS["people"], rel_error)
     df = features.where(F.col(LABEL).isNotNull()) if phase == "train" else features
     head = [KEY, LABEL] if phase == "train" else [KEY]
@@ -232,4 +242,4 @@ def split_view(view: DataFrame, method: str = "hash", seed: int = 42,
 
 
 __all__ = ["ViewSpec", "VIEWS", "build_view", "build_all_views", "view_columns", "fit_view_bounds",
-           "split_view", "apply_bounds", "KEY", "LABEL"]
+           "split_view", "KEY", "LABEL"]

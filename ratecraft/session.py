@@ -7,6 +7,7 @@ bench and the smoke entry; library code never creates a session itself.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -41,9 +42,10 @@ def local_session(cores: str = "*", app: str = "ratecraft", extra: dict | None =
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder for lineage cuts and intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).  Only
-    when the session has none -- tests, local runs -- a private folder is
-    created and registered as the checkpoint dir.
+    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).  On a
+    cluster a missing setting raises: a folder of one machine is no shared
+    folder.  Only where all tasks run in this process (master ``local[...]``) a
+    private folder is made and registered as the checkpoint dir.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -51,6 +53,8 @@ def shared_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
         return configured.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="ratecraft-ckpt-")
     sc.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)

@@ -2,18 +2,40 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
-             header: bool = True) -> DataFrame:
-    """S1.  With a schema nothing is inferred (no extra pass over the file);
-    without one Spark infers types, as the original application did."""
-    r = spark.read.option("header", header)
-    r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
-    return r.csv(path)
+             header: bool = True, rename: dict[str, str] | None = None,
+             optional: Sequence[str] = ()) -> DataFrame:
+    """S1.  With a schema, columns are found by their name in the header, in
+    whatever order they stand: the result has the schema's columns in its order.
+    Extra columns are ignored, a missing one raises, except that ``optional``
+    ones come back NULL.  ``rename`` maps names in the file to the schema's.
+    Types are never inferred (only the header line is read beforehand), and part
+    files whose header differs from the first one's raise.
+
+    Without a schema Spark infers types, as the original application did;
+    without a header columns go by position."""
+    if schema is None:
+        return spark.read.option("header", header).option("inferSchema", True).csv(path)
+    if not header:
+        return spark.read.schema(schema).csv(path)
+    rename = rename or {}
+    names = spark.read.option("header", True).csv(path).columns
+    types = {f.name: f.dataType for f in schema.fields}
+    missing = [c for c in types if c not in {rename.get(n, n) for n in names} and c not in optional]
+    if missing:
+        raise ValueError(f"{path}: the header lacks {missing}")
+    in_file = T.StructType([T.StructField(n, types.get(rename.get(n, n), T.StringType())) for n in names])
+    df = spark.read.option("header", True).option("enforceSchema", False).schema(in_file).csv(path)
+    of = {rename.get(n, n): n for n in names}
+    return df.select(*[F.col(f"`{of[c]}`").alias(c) if c in of else F.lit(None).cast(t).alias(c)
+                       for c, t in types.items()])
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

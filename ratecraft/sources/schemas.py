@@ -7,7 +7,8 @@ from pyspark.sql import types as T
 
 _S, _I, _L, _D = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
 
-# Type of each feature column (key, label, 79 features).  Integer-valued
+# ---- fixed values: type of each feature column (key, label, 79 features) ----
+#  Integer-valued
 # columns that are counts are bigint, codes are int, amounts are double.
 _INT_COLS = {
     "uid_flag", "uid_grade", "uid_age", "uid_mobilevalid", "uid_addressvalid",
@@ -28,6 +29,7 @@ _DOUBLE_COLS = {
     "ord_success_trn_max_order_amount", "ord_total_order_amount", "cap_tmoney_balance",
     "cap_wallet_balance",
 }
+# ------------------------------------------------------------------------------
 
 
 def feature_schema() -> T.StructType:
@@ -47,8 +49,3 @@ def feature_schema() -> T.StructType:
 
 def score_schema(score_col: str) -> T.StructType:
     return T.StructType([T.StructField("uid_uid", _S, True), T.StructField(score_col, _D, True)])
-
-
-PROBABILITY_SCHEMA = T.StructType([
-    T.StructField("uid_uid", _S, True), T.StructField("Proba_1", _D, True),
-    T.StructField("Proba_2", _D, True)])

@@ -7,9 +7,18 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
+from ratecraft.session import scratch_path
 from ratecraft.sources.schemas import score_schema
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once below the shared folder and scan that: what follows
+    reads pruned columns, and a lost executor costs a re-read."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_scores(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
     """Parquet score sink.  Default refuses an existing path (raises),
     ``mode="overwrite"`` replaces it."""

@@ -37,14 +37,14 @@ def _fixture_pairs(spark):
 
 def test_threshold_curve_hand_values(spark):
     rows = {r.threshold: r for r in ev.threshold_curve(_fixture_pairs(spark)).collect()}
-    assert rows[1.0].precision == round(2 / 3, 6) and rows[1.0].recall == round(2 / 3, 6)
+    assert rows[1.0].precision == pytest.approx(2 / 3) and rows[1.0].recall == pytest.approx(2 / 3)
     assert rows[0.0].precision == 0.75 and rows[0.0].recall == 1.0
 
 
 def test_areas_hand_values(spark):
     r = ev.auc(_fixture_pairs(spark)).first()
-    assert r.auc_roc == round(1 / 3, 6)
-    assert r.auc_pr == 0.680556
+    assert r.auc_roc == pytest.approx(1 / 3)
+    assert r.auc_pr == pytest.approx(0.680556, abs=1e-6)
 
 
 def test_areas_match_spark_ml(spark):
@@ -63,7 +63,7 @@ def test_areas_match_spark_ml(spark):
 
 def test_rmse_and_accuracy(spark):
     df = spark.createDataFrame([(1.0, 1.0), (0.0, 1.0), (1.0, 0.0), (0.0, 0.0)], "prediction double, label double")
-    assert ev.rmse(df).first().rmse == round(np.sqrt(0.5), 6)
+    assert ev.rmse(df).first().rmse == pytest.approx(np.sqrt(0.5))
     a = ev.accuracy(df).first()
     assert a.accuracy == 0.5 and a.test_error == 0.5
 
@@ -74,19 +74,36 @@ def test_recall_is_monotone_on_real_data(spark, features_small):
     assert (np.diff(cur.recall.values) >= -1e-12).all()
 
 
-def test_known_small_path_equals_bucketed(spark):
+def test_slices_follow_the_setting_and_do_not_change_the_sums(spark):
     rng = np.random.default_rng(5)
     pdf = pd.DataFrame({"k": rng.integers(0, 300, 2000).astype(float), "v": rng.integers(0, 5, 2000)})
     df = spark.createDataFrame(pdf)
-    a = {r.k: r.cum_v for r in cumulative_sums(df, [], "k", ["v"], descending=True).collect()}
-    b = {r.k: r.cum_v for r in cumulative_sums(df, [], "k", ["v"], descending=True, known_small=True).collect()}
-    assert a == b
+    sums = [{r.k: r.cum_v for r in cumulative_sums(df, [], "k", ["v"], descending=True, num_buckets=n).collect()}
+            for n in (None, 2, 7, 200)]
+    assert all(s == sums[0] for s in sums)
 
 
-def test_report_metrics_matches_lazy_report(spark, features_small):
+def test_running_sums_keep_long_keys_apart(spark):
+    big = 1 << 60
+    df = spark.createDataFrame([(big, 1), (big + 1, 1), (big + 2, 1)], "k long, v long")
+    assert sorted(r.cum_v for r in cumulative_sums(df, [], "k", ["v"]).collect()) == [1, 2, 3]
+    assert {r.k - big: r.cum_v for r in cumulative_sums(df, [], "k", ["v"], descending=True).collect()} == {0: 3, 1: 2, 2: 1}
+
+
+def test_one_rule_for_missing_predictions(spark):
+    df = spark.createDataFrame([(1.0, 0.9, 1.0), (None, None, 1.0)], "prediction double, score double, label double")
+    assert ev.accuracy(df).first().accuracy == 1.0
+    metrics = ev.report_metrics(ev.classification_report(df)[0])
+    assert metrics["accuracy"] == 1.0 and metrics["n"] == 1.0 and metrics["n_excluded"] == 1.0
+
+
+def test_report_has_metrics_and_curve(spark, features_small):
     from ratecraft.plans.rule_scores import eval_frame
     e = eval_frame(features_small)
-    eager = ev.report_metrics(e, "prediction", "score", "label")
-    lazy = {r.metric: r.value for r in ev.classification_report(e, "prediction", "score", "label").collect()}
-    for k in ("accuracy", "test_error", "auc_roc", "auc_pr"):
-        assert abs(eager[k] - lazy[k]) < 1e-6
+    metrics, curve = ev.classification_report(e, "prediction", "score", "label")
+    found = ev.report_metrics(metrics)
+    areas = ev.auc(e).first()
+    assert abs(found["auc_roc"] - areas.auc_roc) < 1e-9 and abs(found["auc_pr"] - areas.auc_pr) < 1e-9
+    assert found["n"] + found["n_excluded"] == e.count()
+    key = lambda r: r.threshold
+    assert sorted(curve.collect(), key=key) == sorted(ev.threshold_curve(e).collect(), key=key)

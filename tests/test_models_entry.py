@@ -33,9 +33,16 @@ def test_same_seed_any_input_layout_same_probabilities(spark):
     df = _toy(spark)
     m1 = fit_classifier(df.repartition(3), ["a", "b"], SPEC)
     m2 = fit_classifier(df.repartition(9).orderBy(F.rand(1)), ["a", "b"], SPEC)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        m3 = fit_classifier(df, ["a", "b"], SPEC)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
     p1 = {r.uid_uid: r.Proba_1 for r in probability_frame(m1.transform(df)).collect()}
     p2 = {r.uid_uid: r.Proba_1 for r in probability_frame(m2.transform(df)).collect()}
-    assert p1 == p2
+    p3 = {r.uid_uid: r.Proba_1 for r in probability_frame(m3.transform(df)).collect()}
+    assert p1 == p2 == p3
 
 
 def test_save_load_identical_probabilities(spark):
@@ -74,8 +81,9 @@ def test_path_entry_points_and_unknown_module(spark, features_small):
     path = scratch_path(spark, "csvin")
     features_small.write.option("header", True).csv(path)
     store = ModelStore(scratch_path(spark, "store"))
-    rep = jobs.train_module(spark, "relation", path, store, spec=small_spec("relation"))
-    assert set(rep) >= {"accuracy", "auc_roc", "auc_pr"}
+    trained = jobs.train_module(spark, "relation", path, store, spec=small_spec("relation"))
+    assert set(trained.report) >= {"accuracy", "auc_roc", "auc_pr"}
+    assert set(trained.curve.columns) >= {"threshold", "precision", "recall", "f1", "f_beta"}
     scores = jobs.predict_module(spark, "relation", path, store, spec=small_spec("relation"))
     assert scores.count() == features_small.count()
     with pytest.raises(ValueError):

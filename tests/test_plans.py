@@ -3,15 +3,15 @@ nested-loop join, views prune columns and push filters into the scan."""
 
 import pytest
 
-import __spark_entry__ as entry
-from ratecraft.plans.features import materialize_feature_table
+from ratecraft.plans.features import feature_table, materialize_feature_table
+from ratecraft.plans.queries import QUERIES
 from ratecraft.plans.views import build_view
 from ratecraft.session import scratch_path
 
 SF = "/root/testdata/sf0.001"
 MODEL_QUERIES = {"consume_train_predict", "finance_train_predict", "interaction_train_predict",
-                 "people_train_predict", "relation_train_predict", "rf_regression", "gbt_regression",
-                 "combined_model_scores"}
+                 "people_train_predict", "relation_train_predict", "rf_regression", "rf_regression_sides",
+                 "gbt_regression", "combined_model_scores", "train_predict_paths"}
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin")
 
 
@@ -19,13 +19,20 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - MODEL_QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - MODEL_QUERIES))
 def test_no_cross_or_nested_loop_join(spark, name):
-    plan = _plan(entry.queries()[name](spark, SF))
+    plan = _plan(QUERIES[name](spark, SF))
     for bad in FORBIDDEN:
         assert bad not in plan, f"{name} plans a {bad}"
 
 
+def test_unread_distinct_counts_are_not_planned(spark):
+    from ratecraft.plans.queries import q_label_double
+    other = "/root/testdata/sf0.01"      # not the one that the session may hold in its cache
+    assert _plan(q_label_double(spark, other)).count("/lineitem.parquet") == 1
+    assert _plan(feature_table(spark, other)).count("/lineitem.parquet") == 2
+
+
 def test_view_prunes_columns_and_pushes_filters(spark):
     ft = materialize_feature_table(spark, SF, scratch_path(spark, "ft"))
     df = build_view(ft, "relation", "train").where("uid_uid = '7'")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ratecraft.plans.features import FEATURE_COLUMNS
-from ratecraft.plans.views import VIEWS, build_view
+from ratecraft.plans.views import VIEWS, build_view, fit_view_bounds
 from ratecraft.session import scratch_path
 from ratecraft.sources.schemas import feature_schema
 from ratecraft.sources.writers import read_scores, write_scores
@@ -27,9 +27,58 @@ def test_feature_table_one_row_per_customer(spark, features_small):
                                       ("interaction", 8), ("relation", 4)])
 def test_view_shapes(features_small, module, n):
     train = build_view(features_small, module, "train")
-    pred = build_view(features_small, module, "predict")
+    bounds = fit_view_bounds(features_small, VIEWS[module])
+    pred = build_view(features_small, module, "predict", bounds=bounds)
     assert train.columns[:2] == ["uid_uid", "uid_flag"] and len(train.columns) == n + 2
-    assert pred.columns[0] == "uid_uid" and len(pred.columns) == n + 1
+    assert pred.columns[0] == "uid_uid" and len(pred.columns) == n + 1 + (module == "people")
+    if module == "people":
+        assert "uid_flag" in pred.columns
+        assert "uid_flag" not in build_view(features_small.drop("uid_flag"), module, "predict", bounds=bounds).columns
+
+
+def test_prediction_never_fits_bounds(features_small):
+    with pytest.raises(ValueError):
+        build_view(features_small, "people", "predict")
+    from ratecraft.plans.views import build_all_views
+    with pytest.raises(ValueError):
+        build_all_views(features_small, "predict")
+    bounds = fit_view_bounds(features_small, VIEWS["people"])
+    few = features_small.where("uid_age > 60")
+    whole = build_view(features_small, "people", "predict", bounds=bounds)
+    part = build_view(few, "people", "predict", bounds=bounds)
+    assert part.exceptAll(whole).count() == 0
+
+
+def test_csv_by_name(spark):
+    from ratecraft.plans.jobs import read_features
+    from ratecraft.sources.readers import read_csv
+    schema = "uid_uid string, a int, b double"
+    from pyspark.sql.types import StructType
+    schema = StructType.fromDDL(schema)
+    path = scratch_path(spark, "csv")
+    spark.createDataFrame([("x", 1.5, "u1", 7)], "extra string, b double, uid_uid string, a int").write.option("header", True).csv(path)
+    got = read_csv(spark, path, schema)
+    assert got.columns == ["uid_uid", "a", "b"] and tuple(got.first()) == ("u1", 7, 1.5)
+    with pytest.raises(ValueError):
+        read_csv(spark, path, StructType.fromDDL("uid_uid string, c int"))
+    assert tuple(read_csv(spark, path, StructType.fromDDL("uid_uid string, c int"), optional=("c",)).first()) == ("u1", None)
+    assert read_csv(spark, path, StructType.fromDDL("c string"), rename={"extra": "c"}).first().c == "x"
+    with pytest.raises(ValueError):
+        read_features(spark, path)
+
+
+def test_missing_and_not_a_number_statistics(spark):
+    from ratecraft.operators.outliers import fit_bounds
+    from ratecraft.operators.quantiles import quantiles
+    nan = float("nan")
+    df = spark.createDataFrame([(float(i), None, float(i)) for i in range(10)] + [(nan, None, None)] * 10, "a double, b double, c double")
+    for method in ("iqr", "clamp95", "sigma"):
+        for error in (0.0, 0.1):
+            b = fit_bounds(df, ["a", "b"], method, rel_error=error)
+            assert b.center["b"] is None
+            if method == "sigma":
+                assert b.center["a"] == 4.5
+    assert quantiles(df, ["a"], [0.5])["a"] == [4.0] and quantiles(df, ["a"], [0.5], 0.01)["a"] == [4.0]
 
 
 def test_filled_views_have_no_nulls(features_small):
@@ -80,6 +129,7 @@ def test_all_views_in_one_projection_equal_separate_views(features_small):
     for m in VIEWS:
         one = build_view(features_small, m, "predict", bounds=b if m == "people" else None,
                          fill_override=0 if m == "consume" else None)
+        one = one.drop("uid_flag")     # of the people view; not a feature
         sub = allv.select("uid_uid", f"{m}.*")
         assert sub.columns == one.columns
         assert sub.exceptAll(one).count() == 0 and one.exceptAll(sub).count() == 0
