@@ -192,9 +192,10 @@ def _tiles(distinct: DataFrame, dims: int, threshold: float, block: int) -> Data
     # ends of the blocks, a row for about `block` vectors: the partners of one follow it in this order
     ends = sorted(tuple(r) for r in cut.select("lo", "hi", "run", "salt").collect())
     los, gap = np.array([e[0] for e in ends]), np.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-6
-    until = [int(np.searchsorted(los, hi + gap, side="right")) for _, hi, _, _ in ends]
-    since = [next(i for i in range(j + 1) if until[i] > j) for j in range(len(ends))]
-    order = spark.createDataFrame([(run, salt, k, since[k], until[k]) for k, (_, _, run, salt) in enumerate(ends)],
+    # one end for all before it, so that both sides of a tile agree on whether there is one
+    until = np.maximum.accumulate(np.array([np.searchsorted(los, hi + gap, side="right") for _, hi, _, _ in ends]))
+    since = np.searchsorted(until, np.arange(len(ends)), side="right")
+    order = spark.createDataFrame([(run, salt, k, int(since[k]), int(until[k])) for k, (_, _, run, salt) in enumerate(ends)],
                                   "run long, salt long, k long, since long, until long")
     numbered = cut.join(order, ["run", "salt"]).drop("run", "salt", "lo", "hi")
     one = F.lit(1).cast("long")
