@@ -35,7 +35,8 @@ ROUNDS = 3
 SMOOTHING = 0.1         # added to every expected count
 UNKNOWN = 1e-7          # probability of a character outside the vocabulary
 UND = "und"
-_RUN = 8 << 20
+CACHED_WORDS = 300_000  # per task
+_RUN = 2 << 20          # bytes of text worked on at a time
 
 
 def held_out(doc_id: Column) -> Column:
@@ -212,13 +213,13 @@ class Classifier:
         self.languages, self.pieces = languages, pieces
         self.p = _with_limits(probabilities)
         self.segmenter = None
+        self._forget()
 
-    def __call__(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
-        """(language, posterior probability under equal priors) of each text."""
-        self.segmenter = self.segmenter or Segmenter(self.pieces)
-        words, which, counts = words_of(texts)
-        if not self.languages or not len(words):
-            return [UND] * len(texts), np.zeros(len(texts))
+    def _forget(self) -> None:
+        """Log probabilities of the words met so far, a row each."""
+        self.words, self.logs = pa.array([], pa.string()), np.zeros((0, len(self.languages)))
+
+    def _learn(self, words: pa.Array) -> None:
         logs = np.zeros((len(words), len(self.languages)))
         short, long = self._by_length(words.to_pylist())
         for part, size, spans in self.segmenter.groups([w for _, w in short]):
@@ -226,6 +227,20 @@ class Classifier:
             logs[index] = np.log(np.maximum(forward(size, spans, self.p, len(part))[size], 1e-300))
         for i, w in long:
             logs[i] = self._long(w)
+        self.words, self.logs = pa.concat_arrays([self.words, words]), np.concatenate([self.logs, logs])
+
+    def __call__(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
+        """(language, posterior probability under equal priors) of each text."""
+        self.segmenter = self.segmenter or Segmenter(self.pieces)
+        words, which, counts = words_of(texts)
+        if not self.languages or not len(words):
+            return [UND] * len(texts), np.zeros(len(texts))
+        if len(self.words) > CACHED_WORDS:
+            self._forget()
+        new = words.filter(pc.is_null(pc.index_in(words, value_set=self.words)))
+        if len(new):
+            self._learn(new)
+        logs = self.logs[np.asarray(pc.index_in(words, value_set=self.words)).astype(np.int64)]
         # a text without words gets a neighbour's sum here and is `und` below
         firsts = np.minimum(np.cumsum(counts) - counts, len(which) - 1)
         total = np.add.reduceat(logs[which], firsts, axis=0)

@@ -38,7 +38,7 @@ END = 1
 VOCABULARY = "word_bpe_49k.json"
 CACHED_WORDS = 400_000     # per Python worker
 
-_RUN = 16 << 20            # bytes of text tokenised at a time
+_RUN = 8 << 20             # bytes of text tokenised at a time
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part int, nth long"
 _PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
