@@ -8,8 +8,11 @@ distinct word shingles.
    orders shingles from rare to frequent; the order only steers the work.
 3. If two sets link, the first ``n - ceil(percent * n / 100) + 1`` shingles of
    each (in that order) share one.  Those shingles are dealt out by hash; all
-   classes that hold one make a group, and a group belongs to its smallest
-   class, its hub.  Two classes that link are thus together in some hub's block.
+   classes that hold one and are near enough in size make a group, and a group
+   belongs to its smallest class, its hub.  Two classes that link are thus
+   together in some hub's block.
+   Only texts of such classes are shuffled: a bit table of fixed size lets the
+   others pass by.
 4. In a block, every class looks up the inverted lists of its shingles: short
    lists are merged, long ones probed by binary search for the candidates that
    can still reach the required overlap (DivideSkip).  The counts are the exact
@@ -29,6 +32,7 @@ from __future__ import annotations
 
 import heapq
 import math
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +48,10 @@ WORDS = 3
 PERCENT = 90
 MAX_BLOCK = 512          # classes looked up in one task besides the hub and those asked for
 COUNT_BITS = 21          # the count table has 2^21 entries, 8 MB, whatever the input
+HOT_SHINGLE = 1000       # and four times the mean: bucket counts from which a shingle's group may be large
+ID_BITS = 23             # the bit table of ids has 2^23 bits, 1 MB
 _CHUNK = 1 << 12
+_PROBES = 1 << 14        # binary searches done together
 _RUN = 1 << 20           # bytes of text worked on at a time
 
 
@@ -53,66 +60,62 @@ def overlap_needed(n: np.ndarray | int, m: np.ndarray | int, percent: int):
     return -((-percent * (n + m)) // (100 + percent))
 
 
-def sets_and_counts(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
-    """((doc_id, n, d1, d2) of every row; (chunk, counts) of the shingles' hash buckets)."""
-    def measure(batches):
+def bucket_counts(docs: DataFrame, words: int) -> np.ndarray:
+    """Shingles by hash bucket over all documents: 2^COUNT_BITS numbers, whatever the input."""
+    def count(batches):
         counts = np.zeros(1 << COUNT_BITS, np.int32)
         for batch in batches:
-            rows = [[], [], []]
             for run in slices(batch, "text", _RUN):
-                for s in shingle_sets(run.column("text"), words):
-                    np.add.at(counts, (s >> np.uint64(64 - COUNT_BITS)).astype(np.int64), 1)
-                    rows[0].append(len(s))
-                    rows[1].append(int(s.sum().astype(np.int64)) if len(s) else 0)
-                    rows[2].append(int(mixed(s).sum().astype(np.int64)) if len(s) else 0)
-            k = len(rows[0])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array(r, pa.int64()) for r in rows), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())],
-                ["doc_id", "n", "d1", "d2", "chunk", "counts"])
-        chunks = [c.tobytes() for c in counts.reshape(-1, _CHUNK)]
-        k = len(chunks)
-        yield pa.RecordBatch.from_arrays(
-            [pa.nulls(k, pa.int64())] * 4 + [pa.array(range(k), pa.int32()), pa.array(chunks, pa.binary())],
-            ["doc_id", "n", "d1", "d2", "chunk", "counts"])
-
-    both = materialise(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        measure, "doc_id long, n long, d1 long, d2 long, chunk int, counts binary"), "shingle-sets")
-    return both.where("chunk is null").select("doc_id", "n", "d1", "d2"), both.where("chunk is not null").select("chunk", "counts")
-
-
-def count_table(chunks: DataFrame) -> np.ndarray:
-    """The summed counts: 2^COUNT_BITS numbers, whatever the input."""
+                found = np.concatenate([np.zeros(0, np.uint64), *shingle_sets(run.column("text"), words)])
+                counts += np.bincount(_bucket(found), minlength=len(counts)).astype(np.int32)
+        chunks = [zlib.compress(c.tobytes(), 1) for c in counts.reshape(-1, _CHUNK)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(chunks)), pa.int32()), pa.array(chunks, pa.binary())], ["chunk", "counts"])
+
     def add(key, part):
         total = np.zeros(_CHUNK, np.int64)
         for c in part.column("counts"):
-            total += np.frombuffer(c.as_py(), np.int32)
-        return pa.table({"chunk": [key[0].as_py()], "counts": [np.minimum(total, (1 << 31) - 1).astype(np.int32).tobytes()]},
-                        schema=pa.schema([("chunk", pa.int32()), ("counts", pa.binary())]))
+            total += np.frombuffer(zlib.decompress(c.as_py()), np.int32)
+        packed = zlib.compress(np.minimum(total, (1 << 31) - 1).astype(np.int32).tobytes(), 1)
+        return pa.table({"chunk": [key[0].as_py()], "counts": [packed]}, schema=pa.schema([("chunk", pa.int32()), ("counts", pa.binary())]))
 
     table = np.zeros(1 << COUNT_BITS, np.int32)
-    for chunk, counts in chunks.groupBy("chunk").applyInArrow(add, "chunk int, counts binary").collect():
-        table[chunk * _CHUNK:(chunk + 1) * _CHUNK] = np.frombuffer(counts, np.int32)
+    sums = docs.select("text").mapInArrow(count, "chunk int, counts binary").groupBy("chunk").applyInArrow(add, "chunk int, counts binary")
+    for chunk, counts in sums.collect():
+        table[chunk * _CHUNK:(chunk + 1) * _CHUNK] = np.frombuffer(zlib.decompress(counts), np.int32)
     return table
 
 
+def _bucket(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
+
+
 def prefixes(docs: DataFrame, counts, words: int, percent: int) -> DataFrame:
-    """(shingle, id) for the rarest shingles of each document, enough that linked ones share one."""
+    """(id, n, d1, d2, rare, often) of every row: its set's size and digest, and its first shingles.
+
+    The first shingles are the rarest by bucket count, as many as make linked
+    sets share one.  They stand in ``rare``, or in ``often`` if their bucket holds
+    so many that a group of documents with one of them might be large.
+    """
+    limit = HOT_SHINGLE + 4 * float(counts.value.mean())
+
     def first(batches):
         for batch in batches:
             for run in slices(batch, "text", _RUN):
-                keep, ids = [], []
-                for doc_id, s in zip(run.column("doc_id").to_pylist(), shingle_sets(run.column("text"), words), strict=True):
+                out = [[] for _ in range(5)]
+                for s in shingle_sets(run.column("text"), words):
                     n = len(s)
-                    if n:
-                        k = n - -(-percent * n // 100) + 1
-                        order = np.argsort(counts.value[(s >> np.uint64(64 - COUNT_BITS)).astype(np.int64)], kind="stable")
-                        keep.append(s[order[:k]])
-                        ids.append(np.full(k, doc_id))
-                if keep:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(keep).view(np.int64)), pa.array(np.concatenate(ids), pa.int64())], ["shingle", "id"])
+                    held = counts.value[_bucket(s)]
+                    chosen = np.argsort(held, kind="stable")[:n - -(-percent * n // 100) + 1 if n else 0]
+                    hot = held[chosen] > limit
+                    values = s.view(np.int64)
+                    digest = (int(values.sum()), int(mixed(s).view(np.int64).sum())) if n else (0, 0)
+                    for o, v in zip(out, (n, *digest, values[chosen[~hot]], values[chosen[hot]]), strict=True):
+                        o.append(v)
+                kinds = [pa.int64()] * 3 + [pa.list_(pa.int64())] * 2
+                yield pa.RecordBatch.from_arrays([run.column("doc_id"), *(pa.array(o, k) for o, k in zip(out, kinds, strict=True))],
+                                                 ["id", "n", "d1", "d2", "rare", "often"])
 
-    return docs.select("doc_id", "text").mapInArrow(first, "shingle long, id long")
+    return docs.select("doc_id", "text").mapInArrow(first, "id long, n long, d1 long, d2 long, rare array<long>, often array<long>")
 
 
 class Block:
@@ -126,6 +129,7 @@ class Block:
         self.owner, flat = owner[order], flat[order]
         self.keys, self.first = np.unique(flat, return_index=True)
         self.stop = np.append(self.first[1:], len(flat))
+        self.pairs = np.repeat(np.arange(len(self.keys)), self.stop - self.first) * len(sets) + self.owner
         self.root = np.arange(len(sets))
 
     def search(self, q: int, percent: int) -> np.ndarray:
@@ -146,15 +150,16 @@ class Block:
         enough = found >= need - len(probed)
         candidates, found = candidates[enough], found[enough]
         required = overlap_needed(n, self.sizes[candidates], percent)
-        for k, at in enumerate(probed):
-            alive = found + (len(probed) - k) >= required
-            if not alive.all():
-                candidates, found, required = candidates[alive], found[alive], required[alive]
-            if not len(candidates):
-                break
-            members = self.owner[self.first[at]:self.stop[at]]
-            spot = np.searchsorted(members, candidates)
-            found = found + (members[np.minimum(spot, len(members) - 1)] == candidates)
+        at = 0
+        while at < len(probed) and len(candidates):
+            # a member is looked up in a list by its place among all (list, member) pairs
+            some = probed[at:at + max(1, _PROBES // len(candidates))]
+            at += len(some)
+            wanted = some[:, None] * len(self.sets) + candidates
+            spot = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
+            found = found + (self.pairs[spot] == wanted).sum(axis=0)
+            alive = found + (len(probed) - at) >= required
+            candidates, found, required = candidates[alive], found[alive], required[alive]
         return candidates[(found >= required) & (candidates != q)]
 
     def _merge(self, lists: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -236,37 +241,108 @@ def _pairs(rows: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
-def classes(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, DataFrame]:
-    """((doc_id, n, rep): every row and the smallest doc_id with its set; the count chunks)."""
-    sets, chunks = sets_and_counts(docs, words)
-    reps = materialise(sets.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep")), "shingle-reps")
-    members = sets.join(reps, ["n", "d1", "d2"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"))
-    return materialise(members, "shingle-classes"), chunks
+def hub_pairs(reps: DataFrame, percent: int) -> DataFrame:
+    """(hub, id): the classes of each hub's block, from (id, n, rare, often).
+
+    Sets whose sizes are too far apart cannot link, so the classes with one
+    shingle fall into groups by size, each with a hub of its own."""
+    def grouped(shingle, n, ids):
+        """Pairs from rows by shingle and size: a gap in the sizes parts two groups."""
+        starts = np.flatnonzero(np.r_[True, (shingle[1:] != shingle[:-1]) | (100 * n[:-1] < percent * n[1:])])
+        hubs = np.repeat(np.minimum.reduceat(ids, starts), np.diff(np.r_[starts, len(ids)]))
+        return np.unique(np.stack([hubs, ids], axis=1)[hubs != ids], axis=0), int(starts[-1])
 
+    def runs(batches):
+        held = None
+        for batch in batches:
+            rows = np.stack([np.asarray(batch.column(c)).astype(np.int64) for c in ("shingle", "n", "id")])
+            rows = rows if held is None else np.concatenate([held, rows], axis=1)
+            if not rows.shape[1]:
+                continue
+            # the last group may go on in the next batch
+            pairs, last = grouped(*rows)
+            held = rows[:, last:]
+            if last:
+                pairs, _ = grouped(*rows[:, :last])
+                yield _pairs_batch(pairs)
+        if held is not None:
+            yield _pairs_batch(grouped(*held)[0])
+
+    def _pairs_batch(pairs):
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["hub", "id"])
+
+    parts = parallelism(reps.sparkSession)
+    rare = (reps.select(F.explode("rare").alias("shingle"), "n", "id").repartition(parts, "shingle")
+            .sortWithinPartitions("shingle", "n").mapInArrow(runs, "hub long, id long"))
+    # a shingle that many classes may hold: sizes in steps that linked sets differ by one of at
+    # most, hubs by aggregation, then a join that can be split between tasks
+    step = F.floor(F.log(F.col("n").cast("double")) / (-1.0001 * math.log(percent / 100)) if percent < 100 else F.col("n"))
+    often = (reps.select(F.explode("often").alias("shingle"), F.array(step, step + 1).alias("steps"), "id")
+             .select("shingle", F.explode("steps").alias("step"), "id"))
+    hubs = materialise(often.groupBy("shingle", "step").agg(F.min("id").alias("hub"), F.max("id").alias("last"))
+                       .where("hub <> last").select("shingle", "step", "hub"), "join-hubs")
+    often = often.join(hubs, ["shingle", "step"]).where("hub <> id").select("hub", "id")
+    return materialise(rare.unionByName(often).distinct(), "join-pairs")
+
+
+def blocks_of(pairs: DataFrame, max_block: int) -> DataFrame:
+    """(hub, id, slices, slice): every hub's block, itself included, in slices of about ``max_block``."""
+    sizes = materialise(pairs.groupBy("hub").agg(F.count("*").alias("size")), "join-sizes")
+    n = F.ceil((F.col("size") + 1) / max_block).cast("long")
+    members = pairs.join(sizes, "hub").unionByName(sizes.select("hub", F.col("hub").alias("id"), "size"))
+    return members.select("hub", "id", n.alias("slices")).withColumn("slice", F.pmod(F.xxhash64("id"), "slices"))
+
+
+def id_bits(ids: DataFrame) -> np.ndarray:
+    """A bit table of the hashes of ids: 2^ID_BITS bits, whatever the input.
+
+    It lets most other documents pass by before a join; more ids make it less
+    selective, never wrong."""
+    def mark(batches):
+        bits = np.zeros(1 << ID_BITS, bool)
+        for batch in batches:
+            bits[_id_bit(np.asarray(batch.column("id")))] = True
+        packed = np.packbits(bits).reshape(-1, _CHUNK)
+        some = np.flatnonzero(packed.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([zlib.compress(packed[k].tobytes(), 1) for k in some], pa.binary())],
+                                         ["chunk", "bits"])
 
-def blocks_of(entries: DataFrame, reps: DataFrame, max_block: int) -> DataFrame:
-    """(hub, id, size, slices, slice): the classes of each hub's block, in slices of about ``max_block``."""
-    hubs = materialise(entries.groupBy("shingle").agg(F.min("id").alias("hub"), F.max("id").alias("last"))
-                       .where("hub <> last").select("shingle", "hub"), "join-hubs")
-    pairs = materialise(entries.join(hubs, "shingle").select("hub", "id").distinct()
-                        .join(reps, "id", "left_semi"), "join-pairs")
-    sizes = materialise(pairs.groupBy("hub").agg(F.count("*").alias("size")).where("size > 1"), "join-sizes")
-    n = F.ceil(F.col("size") / max_block).cast("long")
-    return pairs.join(sizes, "hub").withColumn("slices", n).withColumn("slice", F.pmod(F.xxhash64("id"), "slices"))
+    def unite(key, part):
+        total = np.zeros(_CHUNK, np.uint8)
+        for c in part.column("bits"):
+            total |= np.frombuffer(zlib.decompress(c.as_py()), np.uint8)
+        return pa.table({"chunk": [key[0].as_py()], "bits": [zlib.compress(total.tobytes(), 1)]}, schema=pa.schema([("chunk", pa.int32()), ("bits", pa.binary())]))
 
+    packed = np.zeros(((1 << ID_BITS) // 8 // _CHUNK, _CHUNK), np.uint8)
+    for chunk, bits in ids.select("id").mapInArrow(mark, "chunk int, bits binary").groupBy("chunk").applyInArrow(unite, "chunk int, bits binary").collect():
+        packed[chunk] = np.frombuffer(zlib.decompress(bits), np.uint8)
+    return packed.ravel()
 
-def jaccard_links(docs: DataFrame, members: DataFrame, chunks: DataFrame, words: int, percent: int, max_block: int) -> DataFrame:
+
+def _id_bit(ids: np.ndarray) -> np.ndarray:
+    return (mixed(ids.astype(np.int64).view(np.uint64)) >> np.uint64(64 - ID_BITS)).astype(np.int64)
+
+
+def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, text) of the documents whose ids may be among ``ids``."""
+    table = docs.sparkSession.sparkContext.broadcast(id_bits(ids))
+
+    def keep(batches):
+        for batch in batches:
+            at = _id_bit(np.asarray(batch.column("id")))
+            yield batch.filter(pa.array((table.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1))
+
+    return docs.select(F.col("doc_id").alias("id"), "text").mapInArrow(keep, "id long, text string")
+
+
+def jaccard_links(docs: DataFrame, reps: DataFrame, words: int, percent: int, max_block: int) -> DataFrame:
     """(a, b) links between classes that connect all that link."""
-    texts = docs.where("doc_id is not null")
-    counts = docs.sparkSession.sparkContext.broadcast(count_table(chunks))
-    reps = members.where("n > 0 and doc_id = rep").select(F.col("rep").alias("id")).distinct()
-    entries = materialise(prefixes(texts, counts, words, percent), "join-entries")
-    dealt = materialise(blocks_of(entries, reps, max_block), "join-blocks")
-    counts.unpersist()
+    dealt = materialise(blocks_of(hub_pairs(reps, percent), max_block), "join-blocks")
 
     def solve(rows: DataFrame, name: str) -> DataFrame:
         """rows: (block, id, asked)."""
-        with_text = rows.join(texts.select(F.col("doc_id").alias("id"), "text"), "id")
+        # the same plan at every size
+        with_text = texts_of(docs, rows).join(rows.hint("merge"), "id")
         return materialise(block_links(with_text, words, percent), name)
 
     # every slice has the hub
@@ -296,10 +372,20 @@ def jaccard_links(docs: DataFrame, members: DataFrame, chunks: DataFrame, words:
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, max_block: int = MAX_BLOCK) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    members, chunks = classes(docs, words)
-    labels = materialise(components(jaccard_links(docs, members, chunks, words, percent, max_block)), "join-components")
-    return members.join(labels, members["rep"] == labels["node"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
+    counts = docs.sparkSession.sparkContext.broadcast(bucket_counts(docs, words))
+    rows = materialise(prefixes(docs, counts, words, percent), "join-prefixes")
+    counts.unpersist()
+    # equal sets are one class, under its least doc_id
+    classes = materialise(rows.where("n > 0 and id is not null").groupBy("n", "d1", "d2").agg(
+        F.min("id").alias("rep"), F.min_by("rare", "id").alias("rare"), F.min_by("often", "id").alias("often")), "join-classes")
+    reps = classes.select(F.col("rep").alias("id"), "n", "rare", "often")
+    links = jaccard_links(docs.where("doc_id is not null"), reps, words, percent, max_block)
+    labels = materialise(components(links), "join-components")
+    named = classes.select("n", "d1", "d2", "rep").join(labels, F.col("rep") == F.col("node"), "left").select(
+        "n", "d1", "d2", F.coalesce("component", "rep").alias("component"))
+    return rows.select("id", "n", "d1", "d2").join(materialise(named, "join-named"), ["n", "d1", "d2"], "left").select(
+        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
+        F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"))
 
 
 def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
