@@ -202,7 +202,7 @@ def linked_components(sets: list[np.ndarray], percent: int, asked: list[int] | N
 
 
 def block_links(blocks: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b) links that connect what a block connects, from (block, id, text, asked).
+    """(a, b) links that connect what a block connects, from (block, id, body, asked).
 
     Members that are ``asked`` are looked up against the whole block; a block
     where none is looks all up.
@@ -220,9 +220,10 @@ def block_links(blocks: DataFrame, words: int, percent: int) -> DataFrame:
         current, ids, sets, asked = None, [], [], []     # the block being read
         for batch in batches:
             found = []
-            for run in slices(batch, "text", _RUN):
+            for run in slices(batch, "body", _RUN // 4):
+                texts = pa.array([zlib.decompress(b.as_py()).decode() for b in run.column("body")], pa.string())
                 keys, members, flags = (run.column(c).to_pylist() for c in ("block", "id", "asked"))
-                for key, i, s, flag in zip(keys, members, shingle_sets(run.column("text"), words), flags, strict=True):
+                for key, i, s, flag in zip(keys, members, shingle_sets(texts, words), flags, strict=True):
                     if key != current:
                         found += links(ids, sets, asked)
                         current, ids, sets, asked = key, [], [], []
@@ -233,7 +234,7 @@ def block_links(blocks: DataFrame, words: int, percent: int) -> DataFrame:
         yield _pairs(list(links(ids, sets, asked)))
 
     dealt = blocks.repartition(parallelism(blocks.sparkSession), "block").sortWithinPartitions("block")
-    return dealt.select("block", "id", "text", "asked").mapInArrow(solve, "a long, b long")
+    return dealt.select("block", "id", "body", "asked").mapInArrow(solve, "a long, b long")
 
 
 def _pairs(rows: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -324,15 +325,20 @@ def _id_bit(ids: np.ndarray) -> np.ndarray:
 
 
 def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, text) of the documents whose ids may be among ``ids``."""
+    """(id, body) of the documents whose ids may be among ``ids``; body is the packed text.
+
+    Texts are shuffled twice, by id and by block, so packing them once saves
+    more than the shuffle's own compression of single rows."""
     table = docs.sparkSession.sparkContext.broadcast(id_bits(ids))
 
     def keep(batches):
         for batch in batches:
             at = _id_bit(np.asarray(batch.column("id")))
-            yield batch.filter(pa.array((table.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1))
+            some = batch.filter(pa.array((table.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1))
+            bodies = [zlib.compress((t.as_py() or "").encode(), 5) for t in some.column("text")]
+            yield pa.RecordBatch.from_arrays([some.column("id"), pa.array(bodies, pa.binary())], ["id", "body"])
 
-    return docs.select(F.col("doc_id").alias("id"), "text").mapInArrow(keep, "id long, text string")
+    return docs.select(F.col("doc_id").alias("id"), "text").mapInArrow(keep, "id long, body binary")
 
 
 def jaccard_links(docs: DataFrame, reps: DataFrame, words: int, percent: int, max_block: int) -> DataFrame:
