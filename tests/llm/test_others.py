@@ -271,3 +271,28 @@ def test_pipeline_stages_against_brute_force(spark):
     ran = corpus_pipeline.run(spark, SF)
     assert sorted(ran.columns) == sorted(kept["pack"].columns) and ran.count() == len(pieces)
     assert line_dedup.MIN_DOCS == 5
+
+
+def test_copies_stage_takes_five_words_and_four_fifths(spark):
+    """One word changed in L distinct ones: 5-word Jaccard (L - 9) / (L + 1), so 0.8 at L = 49; the 3-word value is below 0.9 until 59."""
+    sizes = (47, 48, 49, 50, 53, 58, 59, 80)
+    rows = []
+    for k, size in enumerate(sizes):
+        words = [f"w{k}x{j}" for j in range(size)]
+        rows += [(10 * k, " ".join(words)), (10 * k + 1, " ".join(words[:20] + ["other"] + words[21:]))]
+    df = spark.createDataFrame([(i, t, "en", "web", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = {r.doc_id for r in corpus_pipeline.copies(spark, df, SF).collect()}
+    assert left == {10 * k for k in range(len(sizes))} | {10 * k + 1 for k, size in enumerate(sizes) if size < 49}
+    # and the given rows, by all pairs
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    sets = {}
+    for i, text in docs.select("doc_id", "text").collect():
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        sets[i] = {tuple(w[j:j + 5]) for j in range(len(w) - 4)} if len(w) > 4 else ({tuple(w)} if w else set())
+    label = {i: i for i in sets}
+    for a in sorted(sets):
+        for b in sorted(sets):
+            if a < b and sets[a] and sets[b] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                x, y = sorted((label[a], label[b]))
+                label = {i: x if v == y else v for i, v in label.items()}
+    assert sorted(r.doc_id for r in corpus_pipeline.copies(spark, docs, SF).collect()) == sorted(i for i in sets if label[i] == i)
