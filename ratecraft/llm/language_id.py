@@ -241,12 +241,12 @@ class Classifier:
         if len(new):
             self._learn(new)
         logs = self.logs[np.asarray(pc.index_in(words, value_set=self.words)).astype(np.int64)]
-        # a text without words gets a neighbour's sum here and is `und` below
-        firsts = np.minimum(np.cumsum(counts) - counts, len(which) - 1)
-        total = np.add.reduceat(logs[which], firsts, axis=0)
+        # reduceat has no empty sums: only texts with words take part
+        known = counts > 0
+        total = np.zeros((len(counts), len(self.languages)))
+        total[known] = np.add.reduceat(logs[which], (np.cumsum(counts) - counts)[known], axis=0)
         best = total.argmax(axis=1)
         score = 1.0 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
-        known = counts > 0
         return [self.languages[b] if k else UND for b, k in zip(best, known, strict=True)], np.where(known, score, 0.0)
 
     @staticmethod

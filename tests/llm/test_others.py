@@ -8,6 +8,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,6 +106,18 @@ def test_forward_sums_all_segmentations():
         assert np.exp(c._long(word)) == pytest.approx(every("▁" + word))
 
 
+
+def test_score_does_not_depend_on_the_batch():
+    pieces = ["▁a", "▁", "a", "b", "c"]
+    classify = language_id.Classifier(["x", "y"], pieces, np.random.default_rng(1).random((len(pieces), 2)) / 10)
+    texts = ["a b", "c", "", "b c ab", "12", "", "b c", ""]
+    alone = [classify(pa.array([t])) for t in texts]
+    for n in range(1, len(texts) + 1):
+        lang, score = classify(pa.array(texts[:n]))
+        assert lang == [a[0][0] for a in alone[:n]] and score == pytest.approx([a[1][0] for a in alone[:n]])
+    assert classify(pa.array(["", "1"]))[0] == ["und", "und"]
+
+
 # ---- pages ----------------------------------------------------------------------
 @pytest.fixture(scope="module")
 def pages(spark):
