@@ -8,6 +8,7 @@ every distinct word of a batch is scored once, all words of a length together.
 
 Training is expectation maximisation (forward-backward) on word counts of at
 most about ``sample_docs`` documents per language, chosen by a hash of the text.
+Words over ``LONG_WORD`` letters count like all others, by sums in logarithms.
 The model has one number per piece and language.
 
 Defined cases: a NULL text or one without letters is ``und`` with score 0; so is
@@ -36,6 +37,7 @@ SMOOTHING = 0.1         # added to every expected count
 UNKNOWN = 1e-7          # probability of a character outside the vocabulary
 UND = "und"
 CACHED_WORDS = 300_000  # per task
+LONG_WORD = 24          # letters; longer words go one by one, without underflow and in time proportional to their length
 _RUN = 2 << 20          # bytes of text worked on at a time
 
 
@@ -122,13 +124,35 @@ class Segmenter:
                             spans[i, j] = number
                 yield part, size, spans
 
+    def of_word(self, word: str):
+        """(characters of a marked word, function giving (starts, numbers) of its pieces that may end before j)."""
+        points, sizes = self._points(["▁" + word])
+        sums, back = self._sums(points), _powers(_ODD_INVERSE, len(points) + 1)
+
+        def ending(j: int) -> tuple[np.ndarray, np.ndarray]:
+            i = np.arange(max(0, j - self.longest), j)
+            h = mixed((sums[j] - sums[i]) * back[i] + (j - i).astype(np.uint64))
+            spot = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+            number = np.where(self.hashes[spot] == h, self.number[spot], -1)
+            if number[-1] < 0:
+                number[-1] = self.unknown
+            return i, number
+
+        return int(sizes[0]), ending
+
+
+def _by_length(words: list[str], most: int = LONG_WORD) -> tuple[list, list]:
+    short = [(i, w) for i, w in enumerate(words) if len(w) <= most]
+    return short, [(i, w) for i, w in enumerate(words) if len(w) > most]
+
 
 def forward(size: int, spans: dict, p: np.ndarray, n: int) -> np.ndarray:
     """alpha[j] (words x languages): probability of a word's first j characters over all segmentations."""
     alpha = np.zeros((size + 1, n, p.shape[1]))
     alpha[0] = 1.0
+    longest = max(j - i for i, j in spans)
     for j in range(1, size + 1):
-        for i in range(j):
+        for i in range(max(0, j - longest), j):
             if (i, j) in spans:
                 alpha[j] += alpha[i] * p[spans[i, j]]
     return alpha
@@ -137,21 +161,45 @@ def forward(size: int, spans: dict, p: np.ndarray, n: int) -> np.ndarray:
 def expected_counts(words: list[str], weights: np.ndarray, segmenter: Segmenter, p: np.ndarray) -> np.ndarray:
     """Expected number of uses of each piece in weighted words of one language (p: one column)."""
     counts = np.zeros(len(p))
-    for part, size, spans in segmenter.groups(words):
+    short, long = _by_length(words)
+    own = np.array([weights[i] for i, _ in short])
+    for part, size, spans in segmenter.groups([w for _, w in short]):
         alpha = forward(size, spans, p, len(part))[:, :, 0]
         beta = np.zeros_like(alpha)
         beta[size] = 1.0
+        longest = max(j - i for i, j in spans)
         for i in range(size - 1, -1, -1):
-            for j in range(i + 1, size + 1):
+            for j in range(i + 1, min(size, i + longest) + 1):
                 if (i, j) in spans:
                     beta[i] += beta[j] * p[spans[i, j], 0]
-        scale = weights[part] / np.maximum(alpha[size], 1e-300)
+        scale = own[part] / np.maximum(alpha[size], 1e-300)
         for (i, j), number in spans.items():
             counts += np.bincount(np.where(number < 0, 0, number), alpha[i] * beta[j] * p[number, 0] * scale * (number >= 0),
                                   minlength=len(p))
+    for i, w in long:
+        _add_long(counts, w, weights[i], segmenter, p[:, 0])
     return counts
 
 
+def _add_long(counts: np.ndarray, word: str, weight: float, segmenter: Segmenter, p: np.ndarray) -> None:
+    """Add a long word's expected counts, by forward and backward values in logarithms."""
+    with np.errstate(divide="ignore"):
+        log_p = np.log(p)                                # -inf for no piece
+    size, ending = segmenter.of_word(word)
+    alpha, beta = np.full(size + 1, -np.inf), np.full(size + 1, -np.inf)
+    alpha[0] = beta[size] = 0.0
+    for j in range(1, size + 1):
+        i, number = ending(j)
+        alpha[j] = np.logaddexp.reduce(alpha[i] + log_p[number])
+    if not np.isfinite(alpha[size]):
+        return
+    for j in range(size, 0, -1):                         # all that starts at j has been added to beta[j]
+        i, number = ending(j)
+        after = log_p[number] + beta[j]
+        beta[i] = np.logaddexp(beta[i], after)
+        np.add.at(counts, number, np.where(number < 0, 0.0, weight * np.exp(alpha[i] + after - alpha[size])))
+
+
 def _with_limits(probabilities: np.ndarray) -> np.ndarray:
     """Rows for unknown characters (one before the last) and for no piece (the last, number -1)."""
     n = probabilities.shape[1]
@@ -221,7 +269,7 @@ class Classifier:
 
     def _learn(self, words: pa.Array) -> None:
         logs = np.zeros((len(words), len(self.languages)))
-        short, long = self._by_length(words.to_pylist())
+        short, long = _by_length(words.to_pylist())
         for part, size, spans in self.segmenter.groups([w for _, w in short]):
             index = np.array([short[i][0] for i in part.tolist()])
             logs[index] = np.log(np.maximum(forward(size, spans, self.p, len(part))[size], 1e-300))
@@ -249,29 +297,17 @@ class Classifier:
         score = 1.0 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
         return [self.languages[b] if k else UND for b, k in zip(best, known, strict=True)], np.where(known, score, 0.0)
 
-    @staticmethod
-    def _by_length(words: list[str], most: int = 24) -> tuple[list, list]:
-        short = [(i, w) for i, w in enumerate(words) if len(w) <= most]
-        return short, [(i, w) for i, w in enumerate(words) if len(w) > most]
-
     def _long(self, word: str) -> np.ndarray:
         """Log probabilities of a long word, with the forward values rescaled on the way."""
-        known = self.segmenter
-        points, sizes = known._points(["▁" + word])
-        sums, back, size = known._sums(points), _powers(_ODD_INVERSE, len(points) + 1), int(sizes[0])
+        size, ending = self.segmenter.of_word(word)
         alpha, scale = np.zeros((size + 1, self.p.shape[1])), np.zeros(self.p.shape[1])
         alpha[0] = 1.0
         for j in range(1, size + 1):
-            i = np.arange(max(0, j - known.longest), j)
-            h = mixed((sums[j] - sums[i]) * back[i] + (j - i).astype(np.uint64))
-            spot = np.minimum(np.searchsorted(known.hashes, h), len(known.hashes) - 1)
-            number = np.where(known.hashes[spot] == h, known.number[spot], -1)
-            if number[-1] < 0:
-                number[-1] = known.unknown
+            i, number = ending(j)
             alpha[j] = (alpha[i] * self.p[number]).sum(axis=0)
             top = alpha[j].max()
             if 0 < top < 1e-100:
-                alpha[max(0, j - known.longest):j + 1] /= top
+                alpha[max(0, j - self.segmenter.longest):j + 1] /= top
                 scale += np.log(top)
         return np.log(np.maximum(alpha[size], 1e-300)) + scale
 

@@ -118,6 +118,23 @@ def test_score_does_not_depend_on_the_batch():
     assert classify(pa.array(["", "1"]))[0] == ["und", "und"]
 
 
+
+def test_long_words_are_learnt_from():
+    """A piece covers each character of a word, however long the word and small its probability."""
+    pieces = ["▁", "▁a", "a", "ab", "b", "bab"]
+    segmenter = language_id.Segmenter(pieces)
+    sizes = np.array([*map(len, pieces), 1, 0])          # unknown characters, no piece
+    p = language_id._with_limits(np.array([[1e-5], [2e-5], [1e-5], [3e-5], [1e-5], [1e-9]]))
+    for word in ("ab" * 12, "ab" * 13, "abx" * 40, "ab" * 100, "b" * 3000):
+        counts = language_id.expected_counts([word, "ab"], np.array([2.0, 0.0]), segmenter, p)
+        assert counts @ sizes == pytest.approx(2 * (len(word) + 1)) and counts[-1] == 0
+    # as the short words' way, where that has no underflow
+    for word in ("a", "babab", "abxab" * 4):
+        counts = np.zeros(len(p))
+        language_id._add_long(counts, word, 3.0, segmenter, p[:, 0])
+        assert counts == pytest.approx(language_id.expected_counts([word], np.array([3.0]), segmenter, p))
+
+
 # ---- pages ----------------------------------------------------------------------
 @pytest.fixture(scope="module")
 def pages(spark):
