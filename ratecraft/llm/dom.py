@@ -12,9 +12,11 @@ import numpy as np
 
 # fixed values of HTML
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style textarea title iframe noembed noframes xmp template noscript svg math object".split())
+RAW = set("script style textarea title iframe noembed noframes xmp".split())
+EMBEDDED = set("math mi mn mo ms mtext mrow msup msub msubsup mfrac msqrt mroot mover munder munderover mstyle mspace semantics annotation "
+               "svg g defs use path circle ellipse line polygon polyline rect object".split())
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span "
-             "strike strong sub sup time tt u var wbr".split())
+             "strike strong sub sup time tt u var wbr".split()) | EMBEDDED
 CLOSES_P = set("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol "
                "p pre section table ul".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -134,7 +136,7 @@ class Nodes:
                 if not attributes.endswith("/"):
                     stop = re.compile(rf"</{re.escape(tag)}\s*[^>]*(?:>|\Z)", re.I).search(html, at)
                     at = stop.end() if stop else n
-            elif tag not in VOID and not (attributes.endswith("/") and tag not in CLOSES_P and tag not in INLINE):
+            elif tag not in VOID and not (attributes.endswith("/") and tag not in CLOSES_P and (tag not in INLINE or tag in EMBEDDED)):
                 stack.append(i)
                 tags.append(tag)
         close(0)

@@ -184,6 +184,21 @@ def test_odd_pages(spark, extractor):
     assert html_extract.texts(nodes, np.ones(len(nodes.tag), bool)) == ["ab c d <x> e f g"]
 
 
+@pytest.mark.parametrize(("page", "want"), [
+    ("<p>let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be</p><p>next", "let x=2 be next"),
+    ("<div><object data=a><p>fall back</p></object> b</div>", "fall back b"),
+    ("<div><object data=a>never closed</div><p>rest", "never closed rest"),
+    ("<p>a<svg><path d='M0'/><use href=b>c</p><p>rest", "ac rest"),
+    ("<p>x <svg viewBox=0 /> y</p>", "x y"),
+    ("<div><noscript>no scripts</div><p>rest", "no scripts rest"),
+    ("<p>a <math><mi>x</p><template>t</template><p>rest<script>no", "a x t rest")])
+def test_only_scripts_and_raw_text_are_never_text(page, want):
+    nodes = Nodes()
+    nodes.read(page)
+    assert html_extract.texts(nodes, np.ones(len(nodes.tag), bool)) == [want]
+
+
+
 def test_archive_round_trip(spark, pages):
     same_as_oracle(warc.round_trip(pages), "pages", warc.ORACLE)
     index = warc.write_archive(pages)
