@@ -7,7 +7,9 @@ subtree holds main text.  Decoding picks the best set of nodes in which no node
 is kept below a dropped one, by dynamic programming over the tree; the kept text
 runs, entities decoded, are the text.
 
-The model is fitted on at most about ``sample_pages`` pages chosen by a hash.  It
+The model is fitted on at most about ``sample_pages`` pages of any size, chosen
+by a hash; in the order of the hash, they are taken until they have
+``sample_bytes`` bytes together (the page that reaches them is the last).  It
 learns from pages whose parts are known: those with an ``article`` or ``main``
 element as they are, and pages composed of the sample's sentences, with menus,
 headers, footers, sidebars, notices, adverts, forms and reader comments placed
@@ -36,7 +38,7 @@ from ratecraft.llm.boosting import BoostedTrees
 from ratecraft.llm.dom import INLINE, RAW, Nodes
 
 SAMPLE_PAGES = 200
-MOST_BYTES = 20_000     # of a page in the sample
+SAMPLE_BYTES = 8 << 20  # of all pages in the sample
 COMPOSED = 300          # pages composed for training
 _RUN = 1 << 20
 
@@ -134,12 +136,25 @@ class Composer:
         return f"<!DOCTYPE html><html><head><title>{self.words(8)}</title></head><body>{body}{rng.choice(['', '</body></html>'])}"
 
 
-def fit(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, seed: int = 7) -> BoostedTrees:
+def sample_of(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, sample_bytes: int = SAMPLE_BYTES) -> list[str]:
+    """Pages of any size, drawn by a hash, up to the first that makes ``sample_bytes``."""
+    pages = pages.where("html is not null").select("html", F.xxhash64("html").alias("h"))
+    n = pages.count()
+    draw = F.pmod("h", F.lit(1 << 30)) / float(1 << 30)
+    drawn = pages.where(draw < min(1.0, sample_pages / max(n, 1)))
+    taken, size = [], 0
+    for h, length in drawn.select("h", F.octet_length("html").alias("length")).orderBy(draw, "h").limit(2 * sample_pages).collect():
+        if size >= sample_bytes:
+            break
+        taken.append(h)
+        size += length
+    html = dict(pages.where(F.col("h").isin(taken)).groupBy("h").agg(F.min("html")).collect())    # each distinct page once
+    return [html[h] for h in taken]
+
+
+def fit(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, seed: int = 7, sample_bytes: int = SAMPLE_BYTES) -> BoostedTrees:
     """The model, from a bounded sample of pages."""
-    small = pages.where(F.octet_length("html") <= MOST_BYTES).select("html")
-    n = small.count()
-    draw = F.pmod(F.xxhash64("html"), F.lit(1 << 30)) / float(1 << 30)
-    sample = [r[0] for r in small.where(draw < min(1.0, sample_pages / max(n, 1))).orderBy(draw, "html").limit(2 * sample_pages).collect()]
+    sample = sample_of(pages, sample_pages, sample_bytes)
     plain = Nodes()
     for h in sample:
         plain.read(h)

@@ -199,6 +199,18 @@ def test_only_scripts_and_raw_text_are_never_text(page, want):
 
 
 
+def test_sample_has_pages_of_every_size(spark):
+    rows = [(i, f"<article><p>Page {i} says this. " + "And it goes on. " * (4000 if i % 2 else 1) + "</p></article>") for i in range(40)]
+    df = spark.createDataFrame(rows + [(40, None)], "page_id long, html string")
+    sample = html_extract.sample_of(df)
+    assert sorted(sample) == sorted(h for _, h in rows)
+    few = html_extract.sample_of(df, sample_bytes=200_000)
+    assert few == sample[:len(few)] and sum(map(len, few)) >= 200_000 > sum(map(len, few[:-1]))
+    large = df.where("length(html) > 20000")
+    assert len(html_extract.sample_of(large)) == 20 and html_extract.sample_of(df.where("false")) == []
+
+
+
 def test_archive_round_trip(spark, pages):
     same_as_oracle(warc.round_trip(pages), "pages", warc.ORACLE)
     index = warc.write_archive(pages)
