@@ -34,7 +34,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratecraft.llm.arrow_text import slices, utf8
@@ -177,9 +177,10 @@ def candidates(rows: DataFrame, width: int, k: int) -> DataFrame:
                 yield _batch({"id": part.column("id").take(at), "d": part.column("d").take(at), "h": pa.array(h),
                               "lo": pa.array(lo, pa.int32()), "n": pa.array(n, pa.int32())})
 
-    found = rows.mapInArrow(find, "id long, d int, h long, lo int, n int")
-    several = found.withColumn("times", F.count("*").over(Window.partitionBy("h"))).where("times > 1")
-    runs = several.groupBy("id", "d").agg(F.collect_set(F.struct("lo", "n", "h")).alias("runs"))
+    found = materialise(rows.mapInArrow(find, "id long, d int, h long, lo int, n int"), "repeats-minimizers")
+    # counted with map-side combination; written, as only a join right after its shuffles can split a minimizer that many rows have
+    several = materialise(found.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h"), "repeats-several")
+    runs = found.join(several, "h", "left_semi").groupBy("id", "d").agg(F.collect_set(F.struct("lo", "n", "h")).alias("runs"))
     return materialise(rows.join(runs, ["id", "d"]).select("id", "d", F.col("body").cast("binary").alias("body"), "runs"), "repeats-texts")
 
 

@@ -226,6 +226,18 @@ def test_repeats_spans_and_kept_bytes(spark, odd):
     assert repeats.repeats_digest(odd).count() == len(ODD)
 
 
+def test_minimizers_are_counted_without_a_window(spark, monkeypatch):
+    """A passage of many texts and a text of one character: no window deals all rows of a minimizer to one task."""
+    passage = " ".join(f"word{j}" for j in range(40))
+    rows = [(i, f"{i} {passage} {i * i}") for i in range(60)] + [(100, "a" * 3000), (101, "a" * 500 + "b"), (102, "alone " * 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    plans, write = [], repeats.materialise
+    monkeypatch.setattr(repeats, "materialise", lambda df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or write(df, name))
+    got = sorted((tuple(r) for r in repeats.repeats_digest(df).collect()), key=repr)
+    assert got == brute_repeats(rows, 200) and sum(r[2] for r in got) > 0
+    assert plans and not any("Window" in p for p in plans)
+
+
 # ---- search ---------------------------------------------------------------------
 def brute_search(rows, every, k):
     bags = [(i, collections.Counter(WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or "")))) for i, t in rows]
