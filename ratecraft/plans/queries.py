@@ -338,6 +338,16 @@ from ratecraft.sources.writers import ModelStore, stage  # noqa: E402
 SCORE_SPAN, SCORE_BASE = 500.0, 350.0
 
 
+def _check_report(report, n_held_out):
+    """The report has every held-out row, and areas between 0 and 1 where they are defined."""
+    n = (report["n"] or 0) + (report["n_excluded"] or 0)
+    if n != n_held_out:
+        raise ValueError(f"the report has {n:.0f} of {n_held_out} held-out rows")
+    for area in (report["auc_roc"], report["auc_pr"]):
+        if area is not None and not -1e-9 <= area <= 1 + 1e-9:
+            raise ValueError(f"an area of {area} in the report")
+
+
 def _train_predict(spark, sf_dir, module):
     """Train on the hash-train rows with the
     original parameters, save, reload, score every customer.
@@ -347,11 +357,12 @@ def _train_predict(spark, sf_dir, module):
     customer is scored; whether the score is P(label 1.0) at that index * 500 +
     350 (or 850 / 350 by that index, for the label mode); whether the reloaded
     model gives the probabilities of the fitted one; whether the training rows'
-    area under the ROC curve is clearly above one half."""
+    area under the ROC curve is clearly above one half.  The report on the
+    held-out rows must cover them all, or the query raises."""
     ft = staged_features(spark, sf_dir)
     store = ModelStore(scratch_path(spark, "models"))
     spec = MODULE_MODELS[module]
-    fitted = jobs.train(ft, module, spec, store=store, evaluate=False)
+    fitted = jobs.train(ft, module, spec, store=store)
     model, bounds = jobs.load(store, module, spark)
     out = jobs.predict(ft, module, model, spec, bounds, with_probabilities=True, with_status=True)
     before = jobs.predict(ft, module, fitted.model, spec, fitted.bounds, with_probabilities=True)
@@ -359,7 +370,8 @@ def _train_predict(spark, sf_dir, module):
 
     # the order of labels, from their counts among the training rows
     view = build_view(ft, module, "train", bounds=bounds)
-    train_rows = split_view(view)[0]
+    train_rows, held_out = split_view(view)
+    _check_report(fitted.report, held_out.count())
     order = [r["label"] for r in train_rows.groupBy(F.col("uid_flag").cast("double").alias("label")).count()
              .orderBy(F.desc("count"), F.col("label").cast("string")).collect()]
     p_good = F.col("Proba_1") if order.index(1.0) == 0 else F.col("Proba_2")

@@ -47,3 +47,15 @@ def test_view_prunes_columns_and_pushes_filters(spark):
     assert sorted(f.split(":")[0] for f in read.split(",")) == sorted(
         ["uid_uid", "uid_flag", "com_passenger_count", "com_idno_count", "com_mobile_count",
          "ord_success_order_cmobile_count"])
+
+
+def test_train_predict_evaluates_the_held_out_rows(spark, monkeypatch):
+    from ratecraft.plans import queries
+    trained, train = [], queries.jobs.train
+    monkeypatch.setattr(queries.jobs, "train", lambda *a, **k: trained.append(train(*a, **k)) or trained[-1])
+    out = queries.QUERIES["relation_train_predict"](spark, "/root/testdata/sf0.001")
+    report, n = trained[0].report, out.where("label is not null and not is_train").count()
+    assert n > 0 and report["n"] + report["n_excluded"] == n
+    for short in ({**report, "n": report["n"] - 1}, {**report, "auc_roc": 1.5}):
+        with pytest.raises(ValueError):
+            queries._check_report(short, n)
