@@ -48,11 +48,16 @@ class WordTokenizer:
     """Token ids of texts, by way of their words.
 
     The tokenizer lower-cases and its pieces never span white space nor the
-    border between a letter and punctuation, so a text's ids are those of its
-    words in turn and each distinct word is encoded once.
+    border between a plain letter and punctuation, so a text's ids are those of its
+    words in turn and each distinct word is encoded once.  Only the letters a to z
+    make a border: others may turn into a letter and a mark (the capital I with a
+    dot when it is lower-cased, some letters when they are composed), and a mark
+    belongs to the punctuation after it.  A vocabulary without these properties is
+    refused.
     """
 
-    BORDER = (r"(\pL)([.,;:!?#$%&*]+)(\s|$)", r"\1 \2\3")
+    BORDER = (r"([a-z])([.,;:!?#$%&*]+)(\s|$)", r"\1 \2\3")
+    PROBES = ("Ab, b. c!? D;", "a \u00a0 b\t\n c", "it's, we'll.", "x1. y,2 z:", "\u0130. e\u0301, \u00e9. \u0958, q&", "ab cd abcd  ab")
     MARK = "|"       # between words that are encoded together; a token of its own
     TOGETHER = 1000
 
@@ -62,8 +67,17 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        (self.mark,) = self.tokenizer.encode(self.MARK, add_special_tokens=False).ids
+        mark = self.tokenizer.encode(self.MARK, add_special_tokens=False).ids
+        self.mark = mark[0]
         self._forget()
+        ids = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
+        for probe in (*self.PROBES, f"ab {self.MARK} cd"):
+            words = self._words(pa.array([probe])).flatten().to_pylist()
+            if len(mark) != 1 or [i for w in words for i in ids(w)] != ids(probe):
+                raise ValueError(f"{path}: not a lower-casing vocabulary of words")
+
+    def _words(self, texts: pa.Array) -> pa.Array:
+        return pc.ascii_split_whitespace(pc.replace_substring_regex(pc.ascii_lower(pc.fill_null(texts, "")), *self.BORDER))
 
     def _forget(self):
         self.words, self.ids, self.ends = pa.array([], pa.string()), np.zeros(0, np.uint32), np.zeros(1, np.int64)
@@ -85,8 +99,7 @@ class WordTokenizer:
 
     def __call__(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each closed by ``end``; their offsets)."""
-        plain = pc.replace_substring_regex(pc.ascii_lower(pc.fill_null(texts, "")), *self.BORDER)
-        words = pc.ascii_split_whitespace(plain)
+        words = self._words(texts)
         coded = words.flatten().dictionary_encode()
         if len(self.words) > CACHED_WORDS:
             self._forget()

@@ -166,6 +166,28 @@ def test_words_make_the_same_ids_as_texts():
         assert ids[ends[i]:ends[i + 1]].tolist() == t.encode(text or "", add_special_tokens=False).ids + [1], text
 
 
+def test_every_letter_before_every_closing_mark():
+    """Each letter of Unicode ends a word before each mark that may be split off: ids as from whole texts."""
+    import sys
+    import unicodedata
+
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(tokenizer_path(packing.VOCABULARY))
+    t.encode_special_tokens = True
+    encode = packing.WordTokenizer(tokenizer_path(packing.VOCABULARY))
+    letters = [chr(c) for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c))[0] == "L" and not 0xAC00 <= c < 0xD7A4 and not 0x3400 <= c < 0x9FFF and c < 0x11000]
+    for mark in ".,;:!?#$%&*":
+        texts = [" ".join(f"{c}{mark}" for c in letters[i:i + 40]) + f" \u0130stanbul, \u0130{mark}{mark}" for i in range(0, len(letters), 40)]
+        ids, ends = encode(pa.array(texts), 1)
+        for i, code in enumerate(t.encode_batch(texts, add_special_tokens=False)):
+            assert ids[ends[i]:ends[i + 1]].tolist() == code.ids + [1], texts[i]
+
+
+def test_other_vocabularies_are_refused():
+    with pytest.raises(ValueError, match="not a lower-casing vocabulary"):
+        packing.WordTokenizer(tokenizer_path("byte_bpe_50k.json"))
+
+
 def test_patterns_place_every_piece_once():
     rng = np.random.default_rng(2)
     histogram = {int(k): int(n) for k, n in zip(*np.unique(rng.integers(1, 2049, 3000), return_counts=True))} | {7: 5000}
@@ -226,6 +248,17 @@ def test_repeats_spans_and_kept_bytes(spark, odd):
     assert repeats.repeats_digest(odd).count() == len(ODD)
 
 
+def test_rows_without_id_whose_short_hashes_collide(spark):
+    """Two texts with one 32-bit hash, and rows that share a doc_id or have none, are rows of their own."""
+    shared = "p" * 90 + "q" * 90 + "r" * 90
+    texts = spark.range(300_000).select(F.concat(F.lit(shared), F.sha2(F.col("id").cast("string"), 256)).alias("t"))
+    twins = texts.groupBy(F.hash("t").alias("h")).agg(F.collect_list("t").alias("ts")).where(F.size("ts") > 1).first().ts
+    rows = [(None, t) for t in twins] + [(7, t) for t in twins] + [(7, "other " * 60), (None, "x" + "other " * 50), (None, None), (7, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r) for r in repeats.repeats_digest(df).collect()), key=repr)
+    assert len(twins) > 1 and got == brute_repeats(rows, 200)
+
+
 def test_minimizers_are_counted_without_a_window(spark, monkeypatch):
     """A passage of many texts and a text of one character: no window deals all rows of a minimizer to one task."""
     passage = " ".join(f"word{j}" for j in range(40))
