@@ -25,7 +25,7 @@ prefixes and intervals are read.
 
 Defined cases: NULL is an empty text; texts shorter than ``width`` keep all
 bytes; repeated rows are texts of their own, so what they share repeats; a NULL
-doc_id is kept; extra columns are ignored; an empty table gives an empty result.
+doc_id is kept and rows may share a doc_id; extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -158,9 +158,13 @@ def _runs_of(hit: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """(id, d, body): a row's identity is its doc_id with a hash of its text."""
-    body = F.coalesce("text", F.lit(""))
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("id"), F.hash(body).alias("d"), body.alias("body"))
+    """(id, d, body): a row's identity is 128 bits of its doc_id and text, so only equal rows share one."""
+    return docs.select(*_identity(docs), F.coalesce("text", F.lit("")).alias("body"))
+
+
+def _identity(docs: DataFrame) -> list:
+    row = (F.col("doc_id").cast("string").isNull(), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit("")))
+    return [F.xxhash64(F.lit(1), *row).alias("id"), F.xxhash64(F.lit(2), *row).alias("d")]
 
 
 def _batch(columns: dict) -> pa.RecordBatch:
@@ -177,7 +181,7 @@ def candidates(rows: DataFrame, width: int, k: int) -> DataFrame:
                 yield _batch({"id": part.column("id").take(at), "d": part.column("d").take(at), "h": pa.array(h),
                               "lo": pa.array(lo, pa.int32()), "n": pa.array(n, pa.int32())})
 
-    found = materialise(rows.mapInArrow(find, "id long, d int, h long, lo int, n int"), "repeats-minimizers")
+    found = materialise(rows.mapInArrow(find, "id long, d long, h long, lo int, n int"), "repeats-minimizers")
     # counted with map-side combination; written, as only a join right after its shuffles can split a minimizer that many rows have
     several = materialise(found.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h"), "repeats-several")
     runs = found.join(several, "h", "left_semi").groupBy("id", "d").agg(F.collect_set(F.struct("lo", "n", "h")).alias("runs"))
@@ -195,11 +199,11 @@ def run_classes(texts: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
                     s = hashlib.blake2b(body[lo:lo + n + width - 1], digest_size=16).digest()
                     for c, v in zip(out.values(), (i, d, r["h"], s, lo, n), strict=True):
                         c.append(v)
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.int32())
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32())
             yield _batch({c: pa.array(v, t) for (c, v), t in zip(out.items(), kinds, strict=True)})
 
     # a row that is there twice has its runs twice
-    every = materialise(texts.mapInArrow(digest, "id long, d int, h long, s binary, lo int, n int"), "repeats-runs")
+    every = materialise(texts.mapInArrow(digest, "id long, d long, h long, s binary, lo int, n int"), "repeats-runs")
     classes = every.groupBy("h", "s").agg(F.count("*").alias("times"), F.min(F.struct("id", "d", "lo", "n")).alias("rep"))
     return every, materialise(classes, "repeats-classes")
 
@@ -241,12 +245,12 @@ def merged_repeats(strings: DataFrame, width: int) -> DataFrame:
             yield _ranges(solve(held))
 
     dealt = strings.repartition(parallelism(strings.sparkSession), "h").sortWithinPartitions("h")
-    return dealt.select("h", "times", "id", "d", "lo", "s").mapInArrow(merge, "id long, d int, lo int, n int")
+    return dealt.select("h", "times", "id", "d", "lo", "s").mapInArrow(merge, "id long, d long, lo int, n int")
 
 
 def _ranges(rows: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) or [()] * 4
-    return _batch({c: pa.array(v, t) for c, v, t in zip(("id", "d", "lo", "n"), columns, (pa.int64(), pa.int32(), pa.int32(), pa.int32()), strict=True)})
+    return _batch({c: pa.array(v, t) for c, v, t in zip(("id", "d", "lo", "n"), columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)})
 
 
 def counted_repeats(strings: DataFrame, width: int) -> DataFrame:
@@ -257,9 +261,9 @@ def counted_repeats(strings: DataFrame, width: int) -> DataFrame:
                 w = [hashlib.blake2b(s[a:a + width], digest_size=16).digest() for a in range(len(s) - width + 1)]
                 k = len(w)
                 yield _batch({"w": pa.array(w, pa.binary()), "times": pa.array([times] * k), "id": pa.array([i] * k),
-                              "d": pa.array([d] * k, pa.int32()), "lo": pa.array(range(lo, lo + k), pa.int32())})
+                              "d": pa.array([d] * k, pa.int64()), "lo": pa.array(range(lo, lo + k), pa.int32())})
 
-    every = materialise(strings.mapInArrow(windows, "w binary, times long, id long, d int, lo int"), "repeats-windows")
+    every = materialise(strings.mapInArrow(windows, "w binary, times long, id long, d long, lo int"), "repeats-windows")
     several = materialise(every.groupBy("w").agg(F.count("*").alias("n")).where("n > 1").select("w"), "repeats-several")
     return every.where("times = 1").join(several, "w", "left_semi").select("id", "d", "lo", F.lit(1).alias("n"))
 
@@ -284,11 +288,11 @@ def repeated_ranges(docs: DataFrame, width: int = WIDTH, k: int = K, max_group:
                     values = (r["h"], r["times"], r["bytes"], i, d, r["lo"], body[r["lo"]:r["lo"] + r["n"] + width - 1])
                     for c, v in zip(out.values(), values, strict=True):
                         c.append(v)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
             yield _batch({c: pa.array(v, t) for (c, v), t in zip(out.items(), kinds, strict=True)})
 
     bodies = texts.select("id", "d", "body").join(asked, ["id", "d"])
-    strings = materialise(bodies.mapInArrow(cut, "h long, times long, bytes long, id long, d int, lo int, s binary"), "repeats-strings")
+    strings = materialise(bodies.mapInArrow(cut, "h long, times long, bytes long, id long, d long, lo int, s binary"), "repeats-strings")
     ranges = whole.unionByName(merged_repeats(strings.where(F.col("bytes") <= max_group), width))
     large = strings.where(F.col("bytes") > max_group)
     if not large.isEmpty():
@@ -315,14 +319,14 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, k: int = K, max_group: i
                 for c, v in zip(out.values(), (i, d, int(gone.sum()), spans, hashlib.sha256(rest).hexdigest(), rest if kept else None), strict=True):
                     c.append(v)
             span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            kinds = (pa.int64(), pa.int32(), pa.int64(), span, pa.string(), pa.binary())
+            kinds = (pa.int64(), pa.int64(), pa.int64(), span, pa.string(), pa.binary())
             yield _batch({c: pa.array(v, t) for (c, v), t in zip(out.items(), kinds, strict=True)})
 
     removed = materialise(texts.select("id", "d", "body").join(per, ["id", "d"]).mapInArrow(
-        remove, "id long, d int, n_removed long, spans array<struct<start: long, end: long>>, sha string, kept binary")
+        remove, "id long, d long, n_removed long, spans array<struct<start: long, end: long>>, sha string, kept binary")
         .dropDuplicates(["id", "d"]), "repeats-removed")
     body = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("id"), F.hash(body).alias("d"),
+    rows = docs.select("doc_id", *_identity(docs),
                        F.octet_length(body).cast("long").alias("n_bytes"), F.sha2(body, 256).alias("own"),
                        *([body.cast("binary").alias("body")] if kept else []))
     none = F.array().cast("array<struct<start: long, end: long>>")
