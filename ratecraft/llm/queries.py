@@ -5,6 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from ratecraft.llm import (
     byte_bpe,
+    hard_negatives,
     html_extract,
     language_id,
     line_dedup,
@@ -59,14 +60,19 @@ def op10_vector_dedup(spark, sf_dir):
     return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_hard_negatives(spark, sf_dir):
+    return hard_negatives.embeddings_digest(table(spark, sf_dir, "embeddings"))
+
+
 def op13_byte_bpe(spark, sf_dir):
     return byte_bpe.round_trip_digest(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_html_extract, op2_ngram_jaccard, op3_mix_sources, op4_warc, op5_pack, op6_line_dedup, op7_repeats,
-    op8_language_id, op9_topk_search, op10_vector_dedup, op13_byte_bpe)}
+    op8_language_id, op9_topk_search, op10_vector_dedup, op11_hard_negatives, op13_byte_bpe)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLE = {"op2_ngram_jaccard": ngram_join.ORACLE, "op3_mix_sources": mixing.ORACLE, "op4_warc": warc.ORACLE,
-          "op6_line_dedup": line_dedup.ORACLE, "op9_topk_search": topk_search.ORACLE, "op10_vector_dedup": vector_dedup.ORACLE}
+          "op6_line_dedup": line_dedup.ORACLE, "op9_topk_search": topk_search.ORACLE, "op10_vector_dedup": vector_dedup.ORACLE,
+          "op11_hard_negatives": hard_negatives.ORACLE}
