@@ -16,6 +16,7 @@ from ratecraft.llm import (
     topk_search,
     vector_dedup,
     warc,
+    whitening,
 )
 from ratecraft.llm.common import table
 
@@ -64,13 +65,17 @@ def op11_hard_negatives(spark, sf_dir):
     return hard_negatives.embeddings_digest(table(spark, sf_dir, "embeddings"))
 
 
+def op12_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_byte_bpe(spark, sf_dir):
     return byte_bpe.round_trip_digest(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_html_extract, op2_ngram_jaccard, op3_mix_sources, op4_warc, op5_pack, op6_line_dedup, op7_repeats,
-    op8_language_id, op9_topk_search, op10_vector_dedup, op11_hard_negatives, op13_byte_bpe)}
+    op8_language_id, op9_topk_search, op10_vector_dedup, op11_hard_negatives, op12_whitening, op13_byte_bpe)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLE = {"op2_ngram_jaccard": ngram_join.ORACLE, "op3_mix_sources": mixing.ORACLE, "op4_warc": warc.ORACLE,
