@@ -17,7 +17,7 @@ def test_cumulative_sums_match_pandas(spark, descending):
     pdf = pd.DataFrame({"g": rng.integers(0, 3, 3000), "k": rng.integers(0, 400, 3000).astype(float),
                         "v": rng.integers(0, 10, 3000)})
     df = spark.createDataFrame(pdf).repartition(6)
-    got = cumulative_sums(df, ["g"], "k", ["v"], descending=descending, num_buckets=16).toPandas()
+    got = cumulative_sums(df, ["g"], "k", ["v"], descending=descending, num_partitions=16).toPandas()
     for _, r in got.sample(200, random_state=1).iterrows():
         grp = pdf[pdf.g == r.g]
         sel = grp.k >= r.k if descending else grp.k <= r.k
@@ -78,7 +78,7 @@ def test_slices_follow_the_setting_and_do_not_change_the_sums(spark):
     rng = np.random.default_rng(5)
     pdf = pd.DataFrame({"k": rng.integers(0, 300, 2000).astype(float), "v": rng.integers(0, 5, 2000)})
     df = spark.createDataFrame(pdf)
-    sums = [{r.k: r.cum_v for r in cumulative_sums(df, [], "k", ["v"], descending=True, num_buckets=n).collect()}
+    sums = [{r.k: r.cum_v for r in cumulative_sums(df, [], "k", ["v"], descending=True, num_partitions=n).collect()}
             for n in (None, 2, 7, 200)]
     assert all(s == sums[0] for s in sums)
 
@@ -107,3 +107,26 @@ def test_report_has_metrics_and_curve(spark, features_small):
     assert found["n"] + found["n_excluded"] == e.count()
     key = lambda r: r.threshold
     assert sorted(curve.collect(), key=key) == sorted(ev.threshold_curve(e).collect(), key=key)
+
+
+def test_no_bounds_in_the_plan_and_any_number_of_ranges(spark):
+    """A row finds its range by the partitioner: the plan does not grow with the partitions, and sums stay the same."""
+    df = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("k"), (F.col("id") % 3).alias("g"), F.lit(1).alias("v"))
+    old, plans, sums = spark.conf.get("spark.sql.shuffle.partitions"), [], []
+    try:
+        for n in ("4", "400"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            out = cumulative_sums(df, ["g"], "k", ["v"])
+            plans.append(out._jdf.queryExecution().optimizedPlan().toString())
+            sums.append(sorted(map(tuple, out.collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert sums[0] == sums[1] and len(sums[0]) == 5000
+    assert abs(len(plans[0]) - len(plans[1])) < 300 and not any("percentile" in p or "array(" in p for p in plans)
+
+
+def test_a_hot_group_and_text_keys(spark):
+    rows = [("hot", f"k{i:04d}", 1) for i in range(900)] + [("cold", f"k{i:04d}", 2) for i in range(0, 900, 300)]
+    got = cumulative_sums(spark.createDataFrame(rows, "g string, k string, v long").repartition(5), ["g"], "k", ["v"], num_partitions=7)
+    assert {(r.g, r.k): r.cum_v for r in got.collect()} == {
+        **{("hot", f"k{i:04d}"): i + 1 for i in range(900)}, **{("cold", f"k{i:04d}"): 2 * (i // 300 + 1) for i in range(0, 900, 300)}}
