@@ -6,8 +6,8 @@ Classification pipeline (one per module):
   predictedLabel, labels of that same fitted indexer).
 
 Training layout is fixed before fitting (``repartition(n, key)`` +
-``sortWithinPartitions(key)``) so a seeded forest gives the same trees
-whatever layout the input had.  The training frame is persisted around the
+``sortWithinPartitions(key)``, n from the row count) so a seeded forest gives the
+same trees whatever layout the input had.  The training frame is persisted around the
 fit (the assembler/scaler/indexer/tree fits each read it) and released after.
 """
 
@@ -40,7 +40,7 @@ class ModelSpec:
     scaled: bool = True
     score_mode: str = "probability"   # probability | label
     seed: int = 42
-    layout_partitions: int = 8        # partitions of the training rows (see fixed_layout)
+    rows_per_partition: int = 1_500   # of the training rows (see fixed_layout)
     max_memory_mb: int = 256
     checkpoint_interval: int = 10
 
@@ -94,11 +94,14 @@ def _estimator(spec: ModelSpec, label_col: str, features_col: str):
 
 def fixed_layout(df: DataFrame, spec: ModelSpec, key: str = KEY) -> DataFrame:
     """A layout that depends only on the rows, not on how they arrived:
-    hash-partitioned by key into n partitions, sorted by key inside each.
-
-    n is ``layout_partitions`` of the spec alone: the same rows and spec give
-    the same trees under any session settings.  Raise it with the data."""
-    return df.repartition(spec.layout_partitions, key).sortWithinPartitions(key)
+    hash-partitioned by key, sorted by key inside each partition.
+
+    The number of partitions follows from the number of rows and the spec's
+    ``rows_per_partition`` alone: the same rows and spec give the same trees under
+    any session settings, and a hundred times the rows a hundred times the tasks.
+    Counting reads only the columns that decide which rows there are."""
+    partitions = max(1, -(-df.count() // spec.rows_per_partition))
+    return df.repartition(partitions, key).sortWithinPartitions(key)
 
 
 def fit_classifier(train: DataFrame, features: Sequence[str], spec: ModelSpec,

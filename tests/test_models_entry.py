@@ -17,7 +17,7 @@ def _toy(spark, n=600, good_share=0.25, seed=5):
     return spark.createDataFrame(pdf)
 
 
-SPEC = ModelSpec("rfc", trees=10, max_depth=4, impurity="gini", layout_partitions=4)
+SPEC = ModelSpec("rfc", trees=10, max_depth=4, impurity="gini", rows_per_partition=150)
 
 
 def test_minority_good_label_still_scores_upward(spark):
@@ -45,6 +45,24 @@ def test_same_seed_any_input_layout_same_probabilities(spark):
     assert p1 == p2 == p3
 
 
+def test_training_tasks_follow_the_row_count(spark):
+    """A function of the rows alone: ten times the rows, ten times the partitions, under any setting."""
+    from ratecraft.plans.models import fixed_layout
+    spec, old = ModelSpec("rfc", trees=1, max_depth=1, rows_per_partition=100), spark.conf.get("spark.sql.shuffle.partitions")
+    for n, expected in ((0, 1), (100, 1), (101, 2), (1_000, 10), (10_000, 100)):
+        layouts = []
+        for setting in ("2", "31"):
+            spark.conf.set("spark.sql.shuffle.partitions", setting)
+            try:
+                df = spark.range(n).select(F.col("id").cast("string").alias("uid_uid")).repartition(7)
+                laid = fixed_layout(df, spec)
+                assert laid.rdd.getNumPartitions() == expected
+                layouts.append([(r.p, r.uid_uid) for r in laid.select(F.spark_partition_id().alias("p"), "uid_uid").collect()])
+            finally:
+                spark.conf.set("spark.sql.shuffle.partitions", old)
+        assert layouts[0] == layouts[1] and len(layouts[0]) == n
+
+
 def test_save_load_identical_probabilities(spark):
     from pyspark.ml import PipelineModel
     df = _toy(spark)
