@@ -21,7 +21,7 @@ from ratecraft.plans.models import (
     KEY, MODULE_MODELS, ModelSpec, all_present, fit_classifier, good_probability, score_column,
     scoring_model)
 from ratecraft.plans.views import LABEL, VIEWS, build_view, fit_view_bounds, split_view
-from ratecraft.sources.writers import ModelStore, read_scores, stage, write_scores
+from ratecraft.sources.writers import ModelStore, stage
 
 MODULES = ("consume", "finance", "interaction", "people", "relation")
 SCORE_COLUMNS = {
@@ -113,31 +113,32 @@ def load(store: ModelStore, module: str, spark) -> tuple[PipelineModel, Bounds |
 
 def predict_and_save(features: DataFrame, module: str, store: ModelStore, mode: str = "errorifexists",
                      spec: ModelSpec | None = None) -> DataFrame:
-    """C4: load model (+bounds), score, write the sub-score table."""
+    """C4: load model (+bounds), score, write the sub-score table (S5) as a new
+    version; the one before stays current until it is whole."""
     model, bounds = load(store, module, features.sparkSession)
-    scores = predict(features, module, model, spec, bounds)
-    write_scores(scores, store.predict_path(module), mode=mode)
-    return read_scores(features.sparkSession, store.predict_path(module), SCORE_COLUMNS[module])
+    return store.scores(module).write(predict(features, module, model, spec, bounds), mode)
 
 
 def combine(spark, store: ModelStore) -> DataFrame:
-    """Read the five sub-score tables (S6) and combine them (J1 + J2)."""
-    tables = {SCORE_COLUMNS[m]: read_scores(spark, store.predict_path(m), SCORE_COLUMNS[m])
-              for m in MODULES}
-    return combine_scores(tables)
+    """Read the current sub-score tables (S6) and combine them (J1 + J2); they
+    are bucketed by the key, so the joins do not shuffle."""
+    return combine_scores({SCORE_COLUMNS[m]: store.scores(m).read(spark) for m in MODULES})
 
 
 # ---- entry points (C3, C4, C5) ------------------------------------------------
-def read_features(spark, path: str, fmt: str = "csv", rename: dict[str, str] | None = None) -> DataFrame:
+def read_features(spark, path: str, fmt: str = "csv", rename: dict[str, str] | None = None,
+                  max_rejected: float = 0.0) -> DataFrame:
     """The per-customer input table: CSV with header (S1), JSON lines (S2),
     Parquet, or a catalog table name (S3) -- always with the declared schema.
     A CSV is read by column name and needs no label (prediction does without);
-    ``rename`` maps its names to the declared ones."""
-    from ratecraft.sources.readers import read_csv, read_json, read_parquet, read_table
+    ``rename`` maps its names to the declared ones.  Rows that do not fit the
+    schema are left out and written apart; more than ``max_rejected`` of all (a
+    share) raise."""
+    from ratecraft.sources.readers import read_csv_checked, read_json, read_parquet, read_table
     from ratecraft.sources.schemas import feature_schema
     schema = feature_schema()
     if fmt == "csv":
-        return read_csv(spark, path, schema, rename=rename, optional=(LABEL,))
+        return read_csv_checked(spark, path, schema, rename, (LABEL,), max_rejected).rows
     if fmt == "json":
         return read_json(spark, path, schema)
     if fmt == "parquet":
@@ -148,18 +149,18 @@ def read_features(spark, path: str, fmt: str = "csv", rename: dict[str, str] | N
 
 
 def train_module(spark, module: str, data_path: str, store: ModelStore, fmt: str = "csv",
-                 spec: ModelSpec | None = None, rename: dict[str, str] | None = None) -> Trained:
+                 spec: ModelSpec | None = None, rename: dict[str, str] | None = None, max_rejected: float = 0.0) -> Trained:
     """``train <module> <path>``; saves the model, returns it with its report."""
     _check_module(module)
-    return train(read_features(spark, data_path, fmt, rename), module, spec, store=store)
+    return train(read_features(spark, data_path, fmt, rename, max_rejected), module, spec, store=store)
 
 
 def predict_module(spark, module: str, data_path: str, store: ModelStore, fmt: str = "csv",
                    spec: ModelSpec | None = None, mode: str = "errorifexists",
-                   rename: dict[str, str] | None = None) -> DataFrame:
+                   rename: dict[str, str] | None = None, max_rejected: float = 0.0) -> DataFrame:
     """C4: ``predict <module> <path>``; writes and returns the sub-score table."""
     _check_module(module)
-    return predict_and_save(read_features(spark, data_path, fmt, rename), module, store, mode=mode, spec=spec)
+    return predict_and_save(read_features(spark, data_path, fmt, rename, max_rejected), module, store, mode=mode, spec=spec)
 
 
 def combine_result(spark, store: ModelStore) -> tuple[DataFrame, DataFrame]:

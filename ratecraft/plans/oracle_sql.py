@@ -504,8 +504,15 @@ register("train_predict_paths", with_features(
 
 # ---- sources and sinks --------------------------------------------------------
 register("csv_roundtrip", with_features("SELECT * FROM features"))
+_N = "CAST(uid_uid AS BIGINT) % 50"
+register("csv_quarantine", with_features(
+    f"SELECT uid_uid, CASE WHEN {_N} <> 7 THEN uid_age END AS uid_age, CASE WHEN {_N} <> 13 THEN uid_signmonths END AS uid_signmonths, "
+    f"CASE WHEN {_N} IN (7, 13) THEN concat(CAST(uid_age AS VARCHAR), CASE WHEN {_N} = 7 THEN 'x' ELSE '' END, ',', uid_uid, ',', "
+    f"CASE WHEN {_N} = 13 THEN 'abc' ELSE CAST(uid_signmonths AS VARCHAR) END) END AS record FROM features"))
 register("json_roundtrip", with_features("SELECT * FROM features"))
 register("catalog_table", with_features("SELECT * FROM features"))
 register("score_parquet_roundtrip", with_features("SELECT uid_uid, ScoreConsume FROM s_consume", RULE_CTE))
+register("score_table_replaced", with_features(
+    "SELECT uid_uid, ScorePeople AS ScoreConsume, CAST(2 AS BIGINT) AS versions FROM s_people", RULE_CTE))
 register("profile", with_features(f"SELECT count(*) AS n_rows, {len(_RAW_TYPES)} AS n_columns FROM features"))
 register("preview", with_features("SELECT * FROM features ORDER BY uid_uid LIMIT 5"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from ratecraft.plans.features import feature_table, materialize_feature_table
@@ -465,8 +466,7 @@ def _saved_rule_scores(spark, sf_dir) -> ModelStore:
     store = ModelStore(scratch_path(spark, "models"))
     scores = rule_scores(staged_features(spark, sf_dir))
     for m in jobs.MODULES:
-        c = jobs.SCORE_COLUMNS[m]
-        write_scores(scores[c], store.predict_path(m))
+        store.scores(m).write(scores[jobs.SCORE_COLUMNS[m]])
     return store
 
 
@@ -498,8 +498,12 @@ def q_train_predict_paths(spark, sf_dir):
 
 
 # ---- sources and sinks (S1-S6, S10, S4, L1) -----------------------------------
-from ratecraft.sources.readers import preview, profile, read_csv, read_json, read_table  # noqa: E402
+from pyspark.sql.types import StructType  # noqa: E402
+
+from ratecraft.sources.readers import (  # noqa: E402
+    RECORD, preview, profile, read_csv, read_csv_checked, read_json, read_table)
 from ratecraft.sources.schemas import feature_schema  # noqa: E402
+from ratecraft.sources.score_tables import ScoreTable  # noqa: E402
 from ratecraft.sources.writers import read_scores, write_scores  # noqa: E402
 
 
@@ -515,6 +519,19 @@ def q_csv_roundtrip(spark, sf_dir):
     return read_csv(spark, path, feature_schema(), rename={"user": "uid_uid"})
 
 
+@query("csv_quarantine")
+def q_csv_quarantine(spark, sf_dir):
+    """Of a CSV in which some ages and months are no numbers, the rows that fit
+    and, with their text, those that do not."""
+    path, n = scratch_path(spark, "csv"), F.col("uid_uid").cast("bigint")
+    age = F.concat(F.coalesce(F.col("uid_age").cast("string"), F.lit("")), F.when(n % 50 == 7, "x").otherwise(""))
+    months = F.when(n % 50 == 13, "abc").otherwise(F.col("uid_signmonths").cast("string"))
+    (feature_table(spark, sf_dir).select(age.alias("uid_age"), "uid_uid", months.alias("uid_signmonths"))
+     .write.option("header", True).option("emptyValue", "").csv(path))
+    got = read_csv_checked(spark, path, StructType.fromDDL("uid_uid string, uid_age int, uid_signmonths int"), max_rejected=0.1)
+    return got.rows.withColumn("record", F.lit(None).cast("string")).unionByName(got.rejected.withColumnRenamed(RECORD, "record"))
+
+
 @query("json_roundtrip")
 def q_json_roundtrip(spark, sf_dir):
     """JSON lines round trip (NULL fields are omitted on write and come
@@ -545,6 +562,24 @@ def q_score_parquet_roundtrip(spark, sf_dir):
     return read_scores(spark, path, "ScoreConsume")
 
 
+@query("score_table_replaced")
+def q_score_table_replaced(spark, sf_dir):
+    """A score table written, replaced by other scores, and a third write
+    that breaks midway: the second scores are current, as version two of two."""
+    table, key = ScoreTable(scratch_path(spark, "scores")), F.col("uid_uid")
+    scores = rule_scores(staged_features(spark, sf_dir))
+    table.write(scores["ScoreConsume"])
+    table.write(scores["ScorePeople"].withColumnRenamed("ScorePeople", "ScoreConsume"), mode="overwrite")
+    broken = scores["ScoreConsume"].withColumn("ScoreConsume", F.when(key.endswith("7"), F.raise_error(F.lit("broken write")))
+                                               .otherwise(F.col("ScoreConsume")).cast("double"))
+    try:
+        table.write(broken, mode="overwrite")
+    except PySparkException as e:
+        if "broken write" not in str(e):
+            raise
+    return table.read(spark).withColumn("versions", F.lit(len(table.versions(spark))).cast("bigint"))
+
+
 @query("profile")
 def q_profile(spark, sf_dir):
     return profile(feature_table(spark, sf_dir))

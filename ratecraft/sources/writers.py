@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ratecraft.session import scratch_path
 from ratecraft.sources.schemas import score_schema
+from ratecraft.sources.score_tables import ScoreTable
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -48,6 +49,10 @@ class ModelStore:
     def predict_path(self, module: str) -> str:
         return f"{self.module_dir(module)}/predict"
 
+    def scores(self, module: str) -> ScoreTable:
+        """The sub-score table of a module, replaced version by version."""
+        return ScoreTable(self.predict_path(module))
+
     def bounds_path(self, module: str) -> str:
         return f"{self.module_dir(module)}/bounds"
 
