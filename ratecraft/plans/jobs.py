@@ -6,21 +6,26 @@ nothing is printed and nothing exits the process.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import asdict, dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratecraft.functions.expressions import label_to_double, vector_element
 from ratecraft.operators import evaluate as ev
-from ratecraft.operators.combine import combine_scores
+from ratecraft.operators.combine import combine_scores, weighted
 from ratecraft.operators.describe import describe_column
 from ratecraft.operators.outliers import Bounds
 from ratecraft.plans.models import (
-    KEY, MODULE_MODELS, ModelSpec, all_present, fit_classifier, good_probability, score_column,
-    scoring_model)
-from ratecraft.plans.views import LABEL, VIEWS, build_view, fit_view_bounds, split_view
+    KEY, MODULE_MODELS, ModelSpec, all_present, feature_vector, fit_classifier, good_probability,
+    label_indexer_of, renamed_outputs, score_column, scoring_model)
+from ratecraft.plans.views import LABEL, VIEWS, build_all_views, build_view, fit_view_bounds, split_view
+from ratecraft.sources.manifest import ModelManifest
+from ratecraft.sources.score_tables import ScoreTable
 from ratecraft.sources.writers import ModelStore, stage
 
 MODULES = ("consume", "finance", "interaction", "people", "relation")
@@ -70,9 +75,48 @@ def train(features: DataFrame, module: str, spec: ModelSpec | None = None,
         store.save_model(module, model)
         if bounds is not None:
             bounds.to_df(features.sparkSession).write.mode("overwrite").parquet(store.bounds_path(module))
+        types = dict(labelled.dtypes)
+        ModelManifest(module, list(vs.features), {c: types[c] for c in vs.features}, dict(features.dtypes),
+                      list(label_indexer_of(model).labels), asdict(spec), _bound_values(bounds)
+                      ).save(features.sparkSession, store.manifest_path(module))
     return Trained(module, spec, model, bounds, report, curve)
 
 
+def _bound_values(bounds: Bounds | None) -> dict[str, list]:
+    return {} if bounds is None else {c: [bounds.center[c], bounds.lower.get(c), bounds.upper.get(c)] for c in bounds.columns}
+
+
+def at_once(spark, work: Mapping[str, Callable], threads: int | None = None) -> dict:
+    """The results of the functions of ``work``, run as concurrent jobs.
+
+    Each runs in a thread that inherits the caller's local properties, in a
+    scheduler pool of its own name, so under FAIR scheduling
+    (``spark.scheduler.mode``) short stages of one do not wait for another.  The
+    first failure is raised once all have ended."""
+    def run(name, fn):
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        return fn()
+
+    with ThreadPoolExecutor(threads or max(1, len(work))) as pool:
+        # wrapped here, so that every job has its own copy of the caller's properties
+        started = {name: pool.submit(inheritable_thread_target(spark)(run), name, fn) for name, fn in work.items()}
+    return {name: f.result() for name, f in started.items()}
+
+
+def train_all(features: DataFrame, modules: Sequence[str] = MODULES, specs: Mapping[str, ModelSpec] | None = None,
+              store: ModelStore | None = None, threads: int | None = None, **options) -> dict[str, Trained]:
+    """C1 for several modules at once, as concurrent jobs.
+
+    The modules share nothing but their input: pass a written or persisted table.
+    A fit's tasks alone seldom fill a cluster (boosting is one small job after
+    another), five fits do; trees are those of separate runs."""
+    for m in modules:
+        _check_module(m)
+    specs = specs or {}
+    return at_once(features.sparkSession, {
+        m: (lambda m=m: train(features, m, specs.get(m), store, **options)) for m in modules}, threads)
+
+
 def predict(features: DataFrame, module: str, model: PipelineModel, spec: ModelSpec | None = None,
             bounds: Bounds | None = None, fill_override=None, with_probabilities: bool = False,
             with_status: bool = False) -> DataFrame:
@@ -103,19 +147,75 @@ def predict(features: DataFrame, module: str, model: PipelineModel, spec: ModelS
 
 
 def load(store: ModelStore, module: str, spark) -> tuple[PipelineModel, Bounds | None]:
-    """S8 (+ the persisted bounds of the people view)."""
+    """S8 (+ the persisted bounds of the people view), checked against the manifest:
+    the view's features and their order, the label order, the bounds."""
+    manifest = ModelManifest.load(spark, store.manifest_path(module))
+    manifest.check_features(VIEWS[module].features)
     model = store.load_model(module)
+    manifest.check_labels(label_indexer_of(model).labels)
     bounds = None
     if VIEWS[module].clamp:
         bounds = Bounds.from_df(spark.read.parquet(store.bounds_path(module)))
+    manifest.check_bounds(_bound_values(bounds))
     return model, bounds
 
 
+def load_all(store: ModelStore, spark, modules: Sequence[str] = MODULES) -> dict[str, tuple[PipelineModel, Bounds | None]]:
+    """S8 for several modules at once."""
+    return at_once(spark, {m: (lambda m=m: load(store, m, spark)) for m in modules})
+
+
+def predict_all(features: DataFrame, models: Mapping[str, tuple[PipelineModel, Bounds | None]],
+                specs: Mapping[str, ModelSpec] | None = None, fill_overrides: dict | None = None) -> DataFrame:
+    """C2 for several modules in one pass: (uid_uid, one score per module).
+
+    One scan of the features, one projection with all views, and each model's
+    transform over its own view's vector; scores are those of the separate jobs."""
+    specs = specs or {}
+    bounds = next((b for m, (_, b) in models.items() if VIEWS[m].clamp), None)
+    if bounds is None and any(VIEWS[m].clamp for m in models):
+        raise ValueError("people: pass the bounds fitted at training time")
+    df = build_all_views(features, "predict", bounds=bounds or Bounds("none"), fill_overrides=fill_overrides, modules=list(models))
+    out = []
+    for m, (model, _) in models.items():
+        columns, prefix = [f"{m}.{c}" for c in VIEWS[m].features], f"_{m}_"
+        df = renamed_outputs(model, f"{prefix}vector", prefix).transform(df.withColumn(f"{prefix}vector", feature_vector(columns)))
+        score = score_column(model, specs.get(m) or MODULE_MODELS[m], prefix=prefix)
+        out.append(F.when(all_present(columns), score).alias(SCORE_COLUMNS[m]))
+    return df.select(KEY, *out)
+
+
+def all_scores(store: ModelStore) -> ScoreTable:
+    """The table of all modules' scores, one row per customer."""
+    return store.scores("all")
+
+
+def predict_all_and_save(features: DataFrame, store: ModelStore, mode: str = "errorifexists",
+                         specs: Mapping[str, ModelSpec] | None = None) -> DataFrame:
+    """C4 for all modules: load the models at once, one pass, one table of five scores."""
+    models = load_all(store, features.sparkSession)
+    for m, (_, bounds) in models.items():
+        _check_types(features, m, store, bounds)
+    return all_scores(store).write(predict_all(features, models, specs), mode)
+
+
+def _check_types(features: DataFrame, module: str, store: ModelStore, bounds: Bounds | None) -> None:
+    """The view to predict from has the types that the model was fitted on."""
+    manifest = ModelManifest.load(features.sparkSession, store.manifest_path(module))
+    manifest.check_types(dict(build_view(features, module, "predict", bounds=bounds).dtypes))
+
+
+def combine_all(spark, store: ModelStore) -> DataFrame:
+    """C5 on the table of all scores: the same combination without a join."""
+    return weighted(all_scores(store).read(spark))
+
+
 def predict_and_save(features: DataFrame, module: str, store: ModelStore, mode: str = "errorifexists",
                      spec: ModelSpec | None = None) -> DataFrame:
     """C4: load model (+bounds), score, write the sub-score table (S5) as a new
     version; the one before stays current until it is whole."""
     model, bounds = load(store, module, features.sparkSession)
+    _check_types(features, module, store, bounds)
     return store.scores(module).write(predict(features, module, model, spec, bounds), mode)
 
 

@@ -19,6 +19,7 @@ from dataclasses import dataclass, replace
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.feature import IndexToString, MinMaxScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
@@ -163,6 +164,34 @@ def label_indexer_of(model: PipelineModel):
     raise ValueError("pipeline has no fitted StringIndexerModel")
 
 
+def renamed_outputs(model: PipelineModel, vector: str, prefix: str) -> PipelineModel:
+    """A copy of a fitted pipeline that starts from the feature vector ``vector`` and
+    whose columns all begin with ``prefix``, so that several fit in one frame."""
+    names, stages = {}, []
+    for st in model.stages:
+        kind = st.__class__.__name__
+        if kind == "VectorAssembler":
+            names[st.getOutputCol()] = vector
+            continue
+        if kind == "StringIndexerModel":          # indexes the label, which prediction does without
+            continue
+        own = {}
+        for param in ("inputCol", "featuresCol"):
+            if st.hasParam(param):
+                own[st.getParam(param)] = names.get(st.getOrDefault(param), prefix + st.getOrDefault(param))
+        for param in ("outputCol", "predictionCol", "probabilityCol", "rawPredictionCol"):
+            if st.hasParam(param):
+                names[st.getOrDefault(param)] = own[st.getParam(param)] = prefix + st.getOrDefault(param)
+        stages.append(st.copy(own))
+    return PipelineModel(stages)
+
+
+def feature_vector(columns: Sequence[str]):
+    """The vector of these columns; a NULL is NaN, as the assembler keeps it."""
+    nan = F.lit(float("nan"))
+    return array_to_vector(F.array(*[F.coalesce(F.col(c).cast("double"), nan) for c in columns]))
+
+
 def proba_columns():
     """Proba_1, Proba_2 = probability of class index 0 and 1."""
     return (vector_element("probability", 0).alias("Proba_1"),
@@ -174,15 +203,15 @@ def probability_frame(predictions: DataFrame, key: str = KEY) -> DataFrame:
     return predictions.select(key, *proba_columns())
 
 
-def good_probability(model: PipelineModel, good_label: float = GOOD_LABEL):
+def good_probability(model: PipelineModel, good_label: float = GOOD_LABEL, prefix: str = ""):
     """Column: P(label == good_label), located through the fitted label order
     (index 0 is the *most frequent* label, which need not be the good one)."""
     idx = label_position(label_indexer_of(model), good_label)
-    return vector_element("probability", idx)
+    return vector_element(f"{prefix}probability", idx)
 
 
-def score_column(model: PipelineModel, spec: ModelSpec, good_label: float = GOOD_LABEL):
+def score_column(model: PipelineModel, spec: ModelSpec, good_label: float = GOOD_LABEL, prefix: str = ""):
     """X6 (probability mode) or X5 (label mode: 350 or 850)."""
     if spec.score_mode == "label":
-        return score_from_probability(F.col("predictedLabel").cast("double"))
-    return score_from_probability(good_probability(model, good_label))
+        return score_from_probability(F.col(f"{prefix}predictedLabel").cast("double"))
+    return score_from_probability(good_probability(model, good_label, prefix))

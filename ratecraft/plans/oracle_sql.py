@@ -477,11 +477,13 @@ def scored_sql(module: str) -> str:
                         for c in _v.VIEWS[module].features)
 
 
+_HELD_OUT = f"(SELECT count(*) FROM features WHERE uid_flag IS NOT NULL AND NOT ({TRAIN_FILTER}))"
 for _m in ("consume", "finance", "interaction", "people", "relation"):
     register(f"{_m}_train_predict", with_features(
         f"SELECT uid_uid, {TRAIN_FILTER} AS is_train, CAST(uid_flag AS DOUBLE) AS label, rk.label_index, "
         f"{scored_sql(_m)} AS scored, true AS score_follows_label_index, true AS reload_equal, "
-        "true AS train_area_above_half FROM features LEFT JOIN rk ON rk.label = CAST(uid_flag AS DOUBLE)", TRAIN_RANK_CTE))
+        f"true AS train_area_above_half, {_HELD_OUT} AS n_evaluated, CAST(0 AS BIGINT) AS n_excluded, true AS report_agrees "
+        "FROM features LEFT JOIN rk ON rk.label = CAST(uid_flag AS DOUBLE)", TRAIN_RANK_CTE))
 register("rf_regression", with_features(
     f"SELECT uid_uid, {TRAIN_FILTER} AS is_train, CAST(uid_flag AS DOUBLE) AS label, true AS within_label_range "
     "FROM features WHERE uid_flag IS NOT NULL"))
@@ -491,7 +493,9 @@ _SIDES = with_features(
 register("rf_regression_sides", _SIDES)
 register("gbt_regression", _SIDES)
 register("combined_model_scores", with_features(
-    "SELECT uid_uid, " + " AND ".join(f"({scored_sql(m)})" for m in FILLS) + " AS scored, true AS is_weighted_sum FROM features"))
+    "SELECT uid_uid, " + " AND ".join(f"({scored_sql(m)})" for m in FILLS) + " AS scored, true AS is_weighted_sum, "
+    "true AS one_pass_equal, " + ", ".join(f"{_HELD_OUT} AS n_evaluated_{m}" for m in ("consume", "finance", "interaction", "people", "relation"))
+    + " FROM features"))
 register("combine_job", with_features(_COMBINE, RULE_CTE))
 register("combine_job_description", with_features(
     "SELECT count(*) AS n_rows, count(ScoreAll) AS \"count\", round(avg(ScoreAll), 6) AS mean, "
@@ -499,7 +503,7 @@ register("combine_job_description", with_features(
     "FROM combined", RULE_CTE + ",\ncombined AS (" + _COMBINE.replace("round(a.", "(a.").replace(", 6) AS ScoreAll", ") AS ScoreAll") + ")"))
 register("train_predict_paths", with_features(
     f"SELECT uid_uid, {scored_sql('relation')} AS scored, "
-    f"(SELECT count(*) FROM features WHERE uid_flag IS NOT NULL AND NOT ({TRAIN_FILTER})) AS n_evaluated FROM features"))
+    f"{_HELD_OUT} AS n_evaluated FROM features"))
 
 
 # ---- sources and sinks --------------------------------------------------------

@@ -339,16 +339,6 @@ from ratecraft.sources.writers import ModelStore, stage  # noqa: E402
 SCORE_SPAN, SCORE_BASE = 500.0, 350.0
 
 
-def _check_report(report, n_held_out):
-    """The report has every held-out row, and areas between 0 and 1 where they are defined."""
-    n = (report["n"] or 0) + (report["n_excluded"] or 0)
-    if n != n_held_out:
-        raise ValueError(f"the report has {n:.0f} of {n_held_out} held-out rows")
-    for area in (report["auc_roc"], report["auc_pr"]):
-        if area is not None and not -1e-9 <= area <= 1 + 1e-9:
-            raise ValueError(f"an area of {area} in the report")
-
-
 def _train_predict(spark, sf_dir, module):
     """Train on the hash-train rows with the
     original parameters, save, reload, score every customer.
@@ -358,8 +348,10 @@ def _train_predict(spark, sf_dir, module):
     customer is scored; whether the score is P(label 1.0) at that index * 500 +
     350 (or 850 / 350 by that index, for the label mode); whether the reloaded
     model gives the probabilities of the fitted one; whether the training rows'
-    area under the ROC curve is clearly above one half.  The report on the
-    held-out rows must cover them all, or the query raises."""
+    area under the ROC curve is clearly above one half.  Of the report on the
+    held-out rows: how many it counts and leaves out (values), and whether its
+    areas and accuracy are those of the reloaded model's predictions, joined with
+    the labels anew."""
     ft = staged_features(spark, sf_dir)
     store = ModelStore(scratch_path(spark, "models"))
     spec = MODULE_MODELS[module]
@@ -371,8 +363,7 @@ def _train_predict(spark, sf_dir, module):
 
     # the order of labels, from their counts among the training rows
     view = build_view(ft, module, "train", bounds=bounds)
-    train_rows, held_out = split_view(view)
-    _check_report(fitted.report, held_out.count())
+    train_rows, _ = split_view(view)
     order = [r["label"] for r in train_rows.groupBy(F.col("uid_flag").cast("double").alias("label")).count()
              .orderBy(F.desc("count"), F.col("label").cast("string")).collect()]
     p_good = F.col("Proba_1") if order.index(1.0) == 0 else F.col("Proba_2")
@@ -391,12 +382,24 @@ def _train_predict(spark, sf_dir, module):
     joined = stage(out.join(before, "uid_uid").join(labels, "uid_uid"), "checked-scores")
     on_train = joined.where("is_train and scored").select((s if spec.score_mode != "label" else p_good).alias("score"), "label")
     area = ev.auc(on_train).first()["auc_roc"]
+    # the report again: held-out customers with a label, from the saved model's predictions
+    held_out = joined.where("not is_train and label is not null").select(
+        p_good.alias("score"), "label", (p_good > p_other).alias("good"), (p_good == p_other).alias("tied"))
+    again = ev.auc(held_out).first()
+    first_good = order.index(1.0) == 0
+    hit = (F.col("good") | (F.col("tied") & F.lit(first_good))).cast("double")
+    right = held_out.agg(F.avg((hit == F.col("label")).cast("double"))).first()[0]
+    report = fitted.report
+    agrees = all(x is None and y is None or x is not None and y is not None and abs(x - y) < 1e-9 for x, y in (
+        (report["auc_roc"], again["auc_roc"]), (report["auc_pr"], again["auc_pr"]), (report["accuracy"], right)))
     same = (F.abs(F.col("Proba_1") - F.col("before_1")) < 1e-12) & (F.abs(F.col("Proba_2") - F.col("before_2")) < 1e-12)
     return joined.select(
         "uid_uid", "is_train", "label", index.alias("label_index"), "scored",
         F.when(scored, F.abs(s - expected) < 1e-9).otherwise(s.isNull()).alias("score_follows_label_index"),
         F.when(scored, same).otherwise(F.col("before_1").isNull()).alias("reload_equal"),
-        F.lit(bool(area > 0.6)).alias("train_area_above_half"))
+        F.lit(bool(area > 0.6)).alias("train_area_above_half"),
+        F.lit(int(report["n"])).cast("bigint").alias("n_evaluated"), F.lit(int(report["n_excluded"])).cast("bigint").alias("n_excluded"),
+        F.lit(agrees).alias("report_agrees"))
 
 
 for _m in jobs.MODULES:
@@ -445,20 +448,26 @@ def q_gbt_regression(spark, sf_dir):
 
 @query("combined_model_scores")
 def q_combined_model_scores(spark, sf_dir):
-    """The feature table once, five modules trained with the original
-    parameters and saved, five sub-score tables written, read back, combined.
-    ScoreAll is there where all five sub-scores are, and is their weighted sum."""
+    """The feature table once; five modules trained at once with the
+    original parameters, evaluated and saved; five sub-score tables written, read
+    back, combined.  ScoreAll is there where all five sub-scores are, and is their
+    weighted sum; one pass over the features for all modules gives the same scores;
+    each report counts the held-out customers."""
     ft = staged_features(spark, sf_dir)
     store = ModelStore(scratch_path(spark, "models"))
+    trained = jobs.train_all(ft, store=store)
     for m in jobs.MODULES:
-        jobs.train(ft, m, store=store, evaluate=False)   # evaluated elsewhere
         jobs.predict_and_save(ft, m, store)
     combined, _ = jobs.combine_result(spark, store)
     total = (F.col("ScoreConsume") * 0.25 + F.col("ScoreFinance") * 0.20 + F.col("ScoreInteraction") * 0.15
              + F.col("ScorePeople") * 0.30 + F.col("ScoreRelation") * 0.10)
-    return combined.select(
+    jobs.predict_all_and_save(ft, store)
+    one = jobs.combine_all(spark, store).select("uid_uid", F.struct(*jobs.SCORE_COLUMNS.values(), "ScoreAll").alias("one"))
+    return combined.join(one, "uid_uid", "left").select(
         "uid_uid", F.col("ScoreAll").isNotNull().alias("scored"),
-        F.coalesce(F.abs(F.col("ScoreAll") - total) < 1e-9, total.isNull()).alias("is_weighted_sum"))
+        F.coalesce(F.abs(F.col("ScoreAll") - total) < 1e-9, total.isNull()).alias("is_weighted_sum"),
+        F.col("one").eqNullSafe(F.struct(*jobs.SCORE_COLUMNS.values(), "ScoreAll")).alias("one_pass_equal"),
+        *[F.lit(int(trained[m].report["n"])).cast("bigint").alias(f"n_evaluated_{m}") for m in jobs.MODULES])
 
 
 def _saved_rule_scores(spark, sf_dir) -> ModelStore:

@@ -12,6 +12,7 @@ the reproducible training layout are keyed on it; it is not a feature.)
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -207,8 +208,9 @@ def build_view(features: DataFrame, spec: ViewSpec | str, phase: str = "train",
 
 
 def build_all_views(features: DataFrame, phase: str = "predict", bounds: Bounds | None = None,
-                    fill_overrides: dict | None = None, rel_error: float = 0.0) -> DataFrame:
-    """All five views from ONE scan and ONE projection: ``uid_uid`` (+ label
+                    fill_overrides: dict | None = None, rel_error: float = 0.0,
+                    modules: Sequence[str] | None = None) -> DataFrame:
+    """All five views (or those of ``modules``) from ONE scan and ONE projection: ``uid_uid`` (+ label
     in the train phase) and one struct column per module holding that view's
     features -- ``df.select(KEY, "consume.*")`` is the consume view."""
     fill_overrides = fill_overrides or {}
@@ -220,7 +222,7 @@ def build_all_views(features: DataFrame, phase: str = "predict", bounds: Bounds
     head = [KEY, LABEL] if phase == "train" else [KEY]
     structs = [F.struct(*view_columns(features, spec, bounds if spec.clamp else None,
                                       fill_overrides.get(m))).alias(m)
-               for m, spec in VIEWS.items()]
+               for m, spec in VIEWS.items() if modules is None or m in modules]
     return df.select(*[F.col(c) for c in head], *structs)
 
 

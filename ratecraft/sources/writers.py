@@ -34,7 +34,7 @@ def read_scores(spark: SparkSession, path: str, score_col: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class ModelStore:
-    """``<base>/<module>/model`` and ``<base>/<module>/predict``.
+    """``<base>/<module>/{model,manifest,bounds,predict}``.
 
     ``base`` must be a cluster-shared folder (e.g. below ``spark.checkpoint.dir``)."""
 
@@ -56,6 +56,9 @@ class ModelStore:
     def bounds_path(self, module: str) -> str:
         return f"{self.module_dir(module)}/bounds"
 
+    def manifest_path(self, module: str) -> str:
+        return f"{self.module_dir(module)}/manifest"
+
     def save_model(self, module: str, model: PipelineModel) -> str:
         path = self.model_path(module)
         model.write().overwrite().save(path)
