@@ -88,21 +88,29 @@ def fit_bounds(df: DataFrame, cols: Sequence[str], method: str = "iqr",
             lower[c] = None if m is None or s is None else m - SIGMA_FENCE * s
             upper[c] = None if m is None or s is None else m + SIGMA_FENCE * s
         return Bounds(method, center, lower, upper)
-    if method == "iqr":
-        q = quantiles(df, cols, [0.25, 0.5, 0.75], rel_error)
-        center, lower, upper = {}, {}, {}
-        for c in cols:
-            q1, med, q3 = q[c]
-            center[c] = med
-            if q1 is None or q3 is None:
-                lower[c] = upper[c] = None
-            else:
-                iqr = q3 - q1
-                lower[c], upper[c] = q1 - IQR_FENCE * iqr, q3 + IQR_FENCE * iqr
-        return Bounds(method, center, lower, upper)
-    q = quantiles(df, cols, [0.5, CLAMP_UPPER_P], rel_error)
-    return Bounds(method, {c: q[c][0] for c in cols}, {c: None for c in cols},
-                  {c: q[c][1] for c in cols})
+    return bounds_from_quantiles(quantiles(df, cols, quantile_probs(method), rel_error), method)
+
+
+def quantile_probs(method: str) -> list[float]:
+    """The quantiles that a method's bounds are made of."""
+    if method not in METHODS or method == "sigma":
+        raise ValueError(f"{method!r} has no quantiles; expected one of {[m for m in METHODS if m != 'sigma']}")
+    return [0.25, 0.5, 0.75] if method == "iqr" else [0.5, CLAMP_UPPER_P]
+
+
+def bounds_from_quantiles(q: dict[str, list[float | None]], method: str) -> Bounds:
+    """Bounds from column -> the quantiles of :func:`quantile_probs`."""
+    if method != "iqr":
+        return Bounds(method, {c: v[0] for c, v in q.items()}, {c: None for c in q}, {c: v[1] for c, v in q.items()})
+    center, lower, upper = {}, {}, {}
+    for c, (q1, med, q3) in q.items():
+        center[c] = med
+        if q1 is None or q3 is None:
+            lower[c] = upper[c] = None
+        else:
+            iqr = q3 - q1
+            lower[c], upper[c] = q1 - IQR_FENCE * iqr, q3 + IQR_FENCE * iqr
+    return Bounds(method, center, lower, upper)
 
 
 def _lit(x) -> Column:

@@ -52,14 +52,15 @@ def _check_module(module: str) -> None:
 
 def train(features: DataFrame, module: str, spec: ModelSpec | None = None,
           store: ModelStore | None = None, rel_error: float = 0.0,
-          eval_on: str = "test", evaluate: bool = True) -> Trained:
+          eval_on: str = "test", evaluate: bool = True, bounds: Bounds | None = None) -> Trained:
     """View -> hash split -> fit -> evaluate -> (save model + bounds).
 
-    ``evaluate=False`` skips the report (``Trained.report`` is empty)."""
+    ``bounds`` of a clamped view are fitted unless given (merged from sketches of
+    the parts, say).  ``evaluate=False`` skips the report (``Trained.report`` is empty)."""
     _check_module(module)
     spec = spec or MODULE_MODELS[module]
     vs = VIEWS[module]
-    bounds = fit_view_bounds(features, vs, rel_error) if vs.clamp else None
+    bounds = (bounds or fit_view_bounds(features, vs, rel_error)) if vs.clamp else None
     view = build_view(features, vs, "train", bounds=bounds)
     labelled = view.withColumn("label", label_to_double(LABEL)).drop(LABEL)
     tr, te = split_view(labelled)

@@ -319,9 +319,10 @@ register("quantiles_exact", with_features(" UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", CAST({p} AS DOUBLE) AS p, CAST(quantile_disc({c}, {p}) AS DOUBLE) AS \"value\" "
     f"FROM features" for c in OUTLIER_COLUMNS for p in _PROBS)))
 
-register("quantiles_approx", with_features(" UNION ALL ".join(
-    f"SELECT '{c}' AS \"column\", CAST({p} AS DOUBLE) AS p, count({c}) AS n, true AS within_error FROM features"
-    for c in OUTLIER_COLUMNS for p in _PROBS)))
+for _name in ("quantiles_approx", "quantiles_sketch"):
+    register(_name, with_features(" UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", CAST({p} AS DOUBLE) AS p, count({c}) AS n, true AS within_error FROM features"
+        for c in OUTLIER_COLUMNS for p in _PROBS)))
 
 register("hash_split_rows", with_features(
     f"SELECT uid_uid, {TRAIN_FILTER} AS is_train FROM features"))

@@ -94,6 +94,7 @@ from ratecraft.functions.expressions import (  # noqa: E402
     age_fill_flag, age_rule, is_train_row, label_to_double)
 from ratecraft.operators.outliers import apply_bounds, fit_bounds, outlier_rows  # noqa: E402
 from ratecraft.operators.quantiles import approx_quantiles, exact_quantiles  # noqa: E402
+from ratecraft.operators.sketches import rank_errors, read_parts, sketch_quantiles, write_part  # noqa: E402
 from ratecraft.plans.views import OUTLIER_COLUMNS, PEOPLE_CLAMP  # noqa: E402
 
 QUANTILE_PROBS = (0.25, 0.5, 0.75, 0.95)
@@ -155,6 +156,30 @@ def q_quantiles_approx(spark, sf_dir):
     return ft.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
 
 
+SKETCH_PARTS, SKETCH_ERROR = 4, 0.02
+
+
+def _sketched(spark, sf_dir):
+    """Rank errors of quantiles merged from the sketches of four parts, one of them loaded twice."""
+    ft, path = staged_features(spark, sf_dir), scratch_path(spark, "sketches")
+    part = F.pmod(F.col("uid_uid").cast("bigint"), F.lit(SKETCH_PARTS))
+    for i in (*range(SKETCH_PARTS), 0):
+        write_part(ft.where(part == i), OUTLIER_COLUMNS, path, str(i))
+    return rank_errors(ft, sketch_quantiles(read_parts(spark, path), QUANTILE_PROBS))
+
+
+@query("quantiles_sketch")
+def q_quantiles_sketch(spark, sf_dir):
+    """A4 by mergeable sketches: counts, and whether each quantile's rank is within 0.02."""
+    return _sketched(spark, sf_dir).select("column", "p", "n", (F.col("rank_error") <= SKETCH_ERROR).alias("within_error"))
+
+
+@query("quantiles_sketch_errors")
+def q_quantiles_sketch_errors(spark, sf_dir):
+    """A4 by mergeable sketches: the quantiles and their rank errors (sketches draw lots, so no SQL)."""
+    return _sketched(spark, sf_dir)
+
+
 @query("hash_split_rows")
 def q_hash_split_rows(spark, sf_dir):
     return feature_table(spark, sf_dir).select("uid_uid", is_train_row("uid_uid").alias("is_train"))

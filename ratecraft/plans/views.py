@@ -15,12 +15,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratecraft.functions.expressions import age_fill_flag, age_rule, is_train_row, safe_ratio
 from ratecraft.operators.outliers import Bounds, bounded_column, fit_bounds
+from ratecraft.operators.sketches import bounds_from_sketches, read_parts, write_part
 
 KEY = "uid_uid"
 LABEL = "uid_flag"
@@ -150,6 +151,17 @@ def fit_view_bounds(features: DataFrame, spec: ViewSpec, rel_error: float = 0.0,
     return fit_bounds(rows, spec.clamp, spec.clamp_method, rel_error)
 
 
+def add_view_part(features: DataFrame, spec: ViewSpec, path: str, part: str) -> None:
+    """The sketches of the clamped columns over the hash-train rows of one part of the
+    data (a day's customers), kept at ``path`` with those of the other parts."""
+    write_part(features.where(is_train_row(KEY)), spec.clamp, path, part)
+
+
+def view_bounds_of_parts(spark: SparkSession, spec: ViewSpec, path: str) -> Bounds:
+    """Bounds of the clamped columns over all parts at ``path``: merged, not refitted."""
+    return bounds_from_sketches(read_parts(spark, path), spec.clamp, spec.clamp_method)
+
+
 _FRACTIONAL = (T.FloatType, T.DoubleType)
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
@@ -243,5 +255,5 @@ def split_view(view: DataFrame, method: str = "hash", seed: int = 42,
     return view.where(t), view.where(~t)
 
 
-__all__ = ["ViewSpec", "VIEWS", "build_view", "build_all_views", "view_columns", "fit_view_bounds",
+__all__ = ["ViewSpec", "VIEWS", "build_view", "build_all_views", "view_columns", "fit_view_bounds", "add_view_part", "view_bounds_of_parts",
            "split_view", "KEY", "LABEL"]
