@@ -166,7 +166,7 @@ def byte_ranges(rows: list[tuple[str, int, int]], max_read: int = MAX_READ, max_
 
 
 def read_records(index: DataFrame, payloads: bool = True, max_read: int = MAX_READ, max_gap: int = MAX_GAP) -> DataFrame:
-    """The records that ``index`` selects, read from the archive files."""
+    """The records that ``index`` selects, read from the archive files, about ``max_read`` bytes a task."""
     def read(batches):
         opened = (None, None)
         for batch in batches:
@@ -179,8 +179,10 @@ def read_records(index: DataFrame, payloads: bool = True, max_read: int = MAX_RE
                 found = [parse(zlib.decompress(data[o - start:o - start + n], wbits=31)) for o, n in run]
                 yield _batch(found if payloads else [r[:-1] + (None,) for r in found], _RECORD)
 
-    ordered = (index.select("path", "offset", "length").repartitionByRange("path", "offset")
-               .sortWithinPartitions("path", "offset"))
+    # dealt by the bytes to read: of the index alone, a task would take very many records
+    selected = index.select("path", "offset", "length")
+    parts = max(1, -(-(selected.agg(F.sum("length")).first()[0] or 0) // max_read))
+    ordered = selected.repartitionByRange(parts, "path", "offset").sortWithinPartitions("path", "offset")
     return ordered.mapInArrow(read, _RECORD)
 
 
