@@ -5,7 +5,9 @@
    principal axes; vectors are dealt into blocks along the first.
 3. Blocks are compared in tiles.  Blocks too far apart on the first axis for any
    pair to reach the threshold are not; which tiles there are follows from the
-   blocks' ends, since the partners of a block are a contiguous run.
+   blocks' ends, since the partners of a block are a contiguous run.  Runs of
+   blocks form groups and a task compares two groups, one held and one passing by,
+   so a block is sent once per group, not once per partner.
 4. In a tile, dot products accumulate over the leading axes.  What the others
    can add is at most the product of the suffix norms; pairs that cannot reach
    the threshold stop there.  For the rest the cosine is computed in double
@@ -41,6 +43,7 @@ LEADING = (16, 32)   # axes after which pairs are given up
 BINS = 4096          # of the histogram along the first axis
 _SLACK = 1e-9        # for rounding in the bounds; the cosine itself has none
 _ROWS = 256          # of a tile at a time
+HELD = 48            # blocks that a task holds at most
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -113,11 +116,15 @@ def blocks_along(distinct: DataFrame, axis: np.ndarray, block: int, bins: int =
 
     def gather(key, part):
         at = np.asarray(part.column("at"))
-        vectors = np.asarray(pc.list_flatten(part.column("vector")))
+        vectors = np.asarray(pc.list_flatten(part.column("vector"))).astype(np.float64)
+        # in half the bytes where that loses nothing, as for vectors given as floats
+        with np.errstate(over="ignore"):
+            single = vectors.astype(np.float32)
+        vectors = single if (single == vectors).all() else vectors
         return pa.table({"run": [key[0].as_py()], "salt": [key[1].as_py()], "lo": [at.min()], "hi": [at.max()],
                          "ids": [np.asarray(part.column("id")).astype(np.int64).tobytes()],
                          "counts": [np.asarray(part.column("n")).astype(np.int64).tobytes()],
-                         "vectors": [vectors.astype(np.float64).tobytes()]}, schema=schema)
+                         "vectors": [vectors.tobytes()]}, schema=schema)
 
     schema = pa.schema([("run", pa.int64()), ("salt", pa.int64()), ("lo", pa.float64()), ("hi", pa.float64()),
                         ("ids", pa.binary()), ("counts", pa.binary()), ("vectors", pa.binary())])
@@ -195,24 +202,37 @@ def _tiles(distinct: DataFrame, dims: int, threshold: float, block: int) -> Data
     # one end for all before it, so that both sides of a tile agree on whether there is one
     until = np.maximum.accumulate(np.array([np.searchsorted(los, hi + gap, side="right") for _, hi, _, _ in ends]))
     since = np.searchsorted(until, np.arange(len(ends)), side="right")
-    order = spark.createDataFrame([(run, salt, k, int(since[k]), int(until[k])) for k, (_, _, run, salt) in enumerate(ends)],
-                                  "run long, salt long, k long, since long, until long")
+    # groups: about as many pairs of them as tasks, none larger than a task may hold
+    n = len(ends)
+    groups = min(n, max(int(np.sqrt(2 * parallelism(spark))), -(-n // HELD)))
+    group = np.arange(n) * groups // max(1, n)
+    order = spark.createDataFrame([(run, salt, k, int(until[k]), int(group[k]), int(group[since[k]]), int(group[until[k] - 1]))
+                                   for k, (_, _, run, salt) in enumerate(ends)],
+                                  "run long, salt long, k long, until long, group int, first int, last int")
     numbered = cut.join(order, ["run", "salt"]).drop("run", "salt", "lo", "hi")
-    one = F.lit(1).cast("long")
-    left = numbered.select("ids", "counts", "vectors", F.col("k").alias("i"), F.explode(F.sequence("k", F.col("until") - one)).alias("j"), F.lit(0).alias("side"))
-    right = numbered.where("since < k").select("ids", "counts", "vectors", F.explode(F.sequence("since", F.col("k") - one)).alias("i"), F.col("k").alias("j"), F.lit(1).alias("side"))
+    # held in the tasks of its own group with itself and later ones, passing by in those of earlier groups
+    held = numbered.select("*", F.explode(F.sequence("group", "last")).alias("other"), F.lit(0).alias("side"))
+    cells = F.col("group") * groups + F.col("other")
+    passing = numbered.where("first < group").select("*", F.explode(F.sequence("first", F.col("group") - 1)).alias("other"), F.lit(1).alias("side"))
+    both = held.withColumn("cell", cells).unionByName(passing.withColumn("cell", F.col("other") * groups + F.col("group")))
 
     def compare(batches):
-        held = None
+        left, at = [], None
         for batch in batches:
             for r in batch.to_pylist():
+                if r["cell"] != at:
+                    left, at = [], r["cell"]
                 ids, counts = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["counts"], np.int64)
-                x = np.frombuffer(r["vectors"], np.float64).reshape(len(ids), dims)
+                kind = np.float64 if len(r["vectors"]) == 8 * dims * len(ids) else np.float32
+                x = np.frombuffer(r["vectors"], kind).astype(np.float64).reshape(len(ids), dims)
+                own = r["group"] == r["other"]
                 if r["side"] == 0:
-                    held = (r["j"], ids, counts, x)
-                    if r["i"] != r["j"]:
+                    left.append((r["k"], r["until"], ids, counts, x))
+                    if not own:
                         continue
-                yield _compare(*held[1:], ids, counts, x, r["i"] == r["j"])
+                for k, until, *block in left:
+                    if r["k"] < until:
+                        yield _compare(*block, ids, counts, x, k == r["k"])
 
     def _compare(ids, counts, x, ids2, counts2, y, same):
         n = len(ids)
@@ -233,7 +253,8 @@ def _tiles(distinct: DataFrame, dims: int, threshold: float, block: int) -> Data
         return pa.RecordBatch.from_arrays([pa.array(every[linked]), pa.array(links[linked]), pa.array(every[order[root[spot[linked]]]])],
                                           ["id", "links", "least"])
 
-    tiles = (left.unionByName(right).repartition(max(parallelism(spark), len(ends)), "i", "j").sortWithinPartitions("i", "j", "side"))
+    parts = min(groups * groups, 4 * parallelism(spark))
+    tiles = both.withColumn("part", F.pmod("cell", F.lit(parts))).repartitionById(parts, "part").sortWithinPartitions("cell", "side", "k")
     return tiles.mapInArrow(compare, "id long, links long, least long")
 
 

@@ -244,13 +244,15 @@ def test_vectors_as_oracle(spark, block):
     same_as_oracle(vector_dedup.near_duplicates(spark.read.parquet(f"{SF}/embeddings.parquet"), block=block), "embeddings", vector_dedup.ORACLE)
 
 
-def test_groups_of_vectors(spark):
+@pytest.mark.parametrize("held,block", [(48, 64), (1, 20), (2, 16)])
+def test_groups_of_vectors(spark, monkeypatch, held, block):
+    monkeypatch.setattr(vector_dedup, "HELD", held)
     rng = np.random.default_rng(6)
     x = rng.normal(size=(300, 24))
     x[50:150] = x[0] + 0.2 * rng.normal(size=(100, 24))
     x[150:200] = x[1]
     rows = [(i, v) for i, v in enumerate(x.tolist())]
-    got = vector_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), block=64).toPandas().set_index("vec_id")
+    got = vector_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), block=block).toPandas().set_index("vec_id")
     u = x / np.linalg.norm(x, axis=1, keepdims=True)
     links = (u @ u.T >= 0.9) & ~np.eye(300, dtype=bool)
     assert (got.n_links.sort_index().to_numpy() == links.sum(axis=1)).all()
