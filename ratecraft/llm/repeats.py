@@ -10,22 +10,26 @@ input.
 2. What is left of a text are runs of windows with a common minimizer.  Runs
    that are byte for byte equal repeat as a whole; one of them stands for all.
 3. Different runs with one minimizer are dealt to the same task.  It cuts them
-   into shards, keeps each shard's suffixes in order by a prefix, and merges the
-   orders by refining their interleave: the order by twice the prefix follows
-   from the orders of a suffix and of the one a prefix further on, so no suffixes
-   are compared or sorted anew.  Suffixes whose interval has one member in all
-   shards drop out.  At depth ``width`` the intervals with several members are
-   the repeated windows.
+   into shards and sorts each shard's suffixes once.  A shard keeps their transform
+   (for every suffix, in order, the character before it) and where the suffix that
+   begins with that character stands.  The shards are then merged by their
+   interleave, the sequence that says which shard the next suffix of the common
+   order is from: read along it, the transforms' characters are counted into place,
+   which gives the interleave for a prefix one character longer.  No suffixes are
+   compared or sorted anew.  Where a character or the interval before differs, an
+   interval (the suffixes with a common prefix) ends; intervals with one member
+   drop out with all that would follow from them.  At ``width`` bytes the intervals
+   that are left are the repeated windows.
 4. A minimizer with more than ``max_group`` bytes of different runs has its
    windows counted by digest instead, spread over all tasks.
 
-The interleave is refined by strides that double (8, 16, ... bytes), not a
-character at a time; the transforms' characters are not stored, as only common
-prefixes and intervals are read.
+A character of the transforms is a string of 8 bytes, so a window of 200 bytes takes
+24 refinements; the alphabet is what the shards hold, merged from their orders.
 
 Defined cases: NULL is an empty text; texts shorter than ``width`` keep all
 bytes; repeated rows are texts of their own, so what they share repeats; a NULL
-doc_id is kept and rows may share a doc_id; extra columns are ignored; an empty table gives an empty result.
+doc_id is kept and rows may share a doc_id; extra columns are ignored; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -46,6 +50,7 @@ K = 50                   # bytes of a minimizer
 MAX_GROUP = 4 << 20      # bytes of different runs with one minimizer that a task merges
 _RUN = 1 << 20           # bytes worked on at a time
 _SHARD = 1 << 18         # bytes of a shard
+STRIDE = 8               # bytes of a transform's character
 _TOGETHER = 1 << 21      # bytes of small groups merged together
 _PLACE = np.uint64((1 << 26) - 1)
 
@@ -94,61 +99,116 @@ def window_runs(data: np.ndarray, ends: np.ndarray, width: int, k: int) -> tuple
 
 
 class Shard:
-    """Some strings, one after the other; `block` is the place of each suffix among the merged prefixes, or -1."""
+    """The suffixes of some strings in order of their first ``width`` bytes, and their transform.
 
-    def __init__(self, strings: list[bytes]):
-        self.data = np.frombuffer(b"".join(strings), np.uint8)
+    Where a string ends its suffixes are shorter; their place among others is open,
+    as they cannot start a window."""
+
+    def __init__(self, strings: list[bytes], width: int):
+        data = np.frombuffer(b"".join(strings), np.uint8)
         sizes = np.fromiter(map(len, strings), np.int64, len(strings))
-        self.stop = np.repeat(np.cumsum(sizes), sizes)
-        n = len(self.data)
-        self.room = self.stop - np.arange(n)
-        code = np.zeros(n, np.uint64)
-        for i in range(8):
-            code[:n - i] |= self.data[i:].astype(np.uint64) << np.uint64(56 - 8 * i)
-        self.key, self.alive = code, np.flatnonzero(self.room >= 8)
-        self.block = np.full(n, -1, np.int64)
-
-    def order(self) -> np.ndarray:
-        """The shard's distinct prefixes in order; `place` has each live suffix's number among them."""
-        local, self.place = np.unique(self.key[self.alive], return_inverse=True)
-        return local
-
-    def refine(self, step: int, blocks: int, single: np.ndarray) -> None:
-        """Keys for the next depth, from the blocks of a suffix and of the one ``step`` further on."""
-        self.block[self.alive] = np.where(single[self.block[self.alive]], -1, self.block[self.alive])
-        at = self.alive[self.block[self.alive] >= 0]
-        at = at[self.room[at] > step]
-        at = at[self.block[at + step] >= 0]
-        self.key = np.zeros(len(self.block), np.uint64)
-        self.key[at] = (self.block[at] * blocks + self.block[at + step]).astype(np.uint64)
-        self.alive = at
+        n, ends = len(data), np.cumsum(sizes)
+        at = np.arange(n)
+        self.room = np.repeat(ends, sizes) - at
+        self.since = at - np.repeat(ends - sizes, sizes)
+        self.code = np.zeros(n, np.uint64)
+        padded = np.append(data, np.zeros(STRIDE, np.uint8))
+        for i in range(STRIDE):
+            self.code |= np.where(self.room > i, padded[i:i + n], 0).astype(np.uint64) << np.uint64(56 - 8 * i)
+        self.order = np.argsort(self.code, kind="stable")
+        self._sort(width)
+
+    def _sort(self, width: int) -> None:
+        """By prefixes that double, until no two suffixes share one or they are ``width`` long."""
+        n, order = len(self.order), self.order
+        ranks, start = np.zeros(n, np.int64), _starts(self.code[order])
+        ranks[order] = start
+        depth = STRIDE
+        while depth < width:
+            step = min(depth, width - depth)
+            several = np.flatnonzero((np.bincount(start, minlength=n) > 1)[start])
+            if not len(several):
+                break
+            these = order[several]
+            behind = np.zeros(len(these), np.int64)
+            longer = self.room[these] > step
+            behind[longer] = ranks[these[longer] + step] + 1
+            key = start[several] * (n + 1) + behind
+            by = np.argsort(key, kind="stable")
+            order[several] = these[by]
+            start[several] = several[_starts(key[by])]
+            ranks[order[several]] = start[several]
+            depth += step
+
+    def transform(self, alphabet: np.ndarray) -> None:
+        """``character``: of each suffix in order, the 8 bytes before it; ``before``: the place of the suffix they begin (-1: none)."""
+        place = np.empty(len(self.order), np.int64)
+        place[self.order] = np.arange(len(self.order))
+        has = self.since[self.order] >= STRIDE
+        earlier = np.where(has, self.order - STRIDE, 0)
+        self.character = np.searchsorted(alphabet, self.code[earlier]).astype(np.uint32)
+        self.before = np.where(has, place[earlier], -1)
+
+
+def _starts(keys: np.ndarray) -> np.ndarray:
+    """For sorted keys, where the run of equal ones begins that each is in."""
+    new = np.r_[True, keys[1:] != keys[:-1]] if len(keys) else np.zeros(0, bool)
+    return np.flatnonzero(new)[np.cumsum(new) - 1] if len(keys) else np.zeros(0, np.int64)
+
+
+def _counted(characters: np.ndarray) -> np.ndarray:
+    """The places in stable order of the characters, by counting passes over 16 bits."""
+    by = np.argsort((characters & 0xFFFF).astype(np.uint16), kind="stable")
+    high = (characters >> 16).astype(np.uint16)
+    return by[np.argsort(high[by], kind="stable")] if high.any() else by
 
 
 def repeated_windows(shards: list[Shard], width: int) -> list[np.ndarray]:
     """Per shard, which positions start a window that starts elsewhere too."""
-    depth = min(8, width)
+    # the shards' distinct characters are sorted; a stable sort of their runs only merges them
+    runs = [s.code[s.order[s.room[s.order] >= STRIDE]] for s in shards]
+    alphabet = np.sort(np.concatenate([r[np.r_[True, r[1:] != r[:-1]]] if len(r) else r for r in runs]), kind="stable")
+    alphabet = alphabet[np.r_[True, alphabet[1:] != alphabet[:-1]]] if len(alphabet) else alphabet
+    depth = width % STRIDE or STRIDE
+    live, prefixes = [], []
+    for s in shards:
+        s.transform(alphabet)
+        live.append(np.flatnonzero(s.room[s.order] >= depth))        # places of suffixes in their shard's order
+        prefixes.append(s.code[s.order[live[-1]]] >> np.uint64(64 - 8 * depth))
+    prefixes = np.concatenate(prefixes)
+    by = np.argsort(prefixes, kind="stable")
+    interleave = np.repeat(np.arange(len(shards), dtype=np.uint16), [len(x) for x in live])[by]
+    interval = _starts(prefixes[by])
     while True:
-        orders = [s.order() for s in shards]
-        merged = np.unique(np.concatenate(orders))
-        counts = np.zeros(len(merged), np.int64)
-        for s, local in zip(shards, orders, strict=True):
-            members = np.bincount(s.place, minlength=len(local))
-            into = np.searchsorted(merged, local)
-            counts[into] += members
-            s.block[:] = -1
-            s.block[s.alive] = into[s.place]
-        single = counts < 2
-        if depth == width:
-            out = []
-            for s in shards:
-                hit = np.zeros(len(s.block), bool)
-                hit[s.alive] = ~single[s.block[s.alive]]
-                out.append(hit)
-            return out
-        step = min(depth, width - depth)
-        for s in shards:
-            s.refine(step, len(merged), single)
-        depth += step
+        # intervals of one suffix drop out
+        stays = (np.bincount(interval, minlength=len(interval)) > 1)[interval]
+        own = np.split(np.argsort(interleave, kind="stable"), np.cumsum([len(x) for x in live])[:-1])
+        live = [x[stays[o]] for x, o in zip(live, own, strict=True)]
+        if depth >= width or not stays.any():
+            break
+        interleave, interval = interleave[stays], interval[stays]
+        # the transforms' characters along the interleave
+        characters, has = np.zeros(len(interleave), np.uint32), np.zeros(len(interleave), bool)
+        along = np.argsort(interleave, kind="stable")
+        characters[along] = np.concatenate([s.character[x] for s, x in zip(shards, live, strict=True)])
+        has[along] = np.concatenate([s.before[x] >= 0 for s, x in zip(shards, live, strict=True)])
+        characters, interleave, interval = characters[has], interleave[has], interval[has]
+        by = _counted(characters)
+        characters, interleave, interval = characters[by], interleave[by], interval[by]
+        interval = _starts(characters.astype(np.int64) << 32 | interval)
+        for i, s in enumerate(shards):
+            marked = np.zeros(len(s.order), bool)
+            places = s.before[live[i]]
+            marked[places[places >= 0]] = True
+            live[i] = np.flatnonzero(marked)
+        depth += STRIDE
+    out = []
+    for s, x in zip(shards, live, strict=True):
+        hit = np.zeros(len(s.order), bool)
+        if depth >= width:
+            hit[s.order[x]] = True
+        out.append(hit)
+    return out
 
 
 def _runs_of(hit: np.ndarray) -> list[tuple[int, int]]:
@@ -220,7 +280,7 @@ def merged_repeats(strings: DataFrame, width: int) -> DataFrame:
                 held, size = [], 0
         if held:
             cuts.append(held)
-        shards = [Shard([r[5] for r in c]) for c in cuts]
+        shards = [Shard([r[5] for r in c], width) for c in cuts]
         found = []
         for rows, hit in zip(cuts, repeated_windows(shards, width), strict=True):
             at = 0
