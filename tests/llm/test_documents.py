@@ -303,5 +303,28 @@ def test_search_as_brute_force(spark, docs, odd, shard_bytes):
     assert {r.query_id for r in few.collect()} == {4, 5, 6, 7, 8}
 
 
+def test_search_skips_most_postings():
+    """Queries of whole documents: under 60 % of their postings are scored, and the best are those of all scores."""
+    rng = np.random.default_rng(8)
+    p = 1 / np.arange(1, 4001)
+    texts = [" ".join(f"w{x}" for x in rng.choice(4000, rng.integers(20, 200), p=p / p.sum())) for _ in range(3000)]
+    words, counts, distinct, sizes = topk_search.counted_words(pa.array(texts))
+    df = dict(zip(*np.unique(words, return_counts=True)))
+    shard = topk_search.Shard(np.arange(3000), words, counts, distinct, sizes, float(sizes.mean()))
+    ends = np.cumsum(distinct)
+    for q in range(0, 3000, 100):
+        asked = words[ends[q] - distinct[q]:ends[q]]
+        weights = np.array([math.log1p((3000 - df[w] + 0.5) / (df[w] + 0.5)) for w in asked])
+        order = np.lexsort((asked, -weights))
+        asked, weights = asked[order], weights[order]
+        weight = dict(zip(asked.tolist(), weights.tolist()))
+        part = counts * 2.2 / (counts + np.repeat(1.2 * (0.25 + 0.75 * sizes / sizes.mean()), distinct))
+        every = np.add.reduceat([weight.get(w, 0.0) for w in words.tolist()] * part, ends - distinct)
+        ids, scores = shard.search(asked, weights, 10)
+        best = np.lexsort((np.arange(3000), -every.round(9)))[:10]
+        assert ids.tolist() == best.tolist() and scores == pytest.approx(every[best])
+    assert 0 < shard.scored < 0.6 * shard.held
+
+
 def test_search_report_as_oracle(docs):
     same_as_oracle(topk_search.search_report(docs), topk_search.ORACLE)
