@@ -108,32 +108,32 @@ class Shard:
         data = np.frombuffer(b"".join(strings), np.uint8)
         sizes = np.fromiter(map(len, strings), np.int64, len(strings))
         n, ends = len(data), np.cumsum(sizes)
-        at = np.arange(n)
-        self.room = np.repeat(ends, sizes) - at
-        self.since = at - np.repeat(ends - sizes, sizes)
+        at = np.arange(n, dtype=np.int32)
+        self.room = np.repeat(ends.astype(np.int32), sizes) - at
+        self.since = at - np.repeat((ends - sizes).astype(np.int32), sizes)
         self.code = np.zeros(n, np.uint64)
         padded = np.append(data, np.zeros(STRIDE, np.uint8))
         for i in range(STRIDE):
             self.code |= np.where(self.room > i, padded[i:i + n], 0).astype(np.uint64) << np.uint64(56 - 8 * i)
-        self.order = np.argsort(self.code, kind="stable")
+        self.order = np.argsort(self.code, kind="stable").astype(np.int32)
         self._sort(width)
 
     def _sort(self, width: int) -> None:
         """By prefixes that double, until no two suffixes share one or they are ``width`` long."""
         n, order = len(self.order), self.order
-        ranks, start = np.zeros(n, np.int64), _starts(self.code[order])
+        ranks, start = np.zeros(n, np.int32), _starts(self.code[order])
         ranks[order] = start
         depth = STRIDE
         while depth < width:
             step = min(depth, width - depth)
-            several = np.flatnonzero((np.bincount(start, minlength=n) > 1)[start])
+            several = np.flatnonzero(_several(start)).astype(np.int32)
             if not len(several):
                 break
             these = order[several]
-            behind = np.zeros(len(these), np.int64)
+            behind = np.zeros(len(these), np.int32)
             longer = self.room[these] > step
             behind[longer] = ranks[these[longer] + step] + 1
-            key = start[several] * (n + 1) + behind
+            key = start[several] * np.int64(n + 1) + behind
             by = np.argsort(key, kind="stable")
             order[several] = these[by]
             start[several] = several[_starts(key[by])]
@@ -142,18 +142,28 @@ class Shard:
 
     def transform(self, alphabet: np.ndarray) -> None:
         """``character``: of each suffix in order, the 8 bytes before it; ``before``: the place of the suffix they begin (-1: none)."""
-        place = np.empty(len(self.order), np.int64)
-        place[self.order] = np.arange(len(self.order))
+        place = np.empty(len(self.order), np.int32)
+        place[self.order] = np.arange(len(self.order), dtype=np.int32)
         has = self.since[self.order] >= STRIDE
         earlier = np.where(has, self.order - STRIDE, 0)
-        self.character = np.searchsorted(alphabet, self.code[earlier]).astype(np.uint32)
+        # the numbers of the characters in text order, found along the sorted suffixes
+        number = np.empty(len(self.order), np.uint32)
+        number[self.order] = np.searchsorted(alphabet, self.code[self.order])
+        self.character = number[earlier]
         self.before = np.where(has, place[earlier], -1)
+        self.code = self.since = None
 
 
 def _starts(keys: np.ndarray) -> np.ndarray:
     """For sorted keys, where the run of equal ones begins that each is in."""
     new = np.r_[True, keys[1:] != keys[:-1]] if len(keys) else np.zeros(0, bool)
-    return np.flatnonzero(new)[np.cumsum(new) - 1] if len(keys) else np.zeros(0, np.int64)
+    return np.flatnonzero(new).astype(np.int32)[np.cumsum(new, dtype=np.int32) - 1] if len(keys) else np.zeros(0, np.int32)
+
+
+def _several(start: np.ndarray) -> np.ndarray:
+    """Which have the same start as a neighbour."""
+    same = np.r_[False, start[1:] == start[:-1], False]
+    return same[1:] | same[:-1]
 
 
 def _counted(characters: np.ndarray) -> np.ndarray:
@@ -172,16 +182,17 @@ def repeated_windows(shards: list[Shard], width: int) -> list[np.ndarray]:
     depth = width % STRIDE or STRIDE
     live, prefixes = [], []
     for s in shards:
-        s.transform(alphabet)
-        live.append(np.flatnonzero(s.room[s.order] >= depth))        # places of suffixes in their shard's order
+        live.append(np.flatnonzero(s.room[s.order] >= depth).astype(np.int32))        # places of suffixes in their shard's order
         prefixes.append(s.code[s.order[live[-1]]] >> np.uint64(64 - 8 * depth))
+        s.transform(alphabet)
     prefixes = np.concatenate(prefixes)
     by = np.argsort(prefixes, kind="stable")
     interleave = np.repeat(np.arange(len(shards), dtype=np.uint16), [len(x) for x in live])[by]
     interval = _starts(prefixes[by])
+    del prefixes, by, runs
     while True:
         # intervals of one suffix drop out
-        stays = (np.bincount(interval, minlength=len(interval)) > 1)[interval]
+        stays = _several(interval)
         own = np.split(np.argsort(interleave, kind="stable"), np.cumsum([len(x) for x in live])[:-1])
         live = [x[stays[o]] for x, o in zip(live, own, strict=True)]
         if depth >= width or not stays.any():
@@ -196,11 +207,12 @@ def repeated_windows(shards: list[Shard], width: int) -> list[np.ndarray]:
         by = _counted(characters)
         characters, interleave, interval = characters[by], interleave[by], interval[by]
         interval = _starts(characters.astype(np.int64) << 32 | interval)
+        del by, along, has, characters
         for i, s in enumerate(shards):
             marked = np.zeros(len(s.order), bool)
             places = s.before[live[i]]
             marked[places[places >= 0]] = True
-            live[i] = np.flatnonzero(marked)
+            live[i] = np.flatnonzero(marked).astype(np.int32)
         depth += STRIDE
     out = []
     for s, x in zip(shards, live, strict=True):
