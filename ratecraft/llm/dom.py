@@ -92,12 +92,18 @@ class Nodes:
         self.pages += 1
         stack = [self._add(page, -1, "#root", 0, none)]
         tags = ["#root"]
+        places: dict[str, list[int]] = {}      # of the open elements, by tag
 
         def close(to: int) -> None:
-            for i in stack[to:]:
+            for i, name in zip(stack[to:], tags[to:], strict=True):
                 self.end[i] = len(self.tag)
+                if places.get(name):
+                    places[name].pop()
             del stack[to:], tags[to:]
 
+        def last(names) -> int:
+            return max((places[name][-1] for name in names if places.get(name)), default=0)
+
         def words(text: str) -> None:
             if text:
                 self._add(page, stack[-1], "#text", len(stack), none, text)
@@ -117,18 +123,13 @@ class Nodes:
                 continue
             tag = tag.lower()
             if m[1]:
-                if tag in tags:
-                    close(len(tags) - 1 - tags[::-1].index(tag))
+                if places.get(tag):
+                    close(places[tag][-1])
                 continue
-            if tag in CLOSES_P and "p" in tags:
-                close(len(tags) - 1 - tags[::-1].index("p"))
-            elif tag in CLOSED_BY:
-                for k in range(len(tags) - 1, 0, -1):
-                    if tags[k] in SCOPE[tag]:
-                        break
-                    if tags[k] in CLOSED_BY[tag]:
-                        close(k)
-                        break
+            if tag in CLOSES_P and places.get("p"):
+                close(places["p"][-1])
+            elif tag in CLOSED_BY and last(CLOSED_BY[tag]) > last(SCOPE[tag]):
+                close(last(CLOSED_BY[tag]))
             attributes = m[3].rstrip(">")
             i = self._add(page, stack[-1], tag, len(stack), self._meaning(attributes))
             if tag in RAW:
@@ -137,6 +138,7 @@ class Nodes:
                     stop = re.compile(rf"</{re.escape(tag)}\s*[^>]*(?:>|\Z)", re.I).search(html, at)
                     at = stop.end() if stop else n
             elif tag not in VOID and not (attributes.endswith("/") and tag not in CLOSES_P and (tag not in INLINE or tag in EMBEDDED)):
+                places.setdefault(tag, []).append(len(stack))
                 stack.append(i)
                 tags.append(tag)
         close(0)
@@ -156,13 +158,13 @@ class Nodes:
         has_up = parent >= 0
         own = np.stack([np.array(self.content), np.array(self.chrome), np.array(self.hidden),
                         *(group == g for g in (0, 1, 2, 3, 4, 5))]).astype(np.float64)
-        above, link = np.zeros_like(own), np.zeros(n, bool)
         anchor = np.array([t == "a" for t in self.tag])
-        # level by level from the root: what stands above a node
-        for d in range(1, int(depth.max(initial=0)) + 1):
-            level = here[depth == d]
-            above[:, level] = above[:, up[level]] + own[:, up[level]]
-            link[level] = link[up[level]] | anchor[up[level]]
+
+        def over(x: np.ndarray) -> np.ndarray:
+            """The sum over what a node stands in: nodes count from the next one on, to where they end."""
+            return np.cumsum(np.concatenate([[0.0], x]) - np.bincount(end, x, minlength=n + 1))[:n]
+
+        above, link = np.stack([over(x) for x in own]), over(anchor.astype(np.float64)) > 0
         sub = lambda x: (c := np.concatenate([[0.0], np.cumsum(x)]))[end] - c[here]
         tag_is = lambda *names: np.array([t in names for t in self.tag], np.float64)
         s_chars, s_words, s_marks, s_link = sub(chars), sub(words), sub(marks), sub(chars * link)
