@@ -36,7 +36,7 @@ ROUNDS = 3
 SMOOTHING = 0.1         # added to every expected count
 UNKNOWN = 1e-7          # probability of a character outside the vocabulary
 UND = "und"
-CACHED_WORDS = 300_000  # per task
+CACHED_WORDS = 150_000  # per task
 LONG_WORD = 24          # letters; longer words go one by one, without underflow and in time proportional to their length
 _RUN = 2 << 20          # bytes of text worked on at a time
 
@@ -214,9 +214,8 @@ def fit(docs: DataFrame, path: str | None = None, sample_docs: int = SAMPLE_DOCS
     languages = sorted(totals, key=lambda x: x.encode())
     if not languages:
         return [], pieces, np.zeros((len(pieces), 0))
-    share = F.lit(0.0)
-    for lang in languages:
-        share = F.when(F.col("lang") == lang, min(1.0, sample_docs / totals[lang])).otherwise(share)
+    shares = [min(1.0, sample_docs / totals[lang]) for lang in languages]
+    share = F.coalesce(F.try_element_at(F.map_from_arrays(F.lit(languages), F.lit(shares)), F.col("lang")), F.lit(0.0))
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
 
     def count(batches):
