@@ -36,9 +36,9 @@ from ratecraft.llm.common import materialise, tokenizer_path
 MAX_TOKENS = 2048
 END = 1
 VOCABULARY = "word_bpe_49k.json"
-CACHED_WORDS = 400_000     # per Python worker
+CACHED_WORDS = 200_000     # per task
 
-_RUN = 8 << 20             # bytes of text tokenised at a time
+_RUN = 4 << 20             # bytes of text tokenised at a time
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part int, nth long"
 _PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
