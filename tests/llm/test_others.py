@@ -3,6 +3,7 @@
 import hashlib
 import html
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -31,6 +32,15 @@ def same_as_oracle(df, name, sql):
     assert sorted(map(tuple, df.select(*rel.columns).collect()), key=repr) == sorted(rel.fetchall(), key=repr)
 
 
+def test_very_deep_pages_are_read_in_linear_time():
+    for html, runs in (("<div>" * 40_000 + "text" + "</div>" * 40_000, 1), ("<div>" * 20_000 + "<li>x" * 20_000, 20_000), ("<p>a<ul><li>b" * 10_000, 20_000)):
+        began = time.process_time()
+        nodes = Nodes()
+        nodes.read(html)
+        assert len(nodes.features()) == len(nodes.tag) and sum(t is not None for t in nodes.text) == runs
+        assert time.process_time() - began < 2
+
+
 def test_registry():
     numbers = sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES if q != "pipeline")
     assert numbers == list(range(1, 14)) and "pipeline" in QUERIES and set(ORACLE) <= set(QUERIES)
@@ -71,6 +81,13 @@ def test_languages_of_held_out_rows(documents, model):
     assert got.doc_id.map(lambda i: zlib.crc32(str(i).encode()) % 3 == 1).all()
 
 
+def test_thousands_of_language_values(spark):
+    """Dirty values of lang make neither a deep plan nor a wrong share."""
+    rows = [(i, f"word{i % 7} and others", f"x{i % 3000}") for i in range(6000)]
+    languages, _, p = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample_docs=1, rounds=1)
+    assert 2500 < len(languages) <= 3000 and p.shape[1] == len(languages)
+
+
 def test_language_of_odd_texts(spark, documents, model):
     rows = [(1, None), (2, ""), (3, "123 % ́"), (4, "字字"), (None, "the of and"), (5, "x" * 3000), (5, "the of and " * 20_000)]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("lang_pred", F.lit("xx")).withColumn("score", F.lit(2))
