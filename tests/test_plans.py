@@ -56,6 +56,10 @@ def test_train_predict_evaluates_the_held_out_rows(spark, monkeypatch):
     out = queries.QUERIES["relation_train_predict"](spark, "/root/testdata/sf0.001")
     report, n = trained[0].report, out.where("label is not null and not is_train").count()
     assert n > 0 and report["n"] + report["n_excluded"] == n
-    for short in ({**report, "n": report["n"] - 1}, {**report, "auc_roc": 1.5}):
-        with pytest.raises(ValueError):
-            queries._check_report(short, n)
+    # the counts and the agreement are values of the result, so a report that is wrong shows
+    right = out.select("n_evaluated", "n_excluded", "report_agrees").distinct().collect()
+    assert [tuple(r) for r in right] == [(n, 0, True)]
+    for wrong in ({"n": report["n"] - 1}, {"auc_roc": 0.123}, {"auc_pr": None}, {"accuracy": report["accuracy"] + 1e-6}):
+        monkeypatch.setattr(queries.jobs, "train", lambda *a, wrong=wrong, **k: (t := train(*a, **k)).report.update(wrong) or t)
+        shown = queries.QUERIES["relation_train_predict"](spark, "/root/testdata/sf0.001").select("n_evaluated", "report_agrees").distinct().collect()
+        assert [tuple(r) for r in shown] == [(n - 1, True) if "n" in wrong else (n, False)]
