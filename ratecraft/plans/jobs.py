@@ -220,6 +220,17 @@ def predict_and_save(features: DataFrame, module: str, store: ModelStore, mode:
     return store.scores(module).write(predict(features, module, model, spec, bounds), mode)
 
 
+def predict_each_and_save(features: DataFrame, store: ModelStore, mode: str = "errorifexists",
+                          specs: Mapping[str, ModelSpec] | None = None, modules: Sequence[str] = MODULES,
+                          threads: int | None = None) -> dict[str, DataFrame]:
+    """C4 for several modules as concurrent jobs: one sub-score table each.
+
+    Every job scans the features; their loading, planning and commits overlap."""
+    specs = specs or {}
+    return at_once(features.sparkSession, {
+        m: (lambda m=m: predict_and_save(features, m, store, mode, specs.get(m))) for m in modules}, threads)
+
+
 def combine(spark, store: ModelStore) -> DataFrame:
     """Read the current sub-score tables (S6) and combine them (J1 + J2); they
     are bucketed by the key, so the joins do not shuffle."""

@@ -481,8 +481,7 @@ def q_combined_model_scores(spark, sf_dir):
     ft = staged_features(spark, sf_dir)
     store = ModelStore(scratch_path(spark, "models"))
     trained = jobs.train_all(ft, store=store)
-    for m in jobs.MODULES:
-        jobs.predict_and_save(ft, m, store)
+    jobs.predict_each_and_save(ft, store)
     combined, _ = jobs.combine_result(spark, store)
     total = (F.col("ScoreConsume") * 0.25 + F.col("ScoreFinance") * 0.20 + F.col("ScoreInteraction") * 0.15
              + F.col("ScorePeople") * 0.30 + F.col("ScoreRelation") * 0.10)

@@ -54,8 +54,9 @@ def test_one_pass_gives_the_scores_of_five_jobs(spark, features, trained):
 
 def test_table_of_all_scores_combines_without_a_join(spark, features, trained):
     store, _ = trained
-    for m in jobs.MODULES:
-        jobs.predict_and_save(features, m, store, mode="overwrite", spec=SPECS[m])
+    each = jobs.predict_each_and_save(features, store, mode="overwrite", specs=SPECS)
+    for m, (model, bounds) in jobs.load_all(store, spark).items():
+        assert sorted(map(tuple, each[m].collect())) == sorted(map(tuple, jobs.predict(features, m, model, SPECS[m], bounds).collect()))
     jobs.predict_all_and_save(features, store, mode="overwrite", specs=SPECS)
     one = jobs.combine_all(spark, store)
     assert "Join" not in one._jdf.queryExecution().executedPlan().toString()
