@@ -12,6 +12,13 @@ return the columns of ``documents``, with ``n_chars`` following the text.
 4. mix: documents are taken as often as the sources' target weights say.
 5. pack: what is left is tokenised and packed into sequences.
 
+Defined cases, stage by stage: documents with a NULL or empty text or without a
+letter go in ``language``; a NULL doc_id is kept throughout and is no copy of
+anything; rows that share a doc_id stay or go together in ``copies``; a NULL
+source is a source of its own in ``mix``, where documents that lost all their
+lines are taken as their hash says; columns beyond those of ``documents`` go
+along to the last stage; an empty table gives empty results.
+
 Language ID is learnt and packing has no SQL form, so ORACLE_SQL is None; a test
 holds the pipeline against a brute-force version.
 """

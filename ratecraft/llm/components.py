@@ -14,7 +14,8 @@ def components(edges: DataFrame) -> DataFrame:
     Each round hangs a node's neighbours below the smallest of them; rounds grow
     with the logarithm of the longest path.  Every step is an aggregation and a
     join of written tables, so a node with very many edges can be split between
-    tasks.  NULL ends are ignored.
+    tasks.  NULL ends are ignored.  Rounds end when the number of pairs and the sum
+    of 32 bits of each pair's hash stay the same.
     """
     pairs = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     pairs, state = materialise(pairs, "cc-edges"), None

@@ -17,7 +17,8 @@ around and inside the text under many tags and attribute words.
 
 Defined cases: NULL or empty html gives an empty text; broken markup is read as
 browsers do, roughly (open elements are closed, stray end tags ignored); scripts,
-styles and comments are never text; a NULL page_id or url is kept; repeated rows
+styles and comments are never text; white space is what Python's ``split`` takes,
+so no-break and other Unicode spaces too; a NULL page_id or url is kept; repeated rows
 give equal rows; extra columns are ignored; an empty table gives an empty
 result.
 """
