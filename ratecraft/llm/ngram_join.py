@@ -341,8 +341,8 @@ def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").alias("id"), "text").mapInArrow(keep, "id long, body binary")
 
 
-def jaccard_links(docs: DataFrame, reps: DataFrame, words: int, percent: int, max_block: int) -> DataFrame:
-    """(a, b) links between classes that connect all that link."""
+def jaccard_labels(docs: DataFrame, reps: DataFrame, words: int, percent: int, max_block: int) -> DataFrame:
+    """(node, component) of the classes that link with another one."""
     dealt = materialise(blocks_of(hub_pairs(reps, percent), max_block), "join-blocks")
 
     def solve(rows: DataFrame, name: str) -> DataFrame:
@@ -357,8 +357,8 @@ def jaccard_links(docs: DataFrame, reps: DataFrame, words: int, percent: int, ma
     links = solve(first.select(F.xxhash64("hub", "slice").alias("block"), "id", F.lit(False).alias("asked")), "join-links")
 
     # what a sliced block has left unconnected to its hub meets every slice
+    labels = materialise(components(links), "join-components")
     sliced = dealt.where("slices > 1")
-    labels = components(links)
     outside = (sliced.join(labels.withColumnRenamed("node", "id"), "id", "left")
                .join(labels.select(F.col("node").alias("hub"), F.col("component").alias("of_hub")), "hub", "left")
                .where("component is null or of_hub is null or component <> of_hub").select("hub", "id", "slices"))
@@ -371,8 +371,10 @@ def jaccard_links(docs: DataFrame, reps: DataFrame, words: int, percent: int, ma
         rest = sliced.join(left, "hub").select("hub", "id", "slice", numbers("chunks").alias("chunk"), F.lit(False).alias("asked"))
         again = (asked.unionByName(rest).groupBy("hub", "slice", "chunk", "id").agg(F.max("asked").alias("asked"))
                  .select(F.xxhash64("hub", "slice", "chunk").alias("block"), "id", "asked"))
-        links = links.unionByName(solve(again, "join-again"))
-    return links
+        # the components so far stand for the links that made them
+        known = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        labels = materialise(components(known.unionByName(solve(again, "join-again").select("a", "b"))), "join-components")
+    return labels
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, max_block: int = MAX_BLOCK) -> DataFrame:
@@ -385,8 +387,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     classes = materialise(rows.where("n > 0 and id is not null").groupBy("n", "d1", "d2").agg(
         F.min("id").alias("rep"), F.min_by("rare", "id").alias("rare"), F.min_by("often", "id").alias("often")), "join-classes")
     reps = classes.select(F.col("rep").alias("id"), "n", "rare", "often")
-    links = jaccard_links(docs.where("doc_id is not null"), reps, words, percent, max_block)
-    labels = materialise(components(links), "join-components")
+    labels = jaccard_labels(docs.where("doc_id is not null"), reps, words, percent, max_block)
     named = classes.select("n", "d1", "d2", "rep").join(labels, F.col("rep") == F.col("node"), "left").select(
         "n", "d1", "d2", F.coalesce("component", "rep").alias("component"))
     return rows.select("id", "n", "d1", "d2").join(materialise(named, "join-named"), ["n", "d1", "d2"], "left").select(
