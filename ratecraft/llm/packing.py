@@ -36,9 +36,9 @@ from ratecraft.llm.common import materialise, tokenizer_path
 MAX_TOKENS = 2048
 END = 1
 VOCABULARY = "word_bpe_49k.json"
-CACHED_WORDS = 200_000     # per task
+CACHED_WORDS = 100_000     # per task
 
-_RUN = 4 << 20             # bytes of text tokenised at a time
+_RUN = 2 << 20             # bytes of text tokenised at a time
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part int, nth long"
 _PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -135,6 +135,9 @@ def pieces(docs: DataFrame, path: str | None = None, max_tokens: int = MAX_TOKEN
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "nth"]
             columns = zip(*rows, strict=True) if rows else [[]] * 7
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+        # the worker goes on to other tasks
+        del encode
+        pa.default_memory_pool().release_unused()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, _PIECES)
 
