@@ -53,7 +53,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs)
+    # workers still hold what the stages before left them
+    return packing.pack(docs, run_bytes=2 << 20, cached=100_000)
 
 
 STAGES = [("language", language), ("lines", lines), ("copies", copies), ("mix", mix), ("pack", pack)]

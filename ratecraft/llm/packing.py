@@ -36,9 +36,9 @@ from ratecraft.llm.common import materialise, tokenizer_path
 MAX_TOKENS = 2048
 END = 1
 VOCABULARY = "word_bpe_49k.json"
-CACHED_WORDS = 100_000     # per task
+CACHED_WORDS = 200_000     # per task
 
-_RUN = 2 << 20             # bytes of text tokenised at a time
+RUN = 4 << 20              # bytes of text tokenised at a time
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part int, nth long"
 _PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -61,7 +61,8 @@ class WordTokenizer:
     MARK = "|"       # between words that are encoded together; a token of its own
     TOGETHER = 1000
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached: int = CACHED_WORDS):
+        self.cached = cached
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -101,7 +102,7 @@ class WordTokenizer:
         """(ids of all texts, each closed by ``end``; their offsets)."""
         words = self._words(texts)
         coded = words.flatten().dictionary_encode()
-        if len(self.words) > CACHED_WORDS:
+        if len(self.words) > self.cached:
             self._forget()
         new = coded.dictionary.filter(pc.is_null(pc.index_in(coded.dictionary, value_set=self.words)))
         if len(new):
@@ -116,15 +117,16 @@ class WordTokenizer:
         return ids, np.concatenate([[0], np.cumsum(lengths)[np.cumsum(counts + 1) - 1]])
 
 
-def pieces(docs: DataFrame, path: str | None = None, max_tokens: int = MAX_TOKENS, end: int = END) -> DataFrame:
+def pieces(docs: DataFrame, path: str | None = None, max_tokens: int = MAX_TOKENS, end: int = END,
+           run_bytes: int = RUN, cached: int = CACHED_WORDS) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, part, nth): the pieces of all documents."""
     path = path or tokenizer_path(VOCABULARY)
 
     def cut(batches):
-        encode, seen, part = WordTokenizer(path), defaultdict(int), TaskContext.get().partitionId()
+        encode, seen, part = WordTokenizer(path, cached), defaultdict(int), TaskContext.get().partitionId()
         for batch in batches:
             rows = []
-            for run in slices(batch, "text", _RUN):
+            for run in slices(batch, "text", run_bytes):
                 ids, ends = encode(run.column("text"), end)
                 for doc_id, a, b in zip(run.column("doc_id").to_pylist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
                     for first in range(a, b, max_tokens):
@@ -179,9 +181,12 @@ def patterns(histogram: dict[int, int], size: int = MAX_TOKENS) -> list[tuple[in
     return slots
 
 
-def pack(docs: DataFrame, path: str | None = None, max_tokens: int = MAX_TOKENS, end: int = END) -> DataFrame:
-    """The pieces of all documents with their sequence and offset."""
-    cut = materialise(pieces(docs, path, max_tokens, end), "pack-pieces")
+def pack(docs: DataFrame, path: str | None = None, max_tokens: int = MAX_TOKENS, end: int = END,
+         run_bytes: int = RUN, cached: int = CACHED_WORDS) -> DataFrame:
+    """The pieces of all documents with their sequence and offset.
+
+    ``run_bytes`` of text are tokenised at a time and ``cached`` words kept: less memory, more time."""
+    cut = materialise(pieces(docs, path, max_tokens, end, run_bytes, cached), "pack-pieces")
     counts = materialise(cut.groupBy("part", "length").agg(F.count("*").alias("n")), "pack-counts")
     histogram = {r[0]: r[1] for r in counts.groupBy("length").agg(F.sum("n")).collect()}   # at most max_tokens rows
     slots = np.array(sorted(patterns(histogram, max_tokens)), np.int64).reshape(-1, 5)
