@@ -63,6 +63,15 @@ def test_training_tasks_follow_the_row_count(spark):
         assert layouts[0] == layouts[1] and len(layouts[0]) == n
 
 
+def test_training_tasks_of_the_registered_models_do_not_grow_with_small_partitions(spark):
+    """Each task holds all nodes' statistics: 630,000 rows were 420 tasks of every level."""
+    from ratecraft.plans.models import FOREST_REGRESSOR, GBT_REGRESSOR, MODULE_MODELS, fixed_layout
+    for spec in (*MODULE_MODELS.values(), FOREST_REGRESSOR, GBT_REGRESSOR):
+        got = [fixed_layout(spark.range(n).select(F.col("id").cast("string").alias("uid_uid")), spec).rdd.getNumPartitions()
+               for n in (1_500, 10_500, 630_000, 12_000_000)]
+        assert got == [1, 7, 12, 24]
+
+
 def test_save_load_identical_probabilities(spark):
     from pyspark.ml import PipelineModel
     df = _toy(spark)
