@@ -33,6 +33,33 @@ def test_unread_distinct_counts_are_not_planned(spark):
     assert _plan(feature_table(spark, other)).count("/lineitem.parquet") == 2
 
 
+def test_a_view_of_distinct_counts_reads_the_lines_once(spark):
+    """It read them twice: the other branch was there for its keys alone."""
+    from ratecraft.plans.queries import q_relation_view
+    plan = _plan(q_relation_view(spark, "/root/testdata/sf0.01"))
+    assert plan.count("/lineitem.parquet") == 1
+    assert "Expand" not in plan              # no row of all counted columns per value
+
+
+def test_distinct_counts_of_a_hot_customer(spark):
+    """Exact, and its values are dealt over several tasks; others leave few rows to add up."""
+    from pyspark.sql import functions as F
+
+    from ratecraft.plans.features import SLICES, line_distinct_counts
+    n = F.col("id")
+    lines = spark.range(6_000).select(
+        F.when(n % 3 == 0, 0).otherwise(n % 50).alias("k"), (n % 1_000).alias("ok"), (n % 211).alias("sk"), (n * 7 % 1_999).alias("pk"),
+        (n % 25).cast("int").alias("city"), F.when(n % 4 == 0, "F").when(n % 4 == 1, "P").alias("st"),
+        F.when(n % 7 == 0, "flt").otherwise("htl").alias("lob"))
+    count = {"_n_orders": "ok", "ord_success_order_cmobile_count": "if(st = 'F', sk, null)", "com_mobile_count": "sk",
+             "com_passenger_count": "pk", "com_idno_count": "city", "ord_success_order_acity_count": "if(st = 'F', city, null)",
+             "ord_success_flt_order_acity_count": "if(st = 'F' and lob = 'flt', city, null)"}
+    want = lines.groupBy("k").agg(*[F.expr(f"count(DISTINCT {e})").alias(c) for c, e in count.items()])
+    got = line_distinct_counts(lines, 30)
+    assert got.select(*want.columns).exceptAll(want).count() == 0 and got.count() == want.count()
+    assert "hashpartitioning(k#" in _plan(got) and ", slice#" in _plan(got) and SLICES > 1
+
+
 def test_view_prunes_columns_and_pushes_filters(spark):
     ft = materialize_feature_table(spark, SF, scratch_path(spark, "ft"))
     df = build_view(ft, "relation", "train").where("uid_uid = '7'")
