@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ratecraft.functions.expressions import score_from_probability, vector_element
 from ratecraft.operators.indexing import fit_label_indexer, label_position
+from ratecraft.plans import forests
 
 KEY = "uid_uid"
 GOOD_LABEL = 1.0
@@ -46,6 +47,8 @@ class ModelSpec:
     rows_full: int = 500_000
     max_memory_mb: int = 256
     checkpoint_interval: int = 10
+    nodes_whole: int = 700_000        # a classifying forest that may have more nodes is fitted and kept in parts (forests.py)
+    nodes_at_once: int = 100_000      # of its trees in one fit, about
 
     def small(self, trees: int, depth: int) -> "ModelSpec":
         return replace(self, trees=trees, max_depth=depth)
@@ -76,13 +79,15 @@ def small_spec(module: str) -> ModelSpec:
     return spec.small(trees, depth)
 
 
-def _estimator(spec: ModelSpec, label_col: str, features_col: str):
+def _estimator(spec: ModelSpec, label_col: str, features_col: str, trees: int | None = None, seed: int | None = None):
+    """``trees`` and ``seed``: of some trees of a classifying forest, each on as many features as in the whole forest."""
     spark_ckpt = {"cacheNodeIds": True, "checkpointInterval": spec.checkpoint_interval,
                   "maxMemoryInMB": spec.max_memory_mb}
     if spec.kind == "rfc":
-        return RandomForestClassifier(labelCol=label_col, featuresCol=features_col, numTrees=spec.trees,
+        some = {} if trees is None else {"featureSubsetStrategy": "sqrt" if spec.trees > 1 else "all"}
+        return RandomForestClassifier(labelCol=label_col, featuresCol=features_col, numTrees=trees or spec.trees,
                                       maxDepth=spec.max_depth, impurity=spec.impurity or "gini",
-                                      seed=spec.seed, **spark_ckpt)
+                                      seed=spec.seed if seed is None else seed, **some, **spark_ckpt)
     if spec.kind == "gbtc":
         return GBTClassifier(labelCol=label_col, featuresCol=features_col, maxIter=spec.trees,
                              maxDepth=spec.max_depth, seed=spec.seed, **spark_ckpt)
@@ -116,8 +121,15 @@ def fixed_layout(df: DataFrame, spec: ModelSpec, key: str = KEY) -> DataFrame:
 
 def fit_classifier(train: DataFrame, features: Sequence[str], spec: ModelSpec,
                    label: str = "label") -> PipelineModel:
-    """M2, M3, M4, M7/M8, M9 on a training frame with ``label`` (double)."""
-    data = fixed_layout(train, spec).persist(StorageLevel.MEMORY_AND_DISK)
+    """M2, M3, M4, M7/M8, M9 on a training frame with ``label`` (double).
+
+    A forest of so many rows and trees that its nodes may not fit the driver is
+    fitted some trees at a time and kept as a table (forests.py)."""
+    laid = fixed_layout(train, spec)
+    if spec.kind == "rfc" and not forests.whole(train.count(), spec.trees, spec.max_depth, spec.nodes_whole):
+        with forests.turn():
+            return _fit_in_parts(laid, features, spec, label)
+    data = laid.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         indexer = fit_label_indexer(data, label, "index_label")
         feats = "scaledFeatures" if spec.scaled else "features"
@@ -132,6 +144,22 @@ def fit_classifier(train: DataFrame, features: Sequence[str], spec: ModelSpec,
         data.unpersist()
 
 
+def _fit_in_parts(laid: DataFrame, features: Sequence[str], spec: ModelSpec, label: str) -> PipelineModel:
+    data = laid.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        indexer = fit_label_indexer(data, label, "index_label")
+        stages = [VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")]
+        if spec.scaled:
+            stages.append(MinMaxScaler(inputCol="features", outputCol="scaledFeatures", min=0.0, max=1.0))
+        ready = Pipeline(stages=[*stages, indexer]).fit(data)
+        grow = lambda trees, seed: _estimator(spec, "index_label", "scaledFeatures" if spec.scaled else "features", trees, seed)
+        # two classes at least, as Spark's trees have
+        forest = forests.fit_forest(ready.transform(data), grow, spec.trees, spec.seed, max(2, len(indexer.labels)), spec.nodes_at_once)
+        return PipelineModel([*ready.stages, forest, IndexToString(inputCol="prediction", outputCol="predictedLabel", labels=indexer.labels)])
+    finally:
+        data.unpersist()
+
+
 def fit_regressor(train: DataFrame, features: Sequence[str], spec: ModelSpec,
                   label: str = "label") -> PipelineModel:
     """M5/M6: forest or boosted regression of ``label`` (double)."""
