@@ -49,8 +49,8 @@ def test_votes_are_those_of_sparks_model(spark, toy):
     assert ({r.uid_uid: (r.rawPrediction, r.probability, r.prediction) for r in one.transform(rows).collect()}
             == {r.uid_uid: (r.rawPrediction, r.probability, r.prediction) for r in fit[0].transform(rows).collect()})
     from pyspark.ml.functions import vector_to_array
-    again = forests._votes(one.nodes().inputFiles(), 2, kept_nodes=10, rows_at_once=50)
-    kept = forests._votes(one.nodes().inputFiles(), 2)
+    again = forests._votes([one.nodes().inputFiles()], [2], kept_nodes=10, rows_at_once=50)
+    kept = forests._votes([one.nodes().inputFiles()], [2])
     x = vector_to_array(F.col("features"))
     assert rows.select(again(x).alias("v"), "uid_uid").exceptAll(rows.select(kept(x).alias("v"), "uid_uid")).count() == 0
 
@@ -102,6 +102,8 @@ def test_five_modules_in_parts(spark):
     jobs.train_all(features, specs=specs, store=store)
     jobs.predict_each_and_save(features, store, specs=specs)
     jobs.predict_all_and_save(features, store, specs=specs)
+    plan = jobs.predict_all(features, jobs.load_all(store, spark), specs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and plan.count("FileScan") == 1 and "Exchange" not in plan
     one = {r.uid_uid: r for r in jobs.combine_all(spark, store).collect()}
     each = {r.uid_uid: r for r in jobs.combine(spark, store).collect()}
     assert one.keys() == each.keys() and all(one[k][c] == r[c] for k, r in each.items() for c in r.__fields__)
