@@ -328,5 +328,37 @@ def test_search_never_costs_more_than_all_postings(topics, most):
     assert 0 < shard.scored <= most * shard.held
 
 
+def test_search_of_many_queries_is_that_of_each():
+    """A piece of queries scored together: the documents and scores of single searches, bit for bit, above any floor; most without reading their lists."""
+    rng = np.random.default_rng(4)
+    p = 1 / np.arange(1, 3001)
+    texts = [" ".join(f"w{x}" for x in rng.choice(3000, rng.integers(20, 200), p=p / p.sum())) for _ in range(2000)] + ["", "w1 w2", "w1 w2"]
+    n = len(texts)
+    words, counts, distinct, sizes = topk_search.counted_words(pa.array(texts))
+    df = dict(zip(*np.unique(words, return_counts=True)))
+    ends, queries = np.cumsum(distinct), []
+    for q in [*range(0, n, 20), n - 3, n - 1]:
+        asked = np.append(words[ends[q] - distinct[q]:ends[q]], [7] * (q % 3 == 0))      # a word that no document has
+        weights = np.array([math.log1p((n - df.get(w, 1) + 0.5) / (df.get(w, 1) + 0.5)) for w in asked.tolist()])
+        order = np.lexsort((asked, -weights))
+        queries.append((asked[order], weights[order]))
+    shard = lambda: topk_search.Shard(np.arange(n)[::-1].copy(), words, counts, distinct, sizes, float(sizes.mean()))
+    one = shard()
+    want = [one.search(a, w, 10) for a, w in queries]
+    for floors in (np.zeros(len(queries)), np.array([s[min(4, len(s) - 1)] if len(s) else 0.0 for _, s in want]), np.full(len(queries), 1e9)):
+        many = shard()
+        got = many.search_many(np.concatenate([a for a, _ in queries]), np.concatenate([w for _, w in queries]), np.array([len(a) for a, _ in queries]), floors, 10)
+        assert len(got) == len(want)
+        for (ids, scores), (i, s), floor in zip(got, want, floors, strict=True):
+            assert ids.tolist() == i[s >= floor].tolist() and scores.tolist() == s[s >= floor].tolist()
+        assert many.held < 0.1 * one.held and len(many.matrix) > 10 or floors[0] == 1e9
+
+
+def test_search_with_floors_from_a_share_of_the_rows(spark, docs):
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    want = rows(topk_search.search(docs, every=5, k=2))
+    assert rows(topk_search.search(docs, every=5, k=2, sampled_from=0)) == want
+
+
 def test_search_report_as_oracle(docs):
     same_as_oracle(topk_search.search_report(docs), topk_search.ORACLE)
