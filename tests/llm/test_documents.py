@@ -328,7 +328,7 @@ def test_search_never_costs_more_than_all_postings(topics, most):
     assert 0 < shard.scored <= most * shard.held
 
 
-def test_search_of_many_queries_is_that_of_each():
+def test_search_of_many_queries_is_that_of_each(monkeypatch):
     """A piece of queries scored together: the documents and scores of single searches, bit for bit, above any floor; most without reading their lists."""
     rng = np.random.default_rng(4)
     p = 1 / np.arange(1, 3001)
@@ -352,6 +352,10 @@ def test_search_of_many_queries_is_that_of_each():
         for (ids, scores), (i, s), floor in zip(got, want, floors, strict=True):
             assert ids.tolist() == i[s >= floor].tolist() and scores.tolist() == s[s >= floor].tolist()
         assert many.held < 0.1 * one.held and len(many.matrix) > 10 or floors[0] == 1e9
+    # in pieces of few queries, as where a shard has very many documents
+    monkeypatch.setattr(topk_search, "CELLS", 7 * n)
+    got = many.search_many(np.concatenate([a for a, _ in queries]), np.concatenate([w for _, w in queries]), np.array([len(a) for a, _ in queries]), np.zeros(len(queries)), 10)
+    assert all(ids.tolist() == i.tolist() and scores.tolist() == s.tolist() for (ids, scores), (i, s) in zip(got, want, strict=True))
 
 
 def test_search_with_floors_from_a_share_of_the_rows(spark, docs):
